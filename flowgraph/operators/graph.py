@@ -157,7 +157,8 @@ def laplacian(op: Operator, graph: Graph, normalize: bool = True) -> Operator:
         off = op.df.select("i", "j", (-F.col("w")).alias("w"))
         diagonal = corner.join(degree, "node_id", "left").select("node_id", F.coalesce("d", F.lit(0.0)).alias("w"))
     diagonal = diagonal.select(F.col("node_id").alias("i"), F.col("node_id").alias("j"), "w")
-    return Operator(off.unionByName(diagonal), op.rows + graph.n_vertices, graph.n_vertices, anchored=True)
+    summed = off.unionByName(diagonal).groupBy("i", "j").agg(F.sum("w").alias("w"))
+    return Operator(summed, op.rows + graph.n_vertices, graph.n_vertices, anchored=True)
 
 
 def directed_normalised(graph: Graph, mode: str = "total") -> Operator:

@@ -10,13 +10,14 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgraph.functions.scalars import dot, leaky_relu, linear, relu
 from flowgraph.operators.graph import Operator
-from flowgraph.operators.propagate import chebyshev_basis, messages, propagate, step_keys, tap_names
-from flowgraph.plans.sizing import broadcast_rows
+from flowgraph.operators.panel import lag_names, windows
+from flowgraph.operators.propagate import chebyshev_basis, chebyshev_sum, propagate, step_keys, tap_names
+from flowgraph.plans.sizing import sized_join
 
 Matrix = list[list[float]]
 
@@ -196,82 +197,199 @@ def cheb_forward(
     return cheb_layer(first, op, hidden, params.weight[1], params.bias[1], ["prediction"], carry)
 
 
+def series_forward(
+    rows: DataFrame, op: Operator, params: GcnParams | ChebParams, h: int, block: int, column: str,
+    cut_to: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
+    """`gcn_forward` or `cheb_forward` over the history of a series, with less traffic.
+
+    The graph filter and the shift in time commute, so the series itself is filtered, one column instead of h, before
+    the history is cut; the second layer multiplies by its weights before it filters. `rows` comes from `with_halo`;
+    `column` is kept in the result next to `prediction`. `cut_to` drops target steps nobody asked for.
+    """
+    if isinstance(params, GcnParams):
+        filtered = propagate(rows, op, [column], carry=[column], out=[f"{column}_k0"])
+        taps, weights, biases = [f"{column}_k0"], [params.weight[0]], params.bias
+        last = [params.weight[1]]
+    else:
+        filtered = chebyshev_basis(rows, op, [column], params.order, carry=[column])
+        taps = [names_k[0] for names_k in tap_names([column], params.order)]
+        weights, biases, last = params.weight[0], params.bias, params.weight[1]
+    wide = cut_to(windows(filtered, h, block, lags={tap: f"{tap}_x" for tap in taps}))
+    inputs = [lag for tap in taps for lag in lag_names(h, f"{tap}_x")]
+    stacked = [row for level in weights for row in level]
+    hidden = names("h", len(stacked[0]))
+    first = project(wide, inputs, stacked, biases[0], hidden, [column], relu)
+    ends = [f"z_{k}" for k in range(len(last))]
+    second = first.select(
+        *step_keys(first), "node_id", column, *[linear(hidden, w)[0].alias(z) for w, z in zip(last, ends)]
+    )
+    if isinstance(params, GcnParams):
+        out = propagate(second, op, ends, carry=[column])
+    else:
+        out = chebyshev_sum(second, op, [[z] for z in ends], ["z_0"], carry=[column])
+    shift = biases[1][0] if biases[1] is not None else 0.0
+    return out.select(
+        *step_keys(out), "node_id", column, relu(F.col("z_0") + F.lit(float(shift))).alias("prediction")
+    )
+
+
 # --- attention -----------------------------------------------------------------------------------------------
 
-def head_names(prefix: str, heads: int, width: int) -> list[list[str]]:
-    return [[f"{prefix}_{a}_{c}" for c in range(1, width + 1)] for a in range(1, heads + 1)]
-
-
-def attention_pairs(h: DataFrame, op: Operator, heads: Sequence[Sequence[str]], carry: Sequence[str] = ()) -> DataFrame:
-    """A row per neighbour pair and step: the neighbour's columns, and per head a score `s_<a>` and its maximum
-    `top_<a>` over the pairs of i. A zero score, and the anchor row of i itself, is null."""
-    keys = step_keys(h)
-    columns = [c for head in heads for c in head]
-    sent = messages(h, op)
-    at_i = h.select(*keys, F.col("node_id").alias("i"), *[F.col(c).alias(f"{c}_i") for c in columns])
-    joined = sent.join(at_i, [*keys, "i"])
-    scores = []
-    for a, head in enumerate(heads, 1):
-        score = dot([f"{c}_i" for c in head], head) * F.col("w")
-        scores.append(F.nullif(score, F.lit(0.0)).alias(f"s_{a}"))
-    scored = joined.select(*keys, "i", "node_id", *columns, *carry, *scores)
-    # The widest group is the degree of a node, so a window is fine up to the broadcast bound of the operator.
-    if op.rows <= broadcast_rows(h.sparkSession):
-        around = Window.partitionBy(*keys, "i")
-        return scored.select("*", *[F.max(f"s_{a}").over(around).alias(f"top_{a}") for a in range(1, len(heads) + 1)])
-    tops = scored.groupBy(*keys, "i").agg(*[F.max(f"s_{a}").alias(f"top_{a}") for a in range(1, len(heads) + 1)])
-    return scored.join(tops, [*keys, "i"])
-
-
-def attention_weights(h: DataFrame, op: Operator, heads: Sequence[Sequence[str]]) -> DataFrame:
+# exp() of twice this stays far inside the range of a double, so scores below it need no shift by their maximum.
+SAFE_SCORE = 300.0
+
+
+@dataclass(frozen=True)
+class Heads:
+    """A set of attention heads over the last `h` values of a series (h = 0: the value of the step itself)."""
+
+    weight: list[Matrix]
+    h: int
+    block: int
+
+    @property
+    def columns(self) -> list[list[str]]:
+        return [[f"g_{a}_{c}" for c in range(1, len(w[0]) + 1)] for a, w in enumerate(self.weight, 1)]
+
+    @property
+    def flat(self) -> list[str]:
+        return [c for head in self.columns for c in head]
+
+    def inputs(self, series: str, step: Column) -> list[Column]:
+        """The feature columns of a step, read from the packed series of a block by position."""
+        if self.h == 0:
+            return [F.get(series, step)]
+        return [F.get(series, step - back) for back in range(self.h, 0, -1)]
+
+    def project(self, series: str, step: Column) -> list[Column]:
+        inputs = self.inputs(series, step)
+        return [value for w in self.weight for value in linear(inputs, w)]
+
+
+def packed(rows: DataFrame, column: str, keep: str | None = None) -> DataFrame:
+    """One row per block and node of a dense panel: steps, `series` and `kept` in step order, at most block + halo
+    values each. `kept` is what attention hands through; without `keep` it is the series."""
+    values = [F.col(column).alias("series")] + ([F.col(keep).alias("kept")] if keep else [])
+    cells = rows.groupBy("blk", "node_id").agg(F.array_sort(F.collect_list(F.struct("t", *values))).alias("cells"))
+    kept = [F.col("cells.kept").alias("kept")] if keep else []
+    return cells.select(
+        "blk", "node_id", F.col("cells.t").alias("steps"), F.col("cells.series").alias("series"), *kept
+    )
+
+
+def _targets(steps: str, h: int, block: int) -> Column:
+    """Positions in a packed row that are target steps of its own block and have a full history."""
+    home = F.col("blk") * block
+    return F.filter(F.sequence(F.lit(0), F.size(steps) - 1), lambda p: (F.get(steps, p) >= home) & (p >= h))
+
+
+def head_features(blocks: DataFrame, heads: Heads) -> DataFrame:
+    """(blk, t, node_id, series value, head columns) for every target step."""
+    at = blocks.select("*", F.explode(_targets("steps", heads.h, heads.block)).alias("p"))
+    projected = heads.project("series", F.col("p"))
+    return at.select("blk", F.get("steps", F.col("p")).alias("t"), "node_id", *[v.alias(c) for v, c in zip(projected, heads.flat)])
+
+
+def attention_pairs(blocks: DataFrame, op: Operator, heads: Heads) -> DataFrame:
+    """A row per matrix entry and target step: (blk, t, i, node_id), the neighbour's head columns, the value `own` of
+    i itself, and per head a score `s_<a>`. A zero score, and the anchor row of i, is null.
+
+    Neighbours meet as packed blocks, one row per entry and block; the steps unfold afterwards, in the same task.
+    """
+    matrix = op.df.select("i", F.col("j").alias("node_id"), "w")
+    sent = sized_join(blocks.select("blk", "node_id", "series"), matrix, "node_id", op.rows, spread="blk")
+    extra = ["kept"] if "kept" in blocks.columns else []
+    at_i = blocks.select("blk", F.col("node_id").alias("i"), "steps", F.col("series").alias("series_i"), *extra)
+    met = sent.join(at_i, ["blk", "i"])
+    at = met.select("*", F.explode(_targets("steps", heads.h, heads.block)).alias("p"))
+    place = F.col("p")
+    ours = [v.alias(f"{c}_i") for v, c in zip(heads.project("series_i", place), heads.flat)]
+    theirs = [v.alias(c) for v, c in zip(heads.project("series", place), heads.flat)]
+    here = F.get("steps", place).alias("t")
+    wide = at.select("blk", here, "i", "node_id", "w", F.get(extra[0] if extra else "series_i", place).alias("own"), *ours, *theirs)
+    scores = [
+        F.nullif(dot([f"{c}_i" for c in head], head) * F.col("w"), F.lit(0.0)).alias(f"s_{a}")
+        for a, head in enumerate(heads.columns, 1)
+    ]
+    return wide.select("blk", "t", "i", "node_id", "own", *heads.flat, *scores)
+
+
+def exponentials(pairs: DataFrame, heads: Heads, shifted: bool) -> DataFrame:
+    """Add e_<a> = exp(score), shifted by the largest score of (t, i) where scores are not known to be moderate."""
+    count = len(heads.weight)
+    if not shifted:
+        return pairs.select("*", *[F.exp(f"s_{a}").alias(f"e_{a}") for a in range(1, count + 1)])
+    around = ["blk", "t", "i"]
+    tops = pairs.groupBy(*around).agg(*[F.max(f"s_{a}").alias(f"top_{a}") for a in range(1, count + 1)])
+    return pairs.join(tops, around).select(
+        *pairs.columns, *[F.exp(F.col(f"s_{a}") - F.col(f"top_{a}")).alias(f"e_{a}") for a in range(1, count + 1)]
+    )
+
+
+def attention_weights(pairs: DataFrame, heads: Heads) -> DataFrame:
     """alpha_<a> per step and live pair (i, node_id); a node without live pairs has none: its row is uniform over
     all nodes."""
-    pairs = attention_pairs(h, op, heads)
-    keys = step_keys(h)
-    expd = [F.exp(F.col(f"s_{a}") - F.col(f"top_{a}")).alias(f"e_{a}") for a in range(1, len(heads) + 1)]
-    live = pairs.select(*keys, "i", "node_id", *expd)
-    around = [*keys, "i"]
-    sums = live.groupBy(*around).agg(*[F.sum(f"e_{a}").alias(f"z_{a}") for a in range(1, len(heads) + 1)])
+    around = ["blk", "t", "i"]
+    live = exponentials(pairs, heads, shifted=True)
+    numbers = range(1, len(heads.weight) + 1)
+    sums = live.groupBy(*around).agg(*[F.sum(f"e_{a}").alias(f"z_{a}") for a in numbers])
     return live.join(sums, around).select(
-        *around, "node_id", *[(F.col(f"e_{a}") / F.col(f"z_{a}")).alias(f"alpha_{a}") for a in range(1, len(heads) + 1)]
+        *around, "node_id", *[(F.col(f"e_{a}") / F.col(f"z_{a}")).alias(f"alpha_{a}") for a in numbers]
     )
 
 
 def attend(
-    h: DataFrame, op: Operator, heads: Sequence[Sequence[str]], bias: Sequence[Sequence[float]],
-    carry: Sequence[str] = (), act: Callable[[Column], Column] | None = leaky_relu,
+    blocks: DataFrame, op: Operator, heads: Heads, bias: Sequence[Sequence[float]], shifted: bool = True,
+    act: Callable[[Column], Column] | None = leaky_relu,
 ) -> DataFrame:
-    """Softmax-weighted mean of the neighbours' columns plus bias, under the same column names. `op` is an anchored
-    symmetric adjacency. Where all scores of a node are zero its weights are uniform over all nodes of the step."""
-    keys = step_keys(h)
-    pairs = attention_pairs(h, op, heads, carry)
+    """(blk, t, node_id, own, head columns): softmax-weighted mean of the neighbours' head columns plus bias.
+
+    `op` is an anchored symmetric adjacency. Where all scores of a node are zero its weights are uniform over all nodes
+    of the step.
+    """
+    live = exponentials(attention_pairs(blocks, op, heads), heads, shifted)
     sums = []
-    for a, head in enumerate(heads, 1):
-        e = F.exp(F.col(f"s_{a}") - F.col(f"top_{a}"))
-        sums.append(F.sum(e).alias(f"z_{a}"))
-        sums += [F.sum(e * F.col(c)).alias(c) for c in head]
-    own = F.col("i") == F.col("node_id")
-    kept = [F.max(F.when(own, F.col(c))).alias(c) for c in carry]
-    gathered = pairs.groupBy(*keys, "i").agg(*sums, *kept)
-    columns = [c for head in heads for c in head]
-    everyone = h.groupBy(*keys).agg(*[F.avg(c).alias(f"{c}_all") for c in columns])
-    joined = gathered.join(everyone, keys)
+    for a, head in enumerate(heads.columns, 1):
+        sums.append(F.sum(f"e_{a}").alias(f"z_{a}"))
+        sums += [F.sum(F.col(f"e_{a}") * F.col(c)).alias(c) for c in head]
+    gathered = live.groupBy("blk", "t", "i").agg(*sums, F.max("own").alias("own"))
+    everyone = head_features(blocks, heads).groupBy("blk", "t").agg(*[F.avg(c).alias(f"{c}_all") for c in heads.flat])
+    joined = gathered.join(everyone, ["blk", "t"])
     outputs = []
-    for a, (head, shift) in enumerate(zip(heads, bias, strict=True), 1):
+    for a, (head, shift) in enumerate(zip(heads.columns, bias, strict=True), 1):
         for c, b in zip(head, shift, strict=True):
             value = F.coalesce(F.col(c) / F.col(f"z_{a}"), F.col(f"{c}_all")) + F.lit(float(b))
             outputs.append((act(value) if act else value).alias(c))
-    return joined.select(*keys, F.col("i").alias("node_id"), *carry, *outputs)
+    return joined.select("blk", "t", F.col("i").alias("node_id"), "own", *outputs)
+
+
+def score_bounds(blocks: DataFrame, op: Operator, params: GatParams, heads: Heads) -> tuple[float, float]:
+    """Upper bounds of the absolute scores of both layers, from the largest head column values and the largest weight.
+
+    An attention output is a weighted mean, so it is bounded by the inputs; one small row reaches the driver."""
+    tops = head_features(blocks, heads).agg(*[F.max(F.abs(c)).alias(c) for c in heads.flat]).first()
+    edge = op.df.agg(F.max(F.abs("w"))).first()[0] or 0.0
+    first = max(sum((tops[c] or 0.0) ** 2 for c in head) for head in heads.columns) * edge
+    shifts = [b for head in params.head_bias for b in head]
+    out = [
+        sum(abs(params.out[r][o]) * ((tops[c] or 0.0) + abs(shifts[r])) for r, c in enumerate(heads.flat))
+        for o in range(len(params.out[0]))
+    ]
+    return first, sum(v * v for v in out) * edge
 
 
 def gat_forward(
-    frame: DataFrame, op: Operator, params: GatParams, columns: Sequence[str], carry: Sequence[str] = ()
+    rows: DataFrame, op: Operator, params: GatParams, h: int, block: int, column: str,
+    cut_to: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
-    """All heads in one pass, leaky relu, an output attention layer, leaky relu."""
-    width = len(params.heads[0][0])
-    heads = head_names("g", len(params.heads), width)
-    flat = [c for head in heads for c in head]
-    stacked = [[v for head in params.heads for v in head[r]] for r in range(len(columns))]
-    hidden = attend(project(frame, columns, stacked, None, flat, carry), op, heads, params.head_bias, carry)
-    out = project(hidden, flat, params.out, None, ["prediction"], carry)
-    return attend(out, op, [["prediction"]], [params.out_bias], carry)
+    """All heads in one pass, leaky relu, an output attention layer, leaky relu. `rows` comes from `with_halo`; `column`
+    is kept in the result next to `prediction`."""
+    heads = Heads(params.heads, h, block)
+    blocks = packed(rows, column)
+    first, second = score_bounds(blocks, op, params, heads)
+    hidden = attend(blocks, op, heads, params.head_bias, shifted=first > SAFE_SCORE)
+    ends = hidden.select("blk", "t", "node_id", "own", linear(heads.flat, params.out)[0].alias("v"))
+    end = Heads([[[1.0]]], 0, block)
+    out = attend(packed(cut_to(ends), "v", "own"), op, end, [params.out_bias], shifted=second > SAFE_SCORE)
+    return out.select("blk", "t", "node_id", F.col("own").alias(column), F.col(end.flat[0]).alias("prediction"))

@@ -127,8 +127,63 @@ def unscale(df: DataFrame, base: Base, columns: Sequence[str]) -> DataFrame:
 
 # --- history windows -----------------------------------------------------------------------------------------
 
-def lag_names(h: int) -> list[str]:
-    return [f"x_{k}" for k in range(1, h + 1)]
+def lag_names(h: int, prefix: str = "x") -> list[str]:
+    return [f"{prefix}_{k}" for k in range(1, h + 1)]
+
+
+def _home(block: int) -> Column:
+    return F.floor(F.col("t") / block).cast("bigint")
+
+
+def block_size(h: int, layout: str, block: int | None = None) -> int:
+    if layout not in ("node", "step"):
+        raise ValueError(f"layout must be node or step, not {layout!r}")
+    return max(block or (NODE_BLOCK if layout == "node" else STEP_BLOCK), h)
+
+
+def with_halo(panel: DataFrame, h: int, layout: str = "node", block: int | None = None) -> DataFrame:
+    """Cut the steps into blocks `blk` and repeat the last h steps of a block in front of the next one.
+
+    Whatever looks back at most h steps can then work inside (blk, node_id), a group of at most block + h rows however
+    long a series is. layout="node" spreads the rows by (node, block). layout="step" keeps all nodes of a block of steps
+    together, so that joins and sums over neighbours need no further shuffle; use it when the number of nodes is known
+    and small.
+    """
+    size = block_size(h, layout, block)
+    home = _home(size)
+    near_end = F.pmod(F.col("t"), F.lit(size)) >= size - h
+    copies = F.explode(F.when(near_end, F.array(home, home + 1)).otherwise(F.array(home))).alias("blk")
+    rows = panel.select(copies, *panel.columns)
+    return rows.repartition("blk") if layout == "step" else rows.repartition("node_id", "blk")
+
+
+def windows(
+    rows: DataFrame,
+    h: int,
+    block: int,
+    *,
+    lags: dict[str, str] | None = None,
+    mean: str | None = None,
+    dense: bool = True,
+    complete_only: bool = True,
+) -> DataFrame:
+    """History columns inside the blocks of `with_halo`; the repeated rows are dropped afterwards.
+
+    `lags` maps a series column to a prefix: <prefix>_1..<prefix>_h are its values at t-h..t-1, oldest first. `mean`
+    names a column whose mean over the same steps becomes hist_mean. All columns of the row itself are kept.
+    """
+    series = Window.partitionBy("blk", "node_id").orderBy("t")
+    before = series.rowsBetween(-h, -1) if dense else series.rangeBetween(-h, -1)
+    complete = F.lag("t", h).over(series).isNotNull() if dense else F.count("*").over(before) == h
+    added = []
+    for column, prefix in (lags or {}).items():
+        for k, name in zip(range(h, 0, -1), lag_names(h, prefix)):
+            at = F.lag(column, k).over(series) if dense else F.max(column).over(series.rangeBetween(-k, -k))
+            added.append(at.alias(name))
+    if mean:
+        added.append(F.avg(mean).over(before).alias("hist_mean"))
+    wide = rows.select("*", complete.alias("complete"), *added).where(_home(block) == F.col("blk"))
+    return wide.where("complete").drop("complete") if complete_only else wide
 
 
 def history(
@@ -145,42 +200,20 @@ def history(
 ) -> DataFrame:
     """For every target step t: x_1..x_h = the values at t-h..t-1 (oldest first) and/or hist_mean, and y = the value at t.
 
-    The steps are cut into blocks; the last h steps of a block are repeated in front of the next one. A window thus
-    holds at most block + h rows, however long a series is. layout="node" spreads the rows by (node, block).
-    layout="step" keeps all nodes of a block of steps together and leaves the key `blk` in place, so that joins and
-    sums over neighbours need no further shuffle; use it when the number of nodes is known and small.
-    dense=False is for panels with gaps: a missing step is null in its lag and left out of the mean.
-    Rows without a full history are dropped unless complete_only=False, which adds the flag `complete` instead.
+    dense=False is for panels with gaps: a missing step is null in its lag and left out of the mean. Rows without a full
+    history are dropped unless complete_only=False, which adds the flag `complete` instead. With layout="step" the key
+    `blk` stays in place.
     """
-    if layout not in ("node", "step"):
-        raise ValueError(f"layout must be node or step, not {layout!r}")
-    size = max(block or (NODE_BLOCK if layout == "node" else STEP_BLOCK), h)
-    home = F.floor(F.col("t") / size).cast("bigint")
-    near_end = F.pmod(F.col("t"), F.lit(size)) >= size - h
-    rows = panel.select(
-        "node_id",
-        "t",
-        F.col(value).alias("y"),
-        F.explode(F.when(near_end, F.array(home, home + 1)).otherwise(F.array(home))).alias("blk"),
+    rows = with_halo(panel.select("t", "node_id", F.col(value).alias("y")), h, layout, block)
+    wide = windows(
+        rows,
+        h,
+        block_size(h, layout, block),
+        lags={"y": "x"} if lags else None,
+        mean="y" if mean else None,
+        dense=dense,
+        complete_only=complete_only,
     )
-    rows = rows.repartition("blk") if layout == "step" else rows.repartition("node_id", "blk")
-    series = Window.partitionBy("blk", "node_id").orderBy("t")
-    before = series.rowsBetween(-h, -1) if dense else series.rangeBetween(-h, -1)
-    added = []
-    if dense:
-        complete = F.lag("t", h).over(series).isNotNull()
-    else:
-        complete = F.count("*").over(before) == h
-    if lags:
-        for k, name in zip(range(h, 0, -1), lag_names(h)):
-            at = F.lag("y", k).over(series) if dense else F.max("y").over(series.rangeBetween(-k, -k))
-            added.append(at.alias(name))
-    if mean:
-        added.append(F.avg("y").over(before).alias("hist_mean"))
-    wide = rows.select("blk", "t", "node_id", "y", complete.alias("complete"), *added)
-    wide = wide.where(home == F.col("blk"))
-    if complete_only:
-        wide = wide.where("complete").drop("complete")
     return wide if layout == "step" else wide.drop("blk")
 
 
@@ -223,11 +256,13 @@ def split_span(
     return start, start + max(0, min(wanted, n_steps - h - 1 - border))
 
 
+def within(df: DataFrame, span: tuple[int, int], before: int = 0) -> DataFrame:
+    return df.where((F.col("t") >= span[0] - before) & (F.col("t") < span[1]))
+
+
 def samples(panel: DataFrame, h: int, span: tuple[int, int], **options) -> DataFrame:
     """History windows of the target steps in `span`; the panel is cut to the steps they need before the window."""
-    first, end = span
-    needed = panel.where((F.col("t") >= first - h) & (F.col("t") < end))
-    return history(needed, h, **options).where((F.col("t") >= first) & (F.col("t") < end))
+    return within(history(within(panel, span, h), h, **options), span)
 
 
 def split_label(t: Column, train: tuple[int, int], test: tuple[int, int]) -> Column:

@@ -39,19 +39,25 @@ def propagate(
     carry: Sequence[str] = (),
     out: Sequence[str] | None = None,
     combine: Callable[[Column], Column] = F.sum,
+    factor: float = 1.0,
+    plus: Sequence[str] = (),
 ) -> DataFrame:
     """y[i] = combine over j of w[i, j] * x[j], per step.
 
     `carry` columns are taken from the row of i itself and need an anchored operator. With an anchored operator a
-    node without neighbours is kept, with null; otherwise it is absent.
+    node without neighbours is kept, with null; otherwise it is absent. With `plus`, y[i] = factor * sum + plus[i],
+    folded into the same sum; this needs an operator with exactly one (i, i) row per node.
     """
-    if carry and not op.anchored:
-        raise ValueError("carry needs an anchored operator")
+    if (carry or plus) and not op.anchored:
+        raise ValueError("carry and plus need an anchored operator")
     out = list(out or columns)
     keys = step_keys(features)
     sent = messages(features, op)
     own = F.col("i") == F.col("node_id")
-    sums = [combine(F.col("w") * F.col(c)).alias(o) for c, o in zip(columns, out, strict=True)]
+    terms = [F.col("w") * F.col(c) for c in columns]
+    if plus:
+        terms = [F.lit(factor) * x + F.when(own, F.col(p)).otherwise(0.0) for x, p in zip(terms, plus, strict=True)]
+    sums = [combine(x).alias(o) for x, o in zip(terms, out, strict=True)]
     kept = [F.max(F.when(own, F.col(c))).alias(c) for c in carry]
     return sent.groupBy(*keys, "i").agg(*sums, *kept).select(*keys, F.col("i").alias("node_id"), *out, *carry)
 
@@ -116,3 +122,29 @@ def chebyshev_basis(
             )
         known = known + names[k]
     return frame
+
+
+def chebyshev_sum(
+    features: DataFrame, op: Operator, taps: Sequence[Sequence[str]], out: Sequence[str], carry: Sequence[str] = ()
+) -> DataFrame:
+    """sum over k of T_k(op) z_k, where taps[k] names the columns of z_k, by Clenshaw's backward recurrence.
+
+    B_k = z_k + 2 op B_{k+1} - B_{k+2}, result = z_0 + op B_1 - B_2: one pass over the edges per order, and only the
+    output columns travel. The operator needs exactly one (i, i) row per node.
+    """
+    keys = step_keys(features)
+    order = len(taps) - 1
+    current = [f"_b_{c}" for c in range(len(out))]
+    own = [f"_z_{c}" for c in range(len(out))]
+    after: list[str] = []
+    frame = features.select("*", *[F.col(c).alias(b) for c, b in zip(taps[order], current)])
+    for k in range(order - 1, -1, -1):
+        left = [c for level in taps[:k] for c in level]
+        rest = [F.col(z) - F.col(a) for z, a in zip(taps[k], after)] if after else [F.col(z) for z in taps[k]]
+        frame = frame.select(*keys, "node_id", *carry, *left, *current, *[r.alias(o) for r, o in zip(rest, own)])
+        after = [f"_a{k}_{c}" for c in range(len(out))] if k else []
+        frame = frame.select("*", *[F.col(c).alias(a) for c, a in zip(current, after)])
+        frame = propagate(
+            frame, op, current, carry=[*carry, *left, *after], factor=2.0 if k else 1.0, plus=own
+        )
+    return frame.select(*keys, "node_id", *carry, *[F.col(c).alias(o) for c, o in zip(current, out)])

@@ -2,16 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowgraph.operators.graph import Operator, adjacency, directed_normalised, laplacian, random_walk
-from flowgraph.operators.layers import ChebParams, GatParams, GcnParams, Params, cheb_forward, gat_forward, gcn_forward
+from flowgraph.operators.layers import ChebParams, GatParams, GcnParams, Params, gat_forward, series_forward
 from flowgraph.operators.metrics import value_bounds
-from flowgraph.operators.panel import Base, fit_base, lag_names, samples, scale, slice_node, split_span, unscale
+from flowgraph.operators.panel import (
+    STEP_BLOCK,
+    Base,
+    block_size,
+    fit_base,
+    samples,
+    scale,
+    slice_node,
+    split_span,
+    unscale,
+    with_halo,
+    within,
+)
 from flowgraph.operators.propagate import propagate
 from flowgraph.plans.sizing import broadcast_rows
 from flowgraph.schemas import Graph
@@ -74,20 +86,30 @@ def operator_for(model: Params, graph: Graph, graph_type: str = "connect") -> Op
 
 
 def score(
-    rows: DataFrame, graph: Graph, model: Params, h: int, graph_type: str = "connect", carry: Sequence[str] = ("y",)
+    rows: DataFrame, graph: Graph, model: Params, h: int, block: int, column: str = "y", graph_type: str = "connect",
+    cut_to: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
-    """Run the model given by its parameters over history rows; adds `prediction`."""
-    forward = {GcnParams: gcn_forward, ChebParams: cheb_forward, GatParams: gat_forward}.get(type(model))
-    if forward is None:
-        raise ValueError(f"no model for {type(model).__name__}")
-    return forward(rows, operator_for(model, graph, graph_type), model, lag_names(h), list(carry))
+    """Run the model given by its parameters over `with_halo` rows; adds `prediction`."""
+    forward = gat_forward if isinstance(model, GatParams) else series_forward
+    return forward(rows, operator_for(model, graph, graph_type), model, h, block, column, cut_to)
+
+
+def model_rows(panel: DataFrame, graph: Graph, model: Params, h: int, span: tuple[int, int]) -> tuple[DataFrame, int]:
+    """The readings a model needs for the target steps in `span`, in blocks, and the block size."""
+    layout = layout_for(graph)
+    # Attention packs a block into one row, so its blocks stay short in either layout.
+    block = block_size(h, layout, STEP_BLOCK if isinstance(model, GatParams) else None)
+    readings = within(panel, span, h).select("t", "node_id", F.col("flow").alias("y"))
+    return with_halo(readings, h, layout, block), block
 
 
 def model_forecast(
     panel: DataFrame, graph: Graph, model: Params, h: int, span: tuple[int, int], graph_type: str = "connect"
 ) -> DataFrame:
-    rows = samples(panel, h, span, layout=layout_for(graph))
-    scored = score(rows, graph, model, h, graph_type)
+    if not isinstance(model, Params):
+        raise ValueError(f"no model for {type(model).__name__}")
+    rows, block = model_rows(panel, graph, model, h, span)
+    scored = score(rows, graph, model, h, block, "y", graph_type, lambda df: within(df, span))
     return scored.select("node_id", "t", "prediction", F.col("y").alias("target"))
 
 

@@ -498,10 +498,10 @@ for _name, _edges, _mode in (
 ):
     add(_name, f"select node_id, {r6('x', 'features')} from a3", _edges, "averages", recursive=rounds(_edges, _mode))
 
-add("gcn_directed_all_snapshots", f"select node_id, t, {r6('p', 'gcn_output')} from arrived", "arrived")
+add("gcn_directed_all_snapshots", f"select node_id, t, {r6('p', 'gcn_output', 8)} from arrived", "arrived")
 add(
     "spmm",
-    f"select w.i as node_id, s.t, {r6('sum(w.w * s.x)', 'flow')} from walk w join scaled s on s.node_id = w.j group by w.i, s.t",
+    f"select w.i as node_id, s.t, {r6('sum(w.w * s.x)', 'flow', 8)} from walk w join scaled s on s.node_id = w.j group by w.i, s.t",
     "walk", "scaled",
 )
 TABLES["t0"] = (("scaled",), "select node_id, t, x from scaled")
@@ -525,6 +525,8 @@ add(
 )
 
 for _name, _table, _win in (
+    ("gcn_layers", "gcn_out", "win"),
+    ("cheb_layers", CHEB_OUT, "win"),
     ("gcn_score", "gcn_out", "win"),
     ("cheb_score", CHEB_OUT, "win"),
     ("gat_score", GAT_OUT, "win"),

@@ -377,7 +377,7 @@ def gcn_directed_all_snapshots(spark, sf_dir):
     graph = D.road_graph(spark, sf_dir)
     rows = P.history(scaled_panel(spark, sf_dir), D.H, lags=False, mean=True, layout=FC.layout_for(graph))
     out = R.directed_convolution(rows, graph, ["hist_mean"])
-    return rounded(out.select("node_id", "t", F.col("hist_mean").alias("gcn_output")), ["gcn_output"])
+    return rounded(out.select("node_id", "t", F.col("hist_mean").alias("gcn_output")), ["gcn_output"], 8)
 
 
 @query
@@ -386,7 +386,7 @@ def spmm(spark, sf_dir):
     graph = D.road_graph(spark, sf_dir)
     op = G.random_walk(G.adjacency(graph), graph)
     spread = R.propagate(scaled_panel(spark, sf_dir).repartition("t"), op, ["flow"])
-    return rounded(spread.select("node_id", "t", "flow"), ["flow"])
+    return rounded(spread.select("node_id", "t", "flow"), ["flow"], 8)
 
 
 @query
@@ -406,6 +406,23 @@ def _scored(spark, sf_dir, params):
     return rounded(out, ["prediction", "target"])
 
 
+@query
+def gcn_layers(spark, sf_dir):
+    """The two convolution layers applied to the cut history windows."""
+    graph = D.road_graph(spark, sf_dir)
+    rows = P.samples(scaled_panel(spark, sf_dir), D.H, EVERY, layout=FC.layout_for(graph))
+    out = L.gcn_forward(rows, FC.operator_for(W.gcn(), graph), W.gcn(), LAGS, carry=["y"])
+    return rounded(out.select("node_id", "t", "prediction", F.col("y").alias("target")), ["prediction", "target"])
+
+
+@query
+def cheb_layers(spark, sf_dir):
+    graph = D.road_graph(spark, sf_dir)
+    rows = P.samples(scaled_panel(spark, sf_dir), D.H, EVERY, layout=FC.layout_for(graph))
+    out = L.cheb_forward(rows, FC.operator_for(W.cheb(), graph), W.cheb(), LAGS, carry=["y"])
+    return rounded(out.select("node_id", "t", "prediction", F.col("y").alias("target")), ["prediction", "target"])
+
+
 @query
 def gcn_score(spark, sf_dir):
     return _scored(spark, sf_dir, W.gcn())
@@ -429,20 +446,19 @@ def gat_score_shifted(spark, sf_dir):
     return rounded(FC.model_forecast(panel, graph, W.gat(), D.H, EVERY), ["prediction", "target"])
 
 
-def _first_heads(spark, sf_dir):
+def _first_pairs(spark, sf_dir):
     graph = D.road_graph(spark, sf_dir)
-    rows = P.samples(scaled_panel(spark, sf_dir), D.H, EVERY, layout=FC.layout_for(graph))
-    heads = L.head_names("g", W.HEADS, W.HIDDEN)
-    stacked = [[v for head in W.gat().heads for v in head[r]] for r in range(D.H)]
-    h = L.project(rows, LAGS, stacked, None, [c for head in heads for c in head])
-    return h, G.adjacency(graph, "distance").anchor(graph), heads
+    rows, block = FC.model_rows(scaled_panel(spark, sf_dir), graph, W.gat(), D.H, EVERY)
+    heads = L.Heads(W.gat().heads, D.H, block)
+    op = G.adjacency(graph, "distance").anchor(graph)
+    return L.attention_pairs(L.packed(rows, "y"), op, heads), heads
 
 
 @query
 def gat_scores(spark, sf_dir):
     """Attention scores of the first layer, weighted by 1/cost, summed up per node pair over all steps."""
-    pairs = L.attention_pairs(*_first_heads(spark, sf_dir))
-    live = pairs.groupBy(F.col("i"), F.col("node_id").alias("j")).agg(
+    pairs, _ = _first_pairs(spark, sf_dir)
+    live = pairs.groupBy("i", F.col("node_id").alias("j")).agg(
         F.count("s_1").alias("live_1"), F.sum("s_1").alias("s_1"), F.count("s_2").alias("live_2"), F.sum("s_2").alias("s_2")
     )
     return rounded(live.where("live_1 > 0 or live_2 > 0"), ["s_1", "s_2"])
@@ -451,7 +467,7 @@ def gat_scores(spark, sf_dir):
 @query
 def gat_softmax(spark, sf_dir):
     """Attention weights of the first layer, summed up per node pair over all steps."""
-    shares = L.attention_weights(*_first_heads(spark, sf_dir))
+    shares = L.attention_weights(*_first_pairs(spark, sf_dir))
     live = shares.groupBy("i", F.col("node_id").alias("j")).agg(F.sum("alpha_1").alias("alpha_1"), F.sum("alpha_2").alias("alpha_2"))
     return rounded(live.where("alpha_1 is not null or alpha_2 is not null"), ["alpha_1", "alpha_2"])
 
