@@ -385,7 +385,7 @@ def spmm(spark, sf_dir):
     """Random-walk operator times the scaled panel."""
     graph = D.road_graph(spark, sf_dir)
     op = G.random_walk(G.adjacency(graph), graph)
-    spread = R.propagate(scaled_panel(spark, sf_dir).repartition("t"), op, ["flow"])
+    spread = R.propagate(P.with_halo(scaled_panel(spark, sf_dir), 0, FC.layout_for(graph)), op, ["flow"])
     return rounded(spread.select("node_id", "t", "flow"), ["flow"], 8)
 
 
@@ -393,7 +393,7 @@ def spmm(spark, sf_dir):
 def cheb_basis(spark, sf_dir):
     graph = D.road_graph(spark, sf_dir)
     op = G.laplacian(G.adjacency(graph), graph)
-    basis = R.chebyshev_basis(scaled_panel(spark, sf_dir).repartition("t"), op, ["flow"], 3)
+    basis = R.chebyshev_basis(P.with_halo(scaled_panel(spark, sf_dir), 0, FC.layout_for(graph)), op, ["flow"], 3)
     columns = [f"flow_k{k}" for k in range(4)]
     return rounded(basis.select("node_id", "t", *columns), columns)
 

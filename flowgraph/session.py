@@ -15,8 +15,10 @@ def local_session(cpus: int | str = "*", app: str = "flowgraph") -> SparkSession
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("FLOWGRAPH_DRIVER_MEMORY", "8g"))
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(4 * max(2, cores)))
+        .config("spark.sql.shuffle.partitions", str(2 * max(4, cores)))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Two sides partitioned by a block of steps stay where they are in joins on (block, node).
+        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         .getOrCreate()
     )
