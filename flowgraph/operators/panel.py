@@ -75,7 +75,8 @@ def feature_profile(
         stats.append(F.percentile_approx("x", list(percentiles), 10_000).alias("percentiles"))
     summary = long.groupBy("feature").agg(*stats)
     position = F.floor((F.col("x") - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0.0)) * bins)
-    bin_no = F.coalesce(F.least(position, F.lit(bins - 1)), F.lit(0))
+    # least() skips nulls, so a constant feature needs its bin first.
+    bin_no = F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1))
     # One summary row per feature name.
     binned = long.join(F.broadcast(summary.select("feature", "low", "high")), "feature")
     histogram = binned.groupBy("feature").agg(

@@ -607,3 +607,130 @@ add(
     f"select node_id, t, {r6('prediction', 'prediction')} from fc where t in (select distinct t from fc order by t limit 5)",
     "fc",
 )
+
+
+# --- training ------------------------------------------------------------------------------------------------
+
+def lagged(tables: list[str], columns: list[str]) -> str:
+    """History columns of filtered series, tap by tap, with the target."""
+    lags = []
+    for table, column in zip(tables, columns):
+        lags += [f"lag({table}.{column}, {H + 1 - k}) over w as {table}_{k}" for k in range(1, H + 1)]
+    joins = " ".join(f"join {t} on {t}.node_id = s.node_id and {t}.t = s.t" for t in tables)
+    return f"""select * from (select s.node_id, s.t, s.x as y, {', '.join(lags)} from scaled s {joins}
+        window w as (partition by s.node_id order by s.t)) z where t >= 6 and t < 480"""
+
+
+TABLES["p0"] = (
+    ("walk", "scaled"),
+    "select w.i as node_id, s.t, sum(w.w * s.x) as x from walk w join scaled s on s.node_id = w.j group by w.i, s.t",
+)
+
+
+def twice_filtered(name: str, source: str, columns: list[str]) -> None:
+    """<name>_1 = L source, <name>_2 = 2 L <name>_1 - source."""
+    TABLES[f"{name}_1"] = (
+        (source, "lap"),
+        f"select w.i as node_id, z.t, {sums(columns)} from lap w join {source} z on z.node_id = w.j group by w.i, z.t",
+    )
+    TABLES[f"{name}_2"] = (
+        (f"{name}_1", source, "lap"),
+        f"""select a.node_id, a.t, {', '.join(f'2 * a.{c} - b.{c} as {c}' for c in columns)}
+            from (select w.i as node_id, z.t, {sums(columns)} from lap w join {name}_1 z on z.node_id = w.j group by w.i, z.t) a
+            join {source} b on a.node_id = b.node_id and a.t = b.t""",
+    )
+
+
+def gradient_query(name: str, taps: list[str], first: list[list[float]], bias: list[float], second: list[list[float]], last: float) -> None:
+    inputs = [f"{tap}_{k}" for tap in taps for k in range(1, H + 1)]
+    TABLES[f"{name}_rows"] = (("scaled", *taps), lagged(taps, ["x"] * len(taps)))
+    TABLES[f"{name}_h"] = (
+        (f"{name}_rows",),
+        "select r.*, " + ", ".join(
+            "greatest(" + linear(inputs, [[row[c]] for row in first], [bias[c]], ["v"]).removesuffix(" as v") + f", 0e0) as {h}"
+            for c, h in enumerate(HIDDEN)
+        ) + f" from {name}_rows r",
+    )
+    if len(second) == 1:
+        z = linear(HIDDEN, [[w] for w in second[0]], None, ["z"])
+        TABLES[f"{name}_z"] = ((f"{name}_h",), f"select node_id, t, {z} from {name}_h")
+        TABLES[f"{name}_o"] = (
+            (f"{name}_z", "walk"),
+            f"select w.i as node_id, z.t, sum(w.w * z.z) as o from walk w join {name}_z z on z.node_id = w.j group by w.i, z.t",
+        )
+    else:
+        TABLES[f"{name}_u"] = ((f"{name}_h",), f"select node_id, t, {', '.join(HIDDEN)} from {name}_h")
+        twice_filtered(f"{name}_u", f"{name}_u", HIDDEN)
+        o = " + ".join(
+            linear([f"{a}.{c}" for c in HIDDEN], [[w] for w in second[k]], None, ["z"]).removesuffix(" as z")
+            for k, a in enumerate("abc")
+        )
+        TABLES[f"{name}_o"] = (
+            (f"{name}_u", f"{name}_u_1", f"{name}_u_2"),
+            f"""select a.node_id, a.t, {o} as o from {name}_u a join {name}_u_1 b on a.node_id = b.node_id and a.t = b.t
+                join {name}_u_2 c on a.node_id = c.node_id and a.t = c.t""",
+        )
+    level = f"(o.o + cast({last!r} as double))"
+    TABLES[f"{name}_d"] = (
+        (f"{name}_o", f"{name}_rows"),
+        f"""select o.node_id, o.t, power(greatest({level}, 0e0) - r.y, 2) as sq,
+            case when {level} > 0 then 2 * (greatest({level}, 0e0) - r.y) else 0e0 end as d
+            from {name}_o o join {name}_rows r on r.node_id = o.node_id and r.t = o.t""",
+    )
+    if len(second) == 1:
+        TABLES[f"{name}_v"] = (
+            (f"{name}_d", "walk"),
+            f"""select d.node_id, d.t, d.d, d.sq, v.v as v_0 from {name}_d d join (select w.j as node_id, z.t, sum(w.w * z.d) as v
+                from walk w join {name}_d z on z.node_id = w.i group by w.j, z.t) v on v.node_id = d.node_id and v.t = d.t""",
+        )
+    else:
+        twice_filtered(f"{name}_d", f"{name}_d", ["d"])
+        TABLES[f"{name}_v"] = (
+            (f"{name}_d", f"{name}_d_1", f"{name}_d_2"),
+            f"""select a.node_id, a.t, a.d, a.sq, a.d as v_0, b.d as v_1, c.d as v_2 from {name}_d a
+                join {name}_d_1 b on a.node_id = b.node_id and a.t = b.t join {name}_d_2 c on a.node_id = c.node_id and a.t = c.t""",
+        )
+    errors = ", ".join(
+        f"case when h.{h} > 0 then "
+        + " + ".join(f"v.v_{k} * cast({tap[c]!r} as double)" for k, tap in enumerate(second))
+        + f" else 0e0 end as e_{c}"
+        for c, h in enumerate(HIDDEN)
+    )
+    taps_back = ", ".join(f"v.v_{k}" for k in range(len(second)))
+    TABLES[f"{name}_all"] = (
+        (f"{name}_h", f"{name}_v"),
+        f"""select h.*, v.d, v.sq, {taps_back}, {errors} from {name}_h h join {name}_v v
+            on v.node_id = h.node_id and v.t = h.t""",
+    )
+    parts = [[f"sum({x} * e_{c})" for c in range(len(HIDDEN))] for x in inputs]
+    parts.append([f"sum(e_{c})" for c in range(len(HIDDEN))])
+    parts += [[f"sum({h} * v_{k})" for h in HIDDEN] for k in range(len(second))]
+    parts.append(["sum(d)", "sum(sq)", "cast(count(*) as double)", "0e0", "0e0", "0e0"])
+    body = " union all ".join(
+        f"select {n} as part, " + ", ".join(r6(g, f"g_{c}", 5) for c, g in enumerate(part, 1)) + f" from {name}_all"
+        for n, part in enumerate(parts)
+    )
+    add(f"{name}_loss_gradient", body, f"{name}_all")
+
+
+gradient_query("gcn", ["p0"], _gcn.weight[0], _gcn.bias[0], [[r[0] for r in _gcn.weight[1]]], _gcn.bias[1][0])
+gradient_query(
+    "cheb",
+    ["t0", "t1", "t2"],
+    [row for tap in _cheb.weight[0] for row in tap],
+    _cheb.bias[0],
+    [[r[0] for r in tap] for tap in _cheb.weight[1]],
+    _cheb.bias[1][0],
+)
+
+_factors = [f"p0_{k}" for k in range(1, H + 1)] + ["1e0"]
+add(
+    "sgc_gram",
+    " union all ".join(
+        f"select {n} as row, "
+        + ", ".join(r6(f"sum({a} * {b})", f"c_{m}", 5) for m, b in enumerate(_factors))
+        + f", {r6(f'sum({a} * y)', 'c_y', 5)} from gcn_rows"
+        for n, a in enumerate(_factors)
+    ),
+    "gcn_rows",
+)

@@ -16,7 +16,8 @@ from flowgraph.operators import panel as P
 from flowgraph.operators import propagate as R
 from flowgraph.plans import driver_tables as D
 from flowgraph.plans import forecast as FC
-from flowgraph.plans.sizing import settle, shared_path
+from flowgraph.plans import train as TR
+from flowgraph.plans.sizing import cut, settle, shared_path
 from flowgraph.queries import weights as W
 from flowgraph.sources import edges as SE
 from flowgraph.sources import forecasts as SF
@@ -566,3 +567,60 @@ def plot_bounds(spark, sf_dir):
 @query
 def first_k_samples(spark, sf_dir):
     return rounded(P.first_samples(forecast(spark, sf_dir), FIRST_K).select("node_id", "t", "prediction"), ["prediction"])
+
+
+# --- training ------------------------------------------------------------------------------------------------
+
+def _gradient(spark, sf_dir, params):
+    graph = D.road_graph(spark, sf_dir)
+    op = FC.operator_for(params, graph).settled()
+    rows = cut(TR.training_rows(scaled_panel(spark, sf_dir), graph, op, params, D.H, TRAIN))
+    sums = TR.filter_gradient(rows, op, params, D.H)
+    return rounded(sums, [c for c in sums.columns if c != "part"], 5)
+
+
+@query
+def gcn_loss_gradient(spark, sf_dir):
+    return _gradient(spark, sf_dir, W.gcn())
+
+
+@query
+def cheb_loss_gradient(spark, sf_dir):
+    return _gradient(spark, sf_dir, W.cheb())
+
+
+def _trained(spark, sf_dir, params, epochs, rate):
+    done = TR.train(
+        scaled_panel(spark, sf_dir), D.road_graph(spark, sf_dir), params, D.H, TRAIN, epochs=epochs, batch_steps=None, rate=rate
+    )
+    return L.parameter_table(spark, done.params)
+
+
+@query
+def gcn_train(spark, sf_dir):
+    return _trained(spark, sf_dir, W.gcn(), 3, 0.01)
+
+
+@query
+def cheb_train(spark, sf_dir):
+    return _trained(spark, sf_dir, W.cheb(), 2, 0.01)
+
+
+def _linear_rows(spark, sf_dir):
+    graph = D.road_graph(spark, sf_dir)
+    params = W.gcn()
+    op = FC.operator_for(params, graph).settled()
+    return TR.training_rows(scaled_panel(spark, sf_dir), graph, op, params, D.H, TRAIN), TR.input_names(params, D.H)
+
+
+@query
+def sgc_gram(spark, sf_dir):
+    sums = TR.gram(*_linear_rows(spark, sf_dir))
+    return rounded(sums, [c for c in sums.columns if c != "row"], 5)
+
+
+@query
+def sgc_linear_fit(spark, sf_dir):
+    coefficients, intercept = TR.linear_fit(*_linear_rows(spark, sf_dir))
+    rows = [(n, c) for n, c in enumerate([*coefficients, intercept])]
+    return rounded(spark.createDataFrame(rows, "row int, value double"), ["value"])

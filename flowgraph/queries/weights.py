@@ -1,4 +1,8 @@
-"""Fixed small weights for the scoring queries, from a rule, so that Spark and SQL use the same numbers."""
+"""Fixed small weights for the scoring queries, from a rule, so that Spark and SQL use the same numbers.
+
+The biases are no short decimals: a relu input of exactly zero has no single derivative, and rational inputs with
+rational weights reach it.
+"""
 
 from __future__ import annotations
 
@@ -15,7 +19,7 @@ def weight(layer: int, tap: int, row: int, col: int) -> float:
 
 
 def bias(layer: int, col: int) -> float:
-    return ((3 * layer + 2 * col) % 5 - 1) / 32 + 0.00625
+    return ((3 * layer + 2 * col) % 5 - 1) / 32 + 0.0061803
 
 
 def matrix(layer: int, tap: int, rows: int, cols: int) -> list[list[float]]:
