@@ -2,46 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from flowgraph.schemas import EDGE_FILE_SCHEMA
 
-BAD_ROW = "_bad"
+HEADER = ",".join(EDGE_FILE_SCHEMA.fieldNames())
 
 
-def _raw_edges(spark: SparkSession, path) -> DataFrame:
-    schema = T.StructType(EDGE_FILE_SCHEMA.fields + [T.StructField(BAD_ROW, T.StringType())])
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BAD_ROW)
-        .option("columnPruning", False)
-        .csv(path)
+def _edge_lines(spark: SparkSession, path) -> DataFrame:
+    """The lines below the header, their fields, and whether they are two ids and a cost.
+
+    Lines are split here rather than by the CSV reader, whose mark for a bad row cannot be queried on its own.
+    """
+    lines = spark.read.text(path).select(F.regexp_replace("value", r'["\r]', "").alias("row"))
+    body = lines.where((F.trim("row") != "") & (F.lower(F.replace("row", F.lit(" "), F.lit(""))) != HEADER))
+    fields = body.select("row", F.split("row", ",").alias("f")).select(
+        "row", "f", *[F.trim(F.get("f", F.lit(n))).alias(c) for n, c in enumerate(EDGE_FILE_SCHEMA.fieldNames())]
     )
+    typed = fields.select("row", "f", *edge_casts())
+    complete = (F.size("f") == 3) & F.col("src").isNotNull() & F.col("dst").isNotNull() & F.col("weight").isNotNull()
+    return typed.select("row", "src", "dst", "weight", complete.alias("good"))
 
 
 def read_edges(spark: SparkSession, path) -> DataFrame:
     """CSV with header from,to,cost -> src, dst, weight. Rows that are not two ids and a cost are left out."""
-    good = _raw_edges(spark, path).where(F.col(BAD_ROW).isNull())
-    return good.select(F.col("from").alias("src"), F.col("to").alias("dst"), F.col("cost").alias("weight"))
+    return _edge_lines(spark, path).where("good").select("src", "dst", "weight")
 
 
 def rejected_edges(spark: SparkSession, path) -> DataFrame:
-    """The text of the rows that `read_edges` leaves out: wrong field count or text that is no number."""
-    bad = _raw_edges(spark, path).where(F.col(BAD_ROW).isNotNull())
-    return bad.select(F.col(BAD_ROW).alias("row"), "from", "to", "cost")
+    """The rows that `read_edges` leaves out: wrong field count or text that is no number."""
+    return _edge_lines(spark, path).where("not good").select("row")
 
 
-def edge_columns(raw: DataFrame, source: str = "from", target: str = "to", cost: str = "cost") -> DataFrame:
-    """Cast and rename text columns to src, dst, weight; text that is no number becomes null."""
-    return raw.select(
+def edge_casts(source: str = "from", target: str = "to", cost: str = "cost") -> list[Column]:
+    return [
         F.expr(f"try_cast(`{source}` as bigint)").alias("src"),
         F.expr(f"try_cast(`{target}` as bigint)").alias("dst"),
         F.expr(f"try_cast(`{cost}` as double)").alias("weight"),
-    )
+    ]
+
+
+def edge_columns(raw: DataFrame, source: str = "from", target: str = "to", cost: str = "cost") -> DataFrame:
+    """Cast and rename text columns to src, dst, weight; text that is no number becomes null."""
+    return raw.select(*edge_casts(source, target, cost))
 
 
 def read_node_order(spark: SparkSession, path) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ def save_forecast(
         raise ValueError("restoring needs the base of the scaling")
     try:
         write_forecast(restore(forecast, base) if denormalise else forecast, path, split)
-    except PySparkException as failure:
+    except (PySparkException, Py4JError) as failure:
         log.warning("forecast not saved to %s: %s", path, failure)
         return False
     return True
