@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from flowgraph.llm import exact_dedup, mixing
+from pyspark.sql import functions as F
+
+from flowgraph.llm import exact_dedup, mixing, packing, topk
 from flowgraph.llm.common import table
 
 
+def op2_topk_search(spark, sf_dir):
+    return topk.topk(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+def op3_pack_buckets(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -14,5 +24,5 @@ def op9_mix_sources(spark, sf_dir):
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op9_mix_sources)}
-ORACLE = {"op4_exact_dedup": exact_dedup.ORACLE, "op9_mix_sources": mixing.ORACLE}
+QUERIES = {f.__name__: f for f in (op2_topk_search, op3_pack_buckets, op4_exact_dedup, op9_mix_sources)}
+ORACLE = {"op2_topk_search": topk.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE, "op9_mix_sources": mixing.ORACLE}
