@@ -8,7 +8,7 @@ a source takes its documents in the order of rank while their words fit the rest
 same order with documents that fit it. p_i is the rest's share of the source times the document's relative `measure`
 (default: all alike, so that probabilities differ between sources only); p_i >= 1 ranks first.
 
-Nothing is sorted whole: ranks are cut into bins of some ten thousand documents, words are summed per (source, bin), and
+Nothing is sorted whole: ranks are cut into bins of some thousand documents, words are summed per (source, bin), and
 the running sum inside a bin starts from the sum of the bins before it. A source with a third of all rows is spread over bins.
 
 Defined cases: a null text has size 0; documents without words are taken 0 times; a null source is a source of its own; rows
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from flowgraph.llm.common import stored, words_in
 
 WEIGHTS = (5, 2, 1)
-BIN_ROWS = 10_000
+BIN_ROWS = 2_000
 SALTS = 16
 
 
@@ -91,7 +91,9 @@ def mix(docs: DataFrame, seed: str = "mix-1:", measure: Column | None = None) ->
     rows = rows.join(mean, "k") if measure is not None else rows.withColumn("measured", F.col("source_size").cast("double"))
     certain = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     chance = (F.col("room") / F.col("measured")) * F.col("measure")
-    odds = (F.col("u") / (1 - F.col("u"))) / (F.col("chance") / (1 - F.col("chance")))
+    # All odds of a source are scaled by one factor, which keeps their order and spreads the ranks evenly over (0, 1).
+    usual = F.col("room") / F.col("measured")
+    odds = (F.col("u") / (1 - F.col("u"))) * ((usual / (1 - usual)) / (F.col("chance") / (1 - F.col("chance"))))
     ranked = (
         rows.withColumn("certain", certain)
         .withColumn("words", F.col("size") * F.col("rows"))
@@ -99,7 +101,7 @@ def mix(docs: DataFrame, seed: str = "mix-1:", measure: Column | None = None) ->
         .withColumn("u", _uniform(seed))
         .withColumn("chance", F.when(F.col("measured") > 0, chance).otherwise(0.0))
         # odds / (1 + odds) orders as odds does and lies in [0, 1), which makes bins
-        .withColumn("rank", F.when(F.col("chance") >= 1, 0.0).when(F.col("chance") <= 0, F.col("u")).otherwise(odds / (1 + odds)))
+        .withColumn("rank", F.when(F.col("chance") >= 1, 0.0).when((F.col("chance") <= 0) | (usual >= 1), F.col("u")).otherwise(odds / (1 + odds)))
         .withColumn("bin", F.least(F.floor(F.col("rank") * bins), F.lit(bins - 1)).cast("long"))
         .select("doc_id", "source", "k", "size", "rows", "words", "source_size", "target", "certain", "room", "rank", "bin")
     )
@@ -149,7 +151,7 @@ r as (select s.doc_id, s.size, t.*, case when source_size > 0 then cast(floor(ta
 r2 as (select *, target - certain * source_size as room from r),
 r3 as (select *, case when source_size > 0 then room / source_size::double else 0 end as chance from r2),
 r4 as (select *, case when chance >= 1 then 0 when chance <= 0 then u
-  else ((u / (1 - u)) / (chance / (1 - chance))) / (1 + ((u / (1 - u)) / (chance / (1 - chance)))) end as rank from r3),
+  else (u / (1 - u)) / (1 + (u / (1 - u))) end as rank from r3),
 p1 as (select *, size > 0 and sum(size) over (partition by k order by rank, doc_id rows unbounded preceding) <= room as one from r4),
 gap as (select *, room - coalesce(sum(case when one then size end) over (partition by k), 0) as gap from p1),
 p2 as (select *, not one and size <= gap * 2 as small from gap),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowgraph.llm import exact_dedup, mixing, packing, topk
+from flowgraph.llm import exact_dedup, jaccard, mixing, packing, topk
 from flowgraph.llm.common import table
 
 
@@ -20,9 +20,13 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark, sf_dir):
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=90).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_mix_sources(spark, sf_dir):
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_topk_search, op3_pack_buckets, op4_exact_dedup, op9_mix_sources)}
-ORACLE = {"op2_topk_search": topk.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE, "op9_mix_sources": mixing.ORACLE}
+QUERIES = {f.__name__: f for f in (op2_topk_search, op3_pack_buckets, op4_exact_dedup, op8_jaccard_join, op9_mix_sources)}
+ORACLE = {"op2_topk_search": topk.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE, "op8_jaccard_join": jaccard.ORACLE, "op9_mix_sources": mixing.ORACLE}

@@ -100,8 +100,8 @@ def topk(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: str
 
 ORACLE = """
 with v as (select vec_id, min(embedding) as e from embeddings
-  where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0 group by vec_id),
-w as (select vec_id, list_transform(e, x -> floor(256 * x::double)) as e from v),
+  where vec_id is not null and len(embedding) > 0 and len([x for x in embedding if x is null or not isfinite(x)]) = 0 group by vec_id),
+w as (select vec_id, [floor(256 * x::double) for x in e] as e from v),
 s as (select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score
   from w q join w c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 50 = 0),
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
