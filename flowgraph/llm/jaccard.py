@@ -12,8 +12,8 @@ Two documents link when 100 * |A and B| >= percent * |A or B| for their shingle
    frequent words or passages rarely do.
 3. Overlaps. For candidate pairs the common shingles are counted fragment by fragment (FRAGMENTS fragments) as separate rows
    and summed per pair.
-4. Of the classes that share a segment each is first compared with one of them only, which makes at most as many pairs as
-   rows. Connected classes need no further comparison. Where a group still holds more than one component, all pairs between
+4. Of the classes that share a segment each is first compared with one of them only, the one with which it shares most,
+   which makes at most as many pairs as classes. Connected classes need no further comparison. Where a group still holds more than one component, all pairs between
    components follow: as pairs in groups up to SMALL classes, else as tiles of TILE x TILE classes whose overlaps are counted in
    the task, fragment by fragment, and which return a spanning forest of their links only. So no pair is left out, and a
    group of near copies makes no square of rows.
@@ -90,10 +90,13 @@ def _sets(texts, k: int):
 
 
 def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, n (set size), cls (null for an empty set), sent (segment hashes): a row per document."""
+    """doc_id, n (set size), cls (null for an empty set), sent (segment hashes): a row per document.
+
+    A task sends the segments of a class once; copies carry no segments.
+    """
 
     def run(batches):
-        ends = [1]
+        ends, seen = [1], set()
         for batch in batches:
             n, cls, sent = [], [], []
             for _, hashes in _sets(batch.column(1), k):
@@ -101,7 +104,9 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     ends = ranges_up_to(2 * len(hashes), percent)
                 n.append(len(hashes))
                 cls.append(_class_of(hashes) if len(hashes) else None)
-                sent.append(segment_hashes(hashes, ends, percent).view(np.int64) if len(hashes) else np.zeros(0, np.int64))
+                fresh = len(hashes) and cls[-1] not in seen
+                seen.add(cls[-1])
+                sent.append(segment_hashes(hashes, ends, percent).view(np.int64) if fresh else np.zeros(0, np.int64))
             lengths = np.concatenate([[0], np.cumsum([len(x) for x in sent])]).astype(np.int32)
             flat = pa.array(np.concatenate(sent) if sent else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
@@ -228,22 +233,24 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     spanning work kept for the row's class (0: no other text is known to link).
     """
     sent = stored(signatures(docs, k, percent), "signatures")
-    classes = sent.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max_by("sent", F.size("sent")).alias("sent"))
-    segments_sent = stored(classes.select("cls", "rep", F.explode("sent").alias("sig")), "sent")
-    # A segment sent by one class only makes no pair. Most are; two bits per hash let most of them stay where they are.
-    shared = segments_sent.groupBy("sig").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi")
-    shared = stored(shared.select("sig", F.when(F.xxhash64("sig") % 2 == 0, F.col("lo")).otherwise(F.col("hi")).alias("center")), "shared")
+    classes = stored(sent.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep")), "classes")
+    segments_sent = sent.where("cls is not null").select("cls", F.explode("sent").alias("sig"))
+    # A segment sent by one class only makes no pair. Most are; a bit per hash lets nearly all of them stay where they are.
+    shared = segments_sent.groupBy("sig").agg(F.min("cls").alias("center"), F.max("cls").alias("hi")).where("center <> hi")
+    shared = stored(shared.select("sig", "center"), "shared")
     cell = F.pmod(F.xxhash64("sig"), F.lit(CELLS))
     maybe = has_bit(segments_sent.withColumn("_cell", cell), "_cell", bit_table(shared.select(cell.alias("_cell")), "_cell"), "_maybe")
-    members = stored(maybe.where("_maybe").drop("_cell", "_maybe").join(shared, "sig"), "members")
-    low, high = F.least("cls", "center"), F.greatest("cls", "center")
-    star = stored(members.where("cls <> center").select(low.alias("a"), high.alias("b")).distinct(), "star")
+    members = stored(maybe.where("_maybe").drop("_cell", "_maybe").join(shared, "sig").distinct(), "members")
+    met = members.where("cls <> center").groupBy("cls", "center").agg(F.count("*").alias("m"))
+    best = met.groupBy("cls").agg(F.max_by("center", F.struct("m", "center")).alias("center"))
+    star = stored(best.select(F.least("cls", "center").alias("a"), F.greatest("cls", "center").alias("b")).distinct(), "star")
     # The sets of all classes that share a segment, from one document of each.
     doc_cell = F.pmod(F.xxhash64("doc_id"), F.lit(CELLS))
-    chosen = members.select(F.col("rep").alias("doc_id")).distinct()
+    involved = members.select("cls").distinct()
+    chosen = classes.join(involved, "cls", "left_semi").select(F.col("rep").alias("doc_id"))
     wanted = has_bit(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("_cell", doc_cell), "_cell",
                      bit_table(chosen.select(doc_cell.alias("_cell")), "_cell"), "_wanted").where("_wanted")
-    parts = segments(wanted, k).join(members.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls", "f"])
+    parts = segments(wanted, k).join(involved, "cls", "left_semi").dropDuplicates(["cls", "f"])
     parts = stored(parts, "parts")
     links = stored(verified(star, parts, percent), "links")
     found = components(links, "a", "b")
