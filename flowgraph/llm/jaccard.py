@@ -10,8 +10,8 @@ Two documents link when 100 * |A and B| >= percent * |A or B| for their shingle
    before. (Empty segments are sent only by a set with at most d segments that are not empty; two sets that are both beyond
    that agree in a segment that is not empty.) So a candidate pair shares a whole segment, which texts that merely share
    frequent words or passages rarely do.
-3. Overlaps. For candidate pairs the common shingles are counted fragment by fragment (FRAGMENTS fragments) as separate rows
-   and summed per pair.
+3. Overlaps. A pair whose segment sizes alone (in 64 fragments) rule a link out is dropped. For the others the common
+   shingles are counted fragment by fragment (FRAGMENTS fragments) as separate rows and summed per pair.
 4. Of the classes that share a segment each is first compared with one of them only, the one with which it shares most,
    which makes at most as many pairs as classes. Connected classes need no further comparison. Where a group still holds more than one component, all pairs between
    components follow: as pairs in groups up to SMALL classes, else as tiles of TILE x TILE classes whose overlaps are counted in
@@ -90,7 +90,7 @@ def _sets(texts, k: int):
 
 
 def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, n (set size), cls (null for an empty set), sent (segment hashes): a row per document.
+    """doc_id, n (set size), cls (null for an empty set), sent (segment hashes), lens (sizes of 64 segments): a row per document.
 
     A task sends the segments of a class once; copies carry no segments.
     """
@@ -98,24 +98,25 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
     def run(batches):
         ends, seen = [1], set()
         for batch in batches:
-            n, cls, sent = [], [], []
+            n, cls, sent, lens = [], [], [], []
             for _, hashes in _sets(batch.column(1), k):
                 if len(hashes) > ends[-1]:
                     ends = ranges_up_to(2 * len(hashes), percent)
                 n.append(len(hashes))
                 cls.append(_class_of(hashes) if len(hashes) else None)
+                lens.append(np.bincount((hashes >> np.uint64(58)).astype(np.int64), minlength=64).astype(np.int32))
                 fresh = len(hashes) and cls[-1] not in seen
                 seen.add(cls[-1])
                 sent.append(segment_hashes(hashes, ends, percent).view(np.int64) if fresh else np.zeros(0, np.int64))
             lengths = np.concatenate([[0], np.cumsum([len(x) for x in sent])]).astype(np.int32)
             flat = pa.array(np.concatenate(sent) if sent else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths), flat)],
-                ["doc_id", "n", "cls", "sent"],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths), flat), pa.array(lens, pa.list_(pa.int32()))],
+                ["doc_id", "n", "cls", "sent", "lens"],
             )
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return read.mapInArrow(run, "doc_id long, n long, cls long, sent array<long>")
+    return read.mapInArrow(run, "doc_id long, n long, cls long, sent array<long>, lens array<int>")
 
 
 def segments(docs: DataFrame, k: int) -> DataFrame:
@@ -146,6 +147,16 @@ def _linked(overlap, left, right, percent: int):
     return overlap * 100 >= (left + right - overlap) * percent
 
 
+def possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose segment sizes allow a link: sets differ in the sum of size differences at least."""
+    left = classes.select(F.col("cls").alias("a"), F.col("n").alias("a_n"), F.col("lens").alias("a_lens"))
+    right = classes.select(F.col("cls").alias("b"), F.col("n").alias("b_n"), F.col("lens").alias("b_lens"))
+    sized = pairs.join(left, "a").join(right, "b")
+    apart = F.aggregate(F.zip_with("a_lens", "b_lens", lambda x, y: F.abs(x - y)), F.lit(0), lambda x, y: x + y)
+    most = F.floor((F.col("a_n") + F.col("b_n") - apart) / 2)
+    return sized.where(_linked(most, F.col("a_n"), F.col("b_n"), percent)).select("a", "b")
+
+
 def verified(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """Of the pairs (a, b) of classes those that link: overlaps counted per fragment and summed per pair."""
     left = parts.select(F.col("cls").alias("a"), F.col("n").alias("a_n"), "f", F.col("part").alias("a_part"))
@@ -198,7 +209,7 @@ def tile_links(frame: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
     return out
 
 
-def _rest(members: DataFrame, found: DataFrame, tried: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+def _rest(members: DataFrame, found: DataFrame, tried: DataFrame, classes: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """Links between classes that share a segment but were left in different components."""
     named = members.join(found.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     named = stored(named, "named")
@@ -207,7 +218,7 @@ def _rest(members: DataFrame, found: DataFrame, tried: DataFrame, parts: DataFra
     small = rows.where(F.col("m") <= SMALL)
     one, two = small.select("sig", F.col("cls").alias("a"), F.col("comp").alias("a_comp")), small.select("sig", F.col("cls").alias("b"), F.col("comp").alias("b_comp"))
     pairs = one.join(two, "sig").where("a < b and a_comp <> b_comp").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    links = verified(stored(pairs, "pairs"), parts, percent)
+    links = verified(stored(possible(pairs, classes, percent), "pairs"), parts, percent)
     large = rows.where(F.col("m") > SMALL)
     if large.isEmpty():
         return links
@@ -233,7 +244,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     spanning work kept for the row's class (0: no other text is known to link).
     """
     sent = stored(signatures(docs, k, percent), "signatures")
-    classes = stored(sent.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = stored(sent.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("lens").alias("lens")), "classes")
     segments_sent = sent.where("cls is not null").select("cls", F.explode("sent").alias("sig"))
     # A segment sent by one class only makes no pair. Most are; a bit per hash lets nearly all of them stay where they are.
     shared = segments_sent.groupBy("sig").agg(F.min("cls").alias("center"), F.max("cls").alias("hi")).where("center <> hi")
@@ -252,9 +263,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
                      bit_table(chosen.select(doc_cell.alias("_cell")), "_cell"), "_wanted").where("_wanted")
     parts = segments(wanted, k).join(involved, "cls", "left_semi").dropDuplicates(["cls", "f"])
     parts = stored(parts, "parts")
-    links = stored(verified(star, parts, percent), "links")
+    links = stored(verified(possible(star, classes, percent), parts, percent), "links")
     found = components(links, "a", "b")
-    more = stored(_rest(members.select("sig", "cls"), found, star, parts, percent), "more")
+    more = stored(_rest(members.select("sig", "cls"), found, star, classes, parts, percent), "more")
     if not more.isEmpty():
         links = links.unionByName(more).distinct()
         found = components(links, "a", "b")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowgraph.llm import exact_dedup, jaccard, mixing, packing, topk
+from flowgraph.llm import exact_dedup, jaccard, line_dedup, mixing, packing, topk
 from flowgraph.llm.common import table
 
 
@@ -28,5 +28,9 @@ def op9_mix_sources(spark, sf_dir):
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_topk_search, op3_pack_buckets, op4_exact_dedup, op8_jaccard_join, op9_mix_sources)}
+def op10_line_dedup(spark, sf_dir):
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "deleted_lines")
+
+
+QUERIES = {f.__name__: f for f in (op2_topk_search, op3_pack_buckets, op4_exact_dedup, op8_jaccard_join, op9_mix_sources, op10_line_dedup)}
 ORACLE = {"op2_topk_search": topk.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE, "op8_jaccard_join": jaccard.ORACLE, "op9_mix_sources": mixing.ORACLE}
