@@ -12,8 +12,8 @@ is a run of consecutive lines with at least `min_words` words in all.
    Anchor runs the order had to leave out (a passage that moved) are fixed after that.
 4. Deletion. Aligned blocks of at least min_words words leave the later document; the earlier one keeps them.
 
-Only hashes and word counts of lines meet in pairs; a hot first holder is repeated per pair with its line hashes only, and
-texts are shuffled once, to meet their deletions.
+Only hashes and word counts of lines meet in pairs; a hot first holder is repeated per pair with its line hashes only. Of the
+texts only those that may lose lines are shuffled, to meet their deletions (a bit table of fixed size tells them apart).
 
 Defined cases: a null text counts as empty and stays null; documents are ordered by doc_id (null first), then by a hash of the
 text; rows that repeat id and text are one document, and are changed alike; a later document whose lines are all common
@@ -29,9 +29,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowgraph.llm.common import WORD, stored
+from flowgraph.llm.common import WORD, bit_table, has_bit, stored
 
 MIN_WORDS = 50
+CELLS = 1 << 23
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -197,11 +198,16 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The rows of docs with `text` after deletion, and the column `deleted_lines` (their number)."""
     gone = deletions(docs, min_words).select(F.col("id").alias("_id"), F.col("th").alias("_th"), F.col("gone").alias("_gone"))
-    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    joined = keyed.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_id"]) & (keyed["_key"] == gone["_th"]), "left")
+    cell = lambda c: F.pmod(F.xxhash64(c), F.lit(CELLS))
+    bits = bit_table(gone.select(cell("_id").alias("_cell")), "_cell")
+    marked = has_bit(docs.withColumn("_cell", cell(F.col("doc_id").cast("long"))), "_cell", bits, "_maybe")
+    keyed = marked.where("_maybe").withColumn("_key", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_th"))
+    joined = keyed.join(gone.hint("merge"), same, "left")
     left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    changed = joined.withColumn("_left", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left))
-    return changed.select(*[F.col("_left").alias("text") if c == "text" else F.col(c) for c in docs.columns], F.coalesce(F.size("_gone"), F.lit(0)).alias("deleted_lines"))
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left)
+    changed = joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns], F.coalesce(F.size("_gone"), F.lit(0)).alias("deleted_lines"))
+    return marked.where("not _maybe").select(*docs.columns, F.lit(0).alias("deleted_lines")).unionByName(changed)
 
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

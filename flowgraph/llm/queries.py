@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowgraph.llm import exact_dedup, jaccard, line_dedup, mixing, packing, topk
+from flowgraph.llm import exact_dedup, jaccard, line_dedup, mixing, packing, quality, suffix_tree, topk
 from flowgraph.llm.common import table
 
 
+def op1_importance_resampling(spark, sf_dir):
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_topk_search(spark, sf_dir):
     return topk.topk(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
@@ -20,6 +24,10 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_tree(spark, sf_dir):
+    return suffix_tree.score(table(spark, sf_dir, "documents"), suffix_tree.held_out(0, 10))
+
+
 def op8_jaccard_join(spark, sf_dir):
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=90).select("doc_id", "n_shingles", "component_id")
 
@@ -32,5 +40,5 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "deleted_lines")
 
 
-QUERIES = {f.__name__: f for f in (op2_topk_search, op3_pack_buckets, op4_exact_dedup, op8_jaccard_join, op9_mix_sources, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_topk_search, op3_pack_buckets, op4_exact_dedup, op7_suffix_tree, op8_jaccard_join, op9_mix_sources, op10_line_dedup)}
 ORACLE = {"op2_topk_search": topk.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE, "op8_jaccard_join": jaccard.ORACLE, "op9_mix_sources": mixing.ORACLE}
