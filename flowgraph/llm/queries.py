@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowgraph.llm import exact_dedup, jaccard, line_dedup, mixing, packing, quality, suffix_tree, topk
+from flowgraph.llm import exact_dedup, jaccard, licenses, line_dedup, mixing, packing, quality, suffix_tree, topk, toxicity
 from flowgraph.llm.common import table
 
 
@@ -24,6 +24,14 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_license_sentences(spark, sf_dir):
+    return licenses.licenses(table(spark, sf_dir, "documents"))
+
+
+def op6_toxic_clauses(spark, sf_dir):
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), suffix_tree.held_out(2, 4))
+
+
 def op7_suffix_tree(spark, sf_dir):
     return suffix_tree.score(table(spark, sf_dir, "documents"), suffix_tree.held_out(0, 10))
 
@@ -40,5 +48,5 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "deleted_lines")
 
 
-QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_topk_search, op3_pack_buckets, op4_exact_dedup, op7_suffix_tree, op8_jaccard_join, op9_mix_sources, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_topk_search, op3_pack_buckets, op4_exact_dedup, op5_license_sentences, op6_toxic_clauses, op7_suffix_tree, op8_jaccard_join, op9_mix_sources, op10_line_dedup)}
 ORACLE = {"op2_topk_search": topk.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE, "op8_jaccard_join": jaccard.ORACLE, "op9_mix_sources": mixing.ORACLE}
