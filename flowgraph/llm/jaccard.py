@@ -27,8 +27,6 @@ becomes a component's smallest id; a component of null ids only has a null id; a
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -209,7 +207,20 @@ def tile_links(frame: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
     return out
 
 
-def _rest(members: DataFrame, found: DataFrame, tried: DataFrame, classes: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+
+
+def _parts(docs: DataFrame, k: int, classes: DataFrame, needed: DataFrame) -> DataFrame:
+    """The segments of the needed classes, from one document of each: others are told apart by a bit table, not shuffled."""
+    cell = F.pmod(F.xxhash64("doc_id"), F.lit(CELLS))
+    chosen = classes.join(needed, "cls", "left_semi").select(F.col("rep").alias("doc_id"))
+    celled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("_cell", cell)
+    wanted = has_bit(celled, "_cell", bit_table(chosen.select(cell.alias("_cell")), "_cell"), "_wanted").where("_wanted")
+    return stored(segments(wanted, k).join(needed, "cls", "left_semi").dropDuplicates(["cls", "f"]), "parts")
+
+
+def _rest(docs: DataFrame, k: int, members: DataFrame, found: DataFrame, tried: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Links between classes that share a segment but were left in different components."""
     named = members.join(found.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     named = stored(named, "named")
@@ -218,8 +229,11 @@ def _rest(members: DataFrame, found: DataFrame, tried: DataFrame, classes: DataF
     small = rows.where(F.col("m") <= SMALL)
     one, two = small.select("sig", F.col("cls").alias("a"), F.col("comp").alias("a_comp")), small.select("sig", F.col("cls").alias("b"), F.col("comp").alias("b_comp"))
     pairs = one.join(two, "sig").where("a < b and a_comp <> b_comp").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    links = verified(stored(possible(pairs, classes, percent), "pairs"), parts, percent)
+    pairs = stored(possible(pairs, classes, percent), "pairs")
     large = rows.where(F.col("m") > SMALL)
+    needed = _ends(pairs).unionByName(large.select("cls")).distinct()
+    parts = _parts(docs, k, classes, stored(needed, "needed"))
+    links = verified(pairs, parts, percent)
     if large.isEmpty():
         return links
     blocks = F.ceil(F.col("m") / TILE).cast("int")
@@ -255,22 +269,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     met = members.where("cls <> center").groupBy("cls", "center").agg(F.count("*").alias("m"))
     best = met.groupBy("cls").agg(F.max_by("center", F.struct("m", "center")).alias("center"))
     star = stored(best.select(F.least("cls", "center").alias("a"), F.greatest("cls", "center").alias("b")).distinct(), "star")
-    # The sets of all classes that share a segment, from one document of each.
-    doc_cell = F.pmod(F.xxhash64("doc_id"), F.lit(CELLS))
-    involved = members.select("cls").distinct()
-    chosen = classes.join(involved, "cls", "left_semi").select(F.col("rep").alias("doc_id"))
-    wanted = has_bit(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("_cell", doc_cell), "_cell",
-                     bit_table(chosen.select(doc_cell.alias("_cell")), "_cell"), "_wanted").where("_wanted")
-    parts = segments(wanted, k).join(involved, "cls", "left_semi").dropDuplicates(["cls", "f"])
-    parts = stored(parts, "parts")
-    links = stored(verified(possible(star, classes, percent), parts, percent), "links")
+    star = stored(possible(star, classes, percent), "possible")
+    links = stored(verified(star, _parts(docs, k, classes, _ends(star)), percent), "links")
     found = components(links, "a", "b")
-    more = stored(_rest(members.select("sig", "cls"), found, star, classes, parts, percent), "more")
+    more = stored(_rest(docs, k, members.select("sig", "cls"), found, star, classes, percent), "more")
     if not more.isEmpty():
         links = links.unionByName(more).distinct()
         found = components(links, "a", "b")
-    ends = reduce(DataFrame.unionByName, [links.select(F.col(c).alias("cls")) for c in "ab"])
-    counts = ends.groupBy("cls").agg(F.count("*").alias("n_links"))
+    counts = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("n_links"))
     named = classes.select("cls", "rep").join(found.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     smallest = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     of_class = named.join(smallest, "comp").join(counts, "cls", "left").select("cls", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
