@@ -388,8 +388,8 @@ def gat_forward(
     heads = Heads(params.heads, h, block)
     blocks = packed(rows, column)
     first, second = score_bounds(blocks, op, params, heads)
-    hidden = attend(blocks, op, heads, params.head_bias, shifted=first > SAFE_SCORE)
+    hidden = attend(blocks, op, heads, params.head_bias, shifted=not first <= SAFE_SCORE)
     ends = hidden.select("blk", "t", "node_id", "own", linear(heads.flat, params.out)[0].alias("v"))
     end = Heads([[[1.0]]], 0, block)
-    out = attend(packed(cut_to(ends), "v", "own"), op, end, [params.out_bias], shifted=second > SAFE_SCORE)
+    out = attend(packed(cut_to(ends), "v", "own"), op, end, [params.out_bias], shifted=not second <= SAFE_SCORE)
     return out.select("blk", "t", "node_id", F.col("own").alias(column), F.col(end.flat[0]).alias("prediction"))

@@ -17,10 +17,10 @@ log = logging.getLogger(__name__)
 
 
 def write_forecast(forecast: DataFrame, path: str, split: Column | str = "test", mode: str = "overwrite") -> None:
-    """Parquet of node_id, t, prediction, target, one folder per split."""
+    """Parquet of node_id, t, prediction, target, one folder per split. Overwriting replaces the written splits only."""
     label = F.lit(split) if isinstance(split, str) else split
     rows = forecast.select("node_id", "t", "prediction", "target", label.alias("split"))
-    rows.write.mode(mode).partitionBy("split").parquet(path)
+    rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("split").parquet(path)
 
 
 def save_forecast(

@@ -55,6 +55,7 @@ def test_forecast_files(spark, tmp_path):
     assert SF.save_forecast(forecast, path, base=base)
     assert tuple(SF.read_forecast(spark, path, "test").first()) == (0, 1, 6.0, 4.0)
     assert SF.save_forecast(forecast, path, denormalise=False, split="train")
+    assert {r.split for r in SF.read_forecast(spark, path).collect()} == {"test", "train"}
     assert SF.read_forecast(spark, path).columns == ["node_id", "t", "prediction", "target", "split"]
     blocked = tmp_path / "file"
     blocked.write_text("x")
