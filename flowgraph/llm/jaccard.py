@@ -10,12 +10,12 @@ Two documents link when 100 * |A and B| >= percent * |A or B| for their shingle
    before. (Empty segments are sent only by a set with at most d segments that are not empty; two sets that are both beyond
    that agree in a segment that is not empty.) So a candidate pair shares a whole segment, which texts that merely share
    frequent words or passages rarely do.
-3. Overlaps. A pair whose segment sizes alone (in 64 fragments) rule a link out is dropped. For the others the common
-   shingles are counted fragment by fragment (FRAGMENTS fragments) as separate rows and summed per pair.
+3. Overlaps. A pair whose segment sizes (in 64 fragments) or parities (of the counts in 1024 cells) alone rule a link out is
+   dropped: both are lower bounds of what two sets differ in. For the others the common shingles are counted fragment by fragment (FRAGMENTS fragments) as separate rows and summed per pair.
 4. Of the classes that share a segment each is first compared with one of them only, the one with which it shares most,
    which makes at most as many pairs as classes. Connected classes need no further comparison. Where a group still holds more than one component, all pairs between
-   components follow: as pairs in groups up to SMALL classes, else as tiles of TILE x TILE classes whose overlaps are counted in
-   the task, fragment by fragment, and which return a spanning forest of their links only. So no pair is left out, and a
+   components follow: as pairs in groups up to SMALL classes, else as tiles of TILE x TILE classes. A tile first meets with
+   the parities only; the sets follow for classes that still may link, and their overlaps are counted in the task, fragment by fragment, and which return a spanning forest of their links only. So no pair is left out, and a
    group of near copies makes no square of rows.
 
 Class ids are 64-bit hashes of whole sets; two different shingles or sets agree by chance with probability 2**-64.
@@ -42,6 +42,7 @@ SMALL = 32
 TILE = 256
 CELLS = 1 << 23
 _COLUMNS = 4096
+PARITY_BITS = 1024
 
 
 def ranges_up_to(n: int, percent: int) -> list[int]:
@@ -76,6 +77,16 @@ def segment_hashes(hashes: np.ndarray, ends: list[int], percent: int) -> np.ndar
     return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """For each of PARITY_BITS cells whether the set holds an odd number of its shingles, as longs.
+
+    A cell with different parities holds at least one shingle that only one of two sets has, so the number of such cells
+    never exceeds the size of the symmetric difference.
+    """
+    cells = ((hashes >> np.uint64(16)) % np.uint64(PARITY_BITS)).astype(np.int64)
+    return np.packbits((np.bincount(cells, minlength=PARITY_BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _class_of(hashes: np.ndarray) -> int:
     total = words.mix(np.add.reduce(words.mix(hashes), keepdims=True) + np.uint64(len(hashes)))
     return int(total.view(np.int64)[0])
@@ -88,7 +99,7 @@ def _sets(texts, k: int):
 
 
 def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, n (set size), cls (null for an empty set), sent (segment hashes), lens (sizes of 64 segments): a row per document.
+    """doc_id, n (set size), cls (null for an empty set), sent (segment hashes), lens (sizes of 64 segments), bits (parities): a row per document.
 
     A task sends the segments of a class once; copies carry no segments.
     """
@@ -96,25 +107,26 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
     def run(batches):
         ends, seen = [1], set()
         for batch in batches:
-            n, cls, sent, lens = [], [], [], []
+            n, cls, sent, lens, bits = [], [], [], [], []
             for _, hashes in _sets(batch.column(1), k):
                 if len(hashes) > ends[-1]:
                     ends = ranges_up_to(2 * len(hashes), percent)
                 n.append(len(hashes))
                 cls.append(_class_of(hashes) if len(hashes) else None)
                 lens.append(np.bincount((hashes >> np.uint64(58)).astype(np.int64), minlength=64).astype(np.int32))
+                bits.append(parities(hashes))
                 fresh = len(hashes) and cls[-1] not in seen
                 seen.add(cls[-1])
                 sent.append(segment_hashes(hashes, ends, percent).view(np.int64) if fresh else np.zeros(0, np.int64))
             lengths = np.concatenate([[0], np.cumsum([len(x) for x in sent])]).astype(np.int32)
             flat = pa.array(np.concatenate(sent) if sent else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths), flat), pa.array(lens, pa.list_(pa.int32()))],
-                ["doc_id", "n", "cls", "sent", "lens"],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths), flat), pa.array(lens, pa.list_(pa.int32())), pa.array(bits, pa.list_(pa.int64()))],
+                ["doc_id", "n", "cls", "sent", "lens", "bits"],
             )
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return read.mapInArrow(run, "doc_id long, n long, cls long, sent array<long>, lens array<int>")
+    return read.mapInArrow(run, "doc_id long, n long, cls long, sent array<long>, lens array<int>, bits array<long>")
 
 
 def segments(docs: DataFrame, k: int) -> DataFrame:
@@ -145,16 +157,51 @@ def _linked(overlap, left, right, percent: int):
     return overlap * 100 >= (left + right - overlap) * percent
 
 
+def _unequal(left, right):
+    """How many parities of two classes differ."""
+    return F.aggregate(F.zip_with(left, right, lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda x, y: x + y)
+
+
 def possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose segment sizes allow a link: sets differ in the sum of size differences at least."""
-    left = classes.select(F.col("cls").alias("a"), F.col("n").alias("a_n"), F.col("lens").alias("a_lens"))
-    right = classes.select(F.col("cls").alias("b"), F.col("n").alias("b_n"), F.col("lens").alias("b_lens"))
+    """The pairs (a, b) of classes whose segment sizes and parities allow a link: two lower bounds of what sets differ in."""
+    left = classes.select(F.col("cls").alias("a"), F.col("n").alias("a_n"), F.col("lens").alias("a_lens"), F.col("bits").alias("a_bits"))
+    right = classes.select(F.col("cls").alias("b"), F.col("n").alias("b_n"), F.col("lens").alias("b_lens"), F.col("bits").alias("b_bits"))
     sized = pairs.join(left, "a").join(right, "b")
     apart = F.aggregate(F.zip_with("a_lens", "b_lens", lambda x, y: F.abs(x - y)), F.lit(0), lambda x, y: x + y)
-    most = F.floor((F.col("a_n") + F.col("b_n") - apart) / 2)
+    most = F.floor((F.col("a_n") + F.col("b_n") - F.greatest(apart, _unequal("a_bits", "b_bits"))) / 2)
     return sized.where(_linked(most, F.col("a_n"), F.col("b_n"), percent)).select("a", "b")
 
 
+def close_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components in groups of at most SMALL rows (sig, cls, comp, n, bits) that parities allow to link."""
+    grouped = rows.groupBy("sig").agg(F.collect_list(F.struct("cls", "comp", "n", "bits")).alias("g"))
+    one = grouped.select("g", F.explode("g").alias("x"))
+    x = F.col("x")
+
+    def close(y):
+        sized = (y["n"] * 100 >= x["n"] * percent) & (x["n"] * 100 >= y["n"] * percent)
+        most = F.floor((x["n"] + y["n"] - _unequal(x["bits"], y["bits"])) / 2)
+        return (y["cls"] > x["cls"]) & (y["comp"] != x["comp"]) & sized & _linked(most, x["n"], y["n"], percent)
+
+    return one.select(x["cls"].alias("a"), F.explode(F.filter("g", close)).alias("y")).select("a", F.col("y.cls").alias("b")).distinct()
+
+
+def tile_survivors(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """The rows of a tile (columns cls, n, comp, side, bits) that have a partner of another component that parities allow to link."""
+    frame = frame.sort_values(["side", "cls"], kind="stable").drop_duplicates(["side", "cls"])
+    left, right = np.flatnonzero(frame["side"] != 2), np.flatnonzero(frame["side"] != 1)
+    bits = np.unpackbits(np.array(frame["bits"].tolist(), np.int64).view(np.uint8).reshape(len(frame), -1), axis=1).astype(np.float32)
+    n, comp = frame["n"].to_numpy(np.int64), frame["comp"].to_numpy()
+    ones = bits.sum(1)
+    unequal = np.rint(ones[left][:, None] + ones[right][None, :] - 2 * (bits[left] @ bits[right].T)).astype(np.int64)
+    a_n, b_n = n[left][:, None], n[right][None, :]
+    close = _linked((a_n + b_n - unequal) // 2, a_n, b_n, percent) & (comp[left][:, None] != comp[right][None, :])
+    kept = np.zeros(len(frame), bool)
+    kept[left[close.any(1)]] = True
+    kept[right[close.any(0)]] = True
+    return frame[kept]
+
+
 def verified(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """Of the pairs (a, b) of classes those that link: overlaps counted per fragment and summed per pair."""
     left = parts.select(F.col("cls").alias("a"), F.col("n").alias("a_n"), "f", F.col("part").alias("a_part"))
@@ -226,29 +273,35 @@ def _rest(docs: DataFrame, k: int, members: DataFrame, found: DataFrame, tried:
     named = stored(named, "named")
     open_groups = named.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo <> hi").select("sig", "m")
     rows = stored(named.join(open_groups, "sig"), "open")
-    small = rows.where(F.col("m") <= SMALL)
-    one, two = small.select("sig", F.col("cls").alias("a"), F.col("comp").alias("a_comp")), small.select("sig", F.col("cls").alias("b"), F.col("comp").alias("b_comp"))
-    pairs = one.join(two, "sig").where("a < b and a_comp <> b_comp").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+    sketches = classes.select("cls", "n", "bits")
+    small = rows.where(F.col("m") <= SMALL).select("sig", "cls", "comp").join(sketches, "cls")
+    pairs = close_pairs(small, percent).join(tried, ["a", "b"], "left_anti")
     pairs = stored(possible(pairs, classes, percent), "pairs")
-    large = rows.where(F.col("m") > SMALL)
-    needed = _ends(pairs).unionByName(large.select("cls")).distinct()
-    parts = _parts(docs, k, classes, stored(needed, "needed"))
-    links = verified(pairs, parts, percent)
-    if large.isEmpty():
-        return links
     blocks = F.ceil(F.col("m") / TILE).cast("int")
-    at = large.withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    at = rows.where(F.col("m") > SMALL).withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
+    at = at.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     tiled = at.select(
         "sig", "cls", "comp",
         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2).alias("side"),
     )
+
+    def survivors(frame: pd.DataFrame) -> pd.DataFrame:
+        return tile_survivors(frame, percent)[["sig", "cls", "comp", "i", "j", "side"]]
+
+    near = tiled.join(sketches, "cls").groupBy("sig", "i", "j").applyInPandas(survivors, "sig long, cls long, comp long, i int, j int, side int")
+    large = stored(near, "near")
+    needed = _ends(pairs).unionByName(large.select("cls")).distinct()
+    parts = _parts(docs, k, classes, stored(needed, "needed"))
+    links = verified(pairs, parts, percent)
+    if large.isEmpty():
+        return links
     whole = parts.join(large.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.max("n").alias("n"), F.flatten(F.collect_list("part")).alias("part"))
 
     def tile(frame: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(tile_links(frame, percent), columns=["a", "b"], dtype="int64")
 
-    return links.unionByName(tiled.join(whole, "cls").groupBy("sig", "i", "j").applyInPandas(tile, "a long, b long"))
+    return links.unionByName(large.join(whole, "cls").groupBy("sig", "i", "j").applyInPandas(tile, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -258,7 +311,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     spanning work kept for the row's class (0: no other text is known to link).
     """
     sent = stored(signatures(docs, k, percent), "signatures")
-    classes = stored(sent.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("lens").alias("lens")), "classes")
+    classes = stored(sent.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("lens").alias("lens"), F.max("bits").alias("bits")), "classes")
     segments_sent = sent.where("cls is not null").select("cls", F.explode("sent").alias("sig"))
     # A segment sent by one class only makes no pair. Most are; a bit per hash lets nearly all of them stay where they are.
     shared = segments_sent.groupBy("sig").agg(F.min("cls").alias("center"), F.max("cls").alias("hi")).where("center <> hi")

@@ -334,6 +334,15 @@ def test_segments_meet():
                     assert len(np.intersect1d(jaccard.segment_hashes(a, ends, percent), jaccard.segment_hashes(b, ends, percent)))
 
 
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(5)
+    for n in (1, 30, 900, 9000):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: n // 2], rng.integers(0, 2**63, n // 3).astype(np.uint64)]))
+        unequal = np.unpackbits((jaccard.parities(a) ^ jaccard.parities(b)).view(np.uint8)).sum()
+        assert unequal <= len(np.setxor1d(a, b)) and (jaccard.parities(a) == jaccard.parities(a[::-1])).all()
+
+
 def test_one_per_group(spark, docs, rows, none):
     kept = jaccard.one_per_group(docs)
     assert kept.columns == docs.columns
