@@ -71,7 +71,8 @@ def squared_error(target: Column, prediction: Column) -> Column:
 # --- network pieces ----------------------------------------------------------------------------------------
 
 def relu(x: Column) -> Column:
-    return F.greatest(x, F.lit(0.0))
+    """Null stays null: greatest() would skip it and invent a 0."""
+    return F.when(x > 0, x).when(x.isNotNull(), F.lit(0.0))
 
 
 def leaky_relu(x: Column) -> Column:

@@ -14,8 +14,12 @@ LOSS_SCALE = 1000.0
 
 
 def error_columns() -> list[Column]:
+    """`n` counts the cells that the averages use, `skipped` those without a target or a prediction."""
     y, p = F.col("target"), F.col("prediction")
+    missing = y.isNull() | p.isNull()
     return [
+        F.count_if(~missing).alias("n"),
+        F.count_if(missing).alias("skipped"),
         F.avg(absolute_error(y, p)).alias("mae"),
         F.avg(relative_error(y, p)).alias("mape"),
         F.sqrt(F.avg(squared_error(y, p))).alias("rmse"),
@@ -23,13 +27,13 @@ def error_columns() -> list[Column]:
 
 
 def metrics(forecast: DataFrame) -> DataFrame:
-    return forecast.agg(F.count("*").alias("n"), *error_columns())
+    return forecast.agg(*error_columns())
 
 
 def batch_metrics(forecast: DataFrame, start: int, batch_steps: int = BATCH_STEPS) -> DataFrame:
     """Errors of each batch of consecutive steps."""
     batch = batch_in_order(F.col("t"), start, batch_steps).alias("batch_id")
-    return forecast.groupBy(batch).agg(F.count("*").alias("n"), *error_columns())
+    return forecast.groupBy(batch).agg(*error_columns())
 
 
 def mean_batch_metrics(forecast: DataFrame, start: int, batch_steps: int = BATCH_STEPS) -> DataFrame:

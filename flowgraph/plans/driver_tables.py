@@ -2,31 +2,48 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgraph.functions.scalars import step_of
+from flowgraph.functions.scalars import step_of, steps_per_day
 from flowgraph.operators.ordered import with_previous
 from flowgraph.operators.panel import densify
 from flowgraph.schemas import Graph
 
-START = "2024-01-01 00:00:00"
 TIME_INTERVAL = 60
-N_STEPS = 720
 DIVIDE_DAYS = (20, 10)
 H = 6
 
 
+@dataclass(frozen=True)
+class Calendar:
+    """Start of the first day of a table, and the number of steps up to the end of its last day."""
+
+    start: str
+    n_steps: int
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def calendar(spark: SparkSession, sf_dir: str) -> Calendar:
+    """The whole days that the events cover; one row reaches the driver."""
+    ts = F.col("ts").cast("timestamp")
+    first, last = F.to_date(F.min(ts)), F.to_date(F.max(ts))
+    day, days = read_table(spark, sf_dir, "events").agg(first.cast("string"), F.datediff(last, first) + 1).first()
+    return Calendar(f"{day or '1970-01-01'} 00:00:00", (days or 0) * steps_per_day(TIME_INTERVAL))
+
+
+def event_readings(spark: SparkSession, sf_dir: str, days: Calendar | None = None) -> DataFrame:
     """(node_id, t, event_id, event_type, value) with the step index of each event."""
+    start = (days or calendar(spark, sf_dir)).start
     events = read_table(spark, sf_dir, "events")
     return events.select(
         F.col("user_id").alias("node_id"),
-        step_of(F.col("ts"), START, TIME_INTERVAL).alias("t"),
+        step_of(F.col("ts"), start, TIME_INTERVAL).alias("t"),
         "event_id",
         "event_type",
         "value",
@@ -62,8 +79,9 @@ def recurring_graph(spark: SparkSession, sf_dir: str) -> Graph:
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """node_id, t, flow = number of events of the node in the hour; dense."""
-    counts = event_readings(spark, sf_dir).select("node_id", "t", F.lit(1).cast("bigint").alias("flow"))
-    return densify(counts, sensors(spark, sf_dir), N_STEPS)
+    days = calendar(spark, sf_dir)
+    counts = event_readings(spark, sf_dir, days).select("node_id", "t", F.lit(1).cast("bigint").alias("flow"))
+    return densify(counts, sensors(spark, sf_dir), days.n_steps)
 
 
 def feature_panel(spark: SparkSession, sf_dir: str) -> DataFrame:

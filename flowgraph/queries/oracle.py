@@ -10,6 +10,10 @@ ORACLE: dict[str, str] = {}
 
 LAGS = [f"x_{k}" for k in range(1, H + 1)]
 
+# The hour of an event, counted from the start of the first day.
+FIRST_DAY = "(select date_trunc('day', min(ts)) as day0 from events) first_day"
+STEP = "cast(floor((epoch_us(ts) - epoch_us(day0)) / 36e8) as bigint)"
+
 # Named table expressions, each with the names it builds on.
 TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     "nodes": ((), "select distinct user_id as node_id from events"),
@@ -24,13 +28,14 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     "recurring": (("edge_list",), "select * from edge_list where n >= 2"),
     "readings": (
         (),
-        """select user_id as node_id, cast(floor((epoch_us(ts) - 1704067200000000) / 36e8) as bigint) as t, event_type, value
-           from events""",
+        f"""select user_id as node_id, {STEP} as t, event_type, value
+           from events, {FIRST_DAY}""",
     ),
     "panel": (
         ("nodes", "readings"),
         """select n.node_id, g.t, cast(coalesce(c.flow, 0) as double) as flow
-           from nodes n cross join (select unnest(range(0, 720)) as t) g
+           from nodes n cross join (select unnest(range(0, steps)) as t from
+             (select cast(24 * (date_diff('day', min(ts), max(ts)) + 1) as bigint) as steps from events) s) g
            left join (select node_id, t, count(*) as flow from readings group by 1, 2) c
              on c.node_id = n.node_id and c.t = g.t""",
     ),
@@ -146,7 +151,8 @@ def sums(names: list[str], act: str = "{}") -> str:
 
 
 HIDDEN = [f"h_{c}" for c in range(1, W.HIDDEN + 1)]
-RELU = "greatest({}, 0e0)"
+# greatest() would turn a null into 0.
+RELU = "case when {0} > 0 then {0} when {0} is not null then 0e0 end"
 
 _gcn, _cheb, _gat = W.gcn(), W.cheb(), W.gat()
 
@@ -179,7 +185,7 @@ def cheb_layer(source: str, columns: list[str], layer: int, names: list[str]) ->
     outputs = []
     for k, name in enumerate(names):
         value = linear(taps, [[row[k]] for row in stacked], [_cheb.bias[layer][k]], ["v"]).removesuffix(" as v")
-        outputs.append(f"greatest({value}, 0e0) as {name}")
+        outputs.append(f"{RELU.format(f'({value})')} as {name}")
     out = f"{source}_out"
     TABLES[out] = (
         (source, first, second),
@@ -270,7 +276,9 @@ def needed(names: tuple[str, ...], seen: list[str]) -> list[str]:
 
 
 def sql(body: str, *tables: str, recursive: str = "") -> str:
-    parts = [f"{name} as (\n{TABLES[name][1]})" for name in needed(tables, [])]
+    # Attention pairs are too many to be kept; all other tables are built once.
+    kept = {name: "" if name.startswith("gat") else "materialized " for name in TABLES}
+    parts = [f"{name} as {kept[name]}(\n{TABLES[name][1]})" for name in needed(tables, [])]
     if recursive:
         parts.append(recursive)
     if not parts:
@@ -418,7 +426,7 @@ add(
 )
 
 
-def split_counts(train: tuple[int, int], test: tuple[int, int]) -> str:
+def split_counts(train: tuple[int | str, int | str], test: tuple[int | str, int | str]) -> str:
     return f"""select split, count(distinct t) as samples, count(*) as cells, min(t) as first_step, max(t) as last_step
         from (select t, case when t >= {train[0]} and t < {train[1]} then 'train'
                              when t >= {test[0]} and t < {test[1]} then 'test' end as split from win) z
@@ -426,11 +434,12 @@ def split_counts(train: tuple[int, int], test: tuple[int, int]) -> str:
 
 
 add("split_counts", split_counts((6, 480), (480, 720)), "win")
-add("split_clamped", split_counts((6, 480), (486, 486 + min(240, 720 - 6 - 1 - 480))), "win")
+_end = "(select 486 + greatest(0, least(240, max(t) + 1 - 6 - 1 - 480)) from panel)"
+add("split_clamped", split_counts((6, 480), (486, _end)), "win")
 add(
     "batch_sequential",
     """select (t - 480) // 64 as batch_id, count(*) as cells, min(t) as first_step, max(t) as last_step
-       from win where t >= 480 group by 1""",
+       from win where t >= 480 and t < 720 group by 1""",
     "win",
 )
 _factor, _shift = shuffle_constants(474, 7, 1)
@@ -465,9 +474,9 @@ add(
 )
 add(
     "step_timestamps",
-    """select event_id, t, t % 24 as hour,
-       strftime(timestamp '2024-01-01' + to_hours(t), '%Y-%m-%d %H:%M:%S') as step_start, t as t_again
-       from (select event_id, cast(floor((epoch_us(ts) - 1704067200000000) / 36e8) as bigint) as t from events) z""",
+    f"""select event_id, t, t % 24 as hour,
+       strftime(day0 + to_hours(t), '%Y-%m-%d %H:%M:%S') as step_start, t as t_again
+       from (select event_id, day0, {STEP} as t from events, {FIRST_DAY}) z""",
 )
 
 for _name, _fn in (("message_sum", "sum"), ("message_max", "max")):
@@ -554,20 +563,22 @@ add(
 
 ERRORS = ", ".join(
     [
+        "count(target - prediction) as n",
+        "count(*) - count(target - prediction) as skipped",
         r6("avg(abs(target - prediction))", "mae"),
         r6("avg(abs(target - prediction) / (target + 5))", "mape"),
         r6("sqrt(avg((target - prediction) * (target - prediction)))", "rmse"),
     ]
 )
 add("neighbour_forecast", f"select node_id, t, {r6('prediction', 'prediction')}, {r6('target', 'target')} from fc", "fc")
-add("forecast_metrics", f"select count(*) as n, {ERRORS} from fc", "fc")
-add("mean_forecast_metrics", f"select count(*) as n, {ERRORS} from fc_mean", "fc_mean")
+add("forecast_metrics", f"select {ERRORS} from fc", "fc")
+add("mean_forecast_metrics", f"select {ERRORS} from fc_mean", "fc_mean")
 TABLES["fc_gcn"] = (
     ("gcn_out", "win", "base"),
     restored("(select o.node_id, o.t, o.p as prediction, w.y as target from gcn_out o join win w on w.node_id = o.node_id and w.t = o.t)"),
 )
-add("model_metrics", f"select count(*) as n, {ERRORS} from fc_gcn", "fc_gcn")
-add("batch_metrics", f"select (t - 480) // 64 as batch_id, count(*) as n, {ERRORS} from fc group by 1", "fc")
+add("model_metrics", f"select {ERRORS} from fc_gcn", "fc_gcn")
+add("batch_metrics", f"select (t - 480) // 64 as batch_id, {ERRORS} from fc group by 1", "fc")
 add(
     "mean_batch_metrics",
     f"""select count(*) as batches, {r6('avg(mae)', 'mae')}, {r6('avg(mape)', 'mape')}, {r6('avg(rmse)', 'rmse')}
@@ -580,7 +591,7 @@ SQUARED = "avg((target - prediction) * (target - prediction))"
 add(
     "running_loss",
     f"""select batch_id, {r6('mse', 'mse', 8)}, {r6('sum(mse) over (order by batch_id) * 1000 / 240e0', 'loss', 8)}
-        from (select (t - 480) // 64 as batch_id, {SQUARED} as mse from fc_scaled where t >= 480 group by 1) z""",
+        from (select (t - 480) // 64 as batch_id, {SQUARED} as mse from fc_scaled where t >= 480 and t < 720 group by 1) z""",
     "fc_scaled",
 )
 add(
@@ -592,7 +603,7 @@ add(
 add("forecast_roundtrip", f"select node_id, t, {r6('prediction', 'prediction')}, {r6('target', 'target')} from fc", "fc")
 add(
     "normalised_roundtrip",
-    f"select node_id, t, {r6('prediction', 'prediction')}, {r6('target', 'target')} from fc_scaled where t >= 480",
+    f"select node_id, t, {r6('prediction', 'prediction')}, {r6('target', 'target')} from fc_scaled where t >= 480 and t < 720",
     "fc_scaled",
 )
 _plot = "from fc where node_id = (select min(node_id) from nodes) and t >= 480 and t < 528"
@@ -647,7 +658,7 @@ def gradient_query(name: str, taps: list[str], first: list[list[float]], bias: l
     TABLES[f"{name}_h"] = (
         (f"{name}_rows",),
         "select r.*, " + ", ".join(
-            "greatest(" + linear(inputs, [[row[c]] for row in first], [bias[c]], ["v"]).removesuffix(" as v") + f", 0e0) as {h}"
+            RELU.format("(" + linear(inputs, [[row[c]] for row in first], [bias[c]], ["v"]).removesuffix(" as v") + ")") + f" as {h}"
             for c, h in enumerate(HIDDEN)
         ) + f" from {name}_rows r",
     )
@@ -673,8 +684,8 @@ def gradient_query(name: str, taps: list[str], first: list[list[float]], bias: l
     level = f"(o.o + cast({last!r} as double))"
     TABLES[f"{name}_d"] = (
         (f"{name}_o", f"{name}_rows"),
-        f"""select o.node_id, o.t, power(greatest({level}, 0e0) - r.y, 2) as sq,
-            case when {level} > 0 then 2 * (greatest({level}, 0e0) - r.y) else 0e0 end as d
+        f"""select o.node_id, o.t, power({RELU.format(level)} - r.y, 2) as sq,
+            case when {level} > 0 then 2 * ({level} - r.y) else 0e0 end as d
             from {name}_o o join {name}_rows r on r.node_id = o.node_id and r.t = o.t""",
     )
     if len(second) == 1:

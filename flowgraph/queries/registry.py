@@ -27,8 +27,6 @@ REGISTRY: dict[str, Query] = {}
 
 TRAIN = P.split_span("train", D.DIVIDE_DAYS, D.TIME_INTERVAL, D.H)
 TEST = P.split_span("test", D.DIVIDE_DAYS, D.TIME_INTERVAL, D.H)
-EVERY = (D.H, D.N_STEPS)
-CLAMPED = {"variant": "clamped", "n_steps": D.N_STEPS}
 CONFIG = FC.RunConfig(D.TIME_INTERVAL, D.H, D.DIVIDE_DAYS)
 SEED, EPOCH = 7, 1
 PLOT_SPAN = (0, 48)
@@ -56,6 +54,10 @@ def scaled_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.scale(panel, P.fit_base(panel))
 
 
+def every_step(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    return D.H, D.calendar(spark, sf_dir).n_steps
+
+
 def forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FC.run(D.panel(spark, sf_dir), D.road_graph(spark, sf_dir), CONFIG)
 
@@ -268,7 +270,8 @@ def split_counts(spark, sf_dir):
 
 @query
 def split_clamped(spark, sf_dir):
-    spans = [P.split_span(m, D.DIVIDE_DAYS, D.TIME_INTERVAL, D.H, **CLAMPED) for m in ("train", "test")]
+    n_steps = D.calendar(spark, sf_dir).n_steps
+    spans = [P.split_span(m, D.DIVIDE_DAYS, D.TIME_INTERVAL, D.H, variant="clamped", n_steps=n_steps) for m in ("train", "test")]
     return _split_counts(D.panel(spark, sf_dir), *spans)
 
 
@@ -331,14 +334,15 @@ def seasonal_factor(spark, sf_dir):
 @query
 def step_timestamps(spark, sf_dir):
     events = D.read_table(spark, sf_dir, "events")
-    step = S.step_of(F.col("ts"), D.START, D.TIME_INTERVAL)
-    text = S.formatted_time(S.time_of_step(F.col("t"), D.START, D.TIME_INTERVAL))
+    start = D.calendar(spark, sf_dir).start
+    step = S.step_of(F.col("ts"), start, D.TIME_INTERVAL)
+    text = S.formatted_time(S.time_of_step(F.col("t"), start, D.TIME_INTERVAL))
     return events.select("event_id", step.alias("t")).select(
         "event_id",
         "t",
         S.hour_of_step(F.col("t"), D.TIME_INTERVAL).alias("hour"),
         text.alias("step_start"),
-        S.step_of(S.parsed_time(text), D.START, D.TIME_INTERVAL).alias("t_again"),
+        S.step_of(S.parsed_time(text), start, D.TIME_INTERVAL).alias("t_again"),
     )
 
 
@@ -403,7 +407,7 @@ def cheb_basis(spark, sf_dir):
 
 def _scored(spark, sf_dir, params):
     graph = D.road_graph(spark, sf_dir)
-    out = FC.model_forecast(scaled_panel(spark, sf_dir), graph, params, D.H, EVERY)
+    out = FC.model_forecast(scaled_panel(spark, sf_dir), graph, params, D.H, every_step(spark, sf_dir))
     return rounded(out, ["prediction", "target"])
 
 
@@ -411,7 +415,7 @@ def _scored(spark, sf_dir, params):
 def gcn_layers(spark, sf_dir):
     """The two convolution layers applied to the cut history windows."""
     graph = D.road_graph(spark, sf_dir)
-    rows = P.samples(scaled_panel(spark, sf_dir), D.H, EVERY, layout=FC.layout_for(graph))
+    rows = P.samples(scaled_panel(spark, sf_dir), D.H, every_step(spark, sf_dir), layout=FC.layout_for(graph))
     out = L.gcn_forward(rows, FC.operator_for(W.gcn(), graph), W.gcn(), LAGS, carry=["y"])
     return rounded(out.select("node_id", "t", "prediction", F.col("y").alias("target")), ["prediction", "target"])
 
@@ -419,7 +423,7 @@ def gcn_layers(spark, sf_dir):
 @query
 def cheb_layers(spark, sf_dir):
     graph = D.road_graph(spark, sf_dir)
-    rows = P.samples(scaled_panel(spark, sf_dir), D.H, EVERY, layout=FC.layout_for(graph))
+    rows = P.samples(scaled_panel(spark, sf_dir), D.H, every_step(spark, sf_dir), layout=FC.layout_for(graph))
     out = L.cheb_forward(rows, FC.operator_for(W.cheb(), graph), W.cheb(), LAGS, carry=["y"])
     return rounded(out.select("node_id", "t", "prediction", F.col("y").alias("target")), ["prediction", "target"])
 
@@ -444,12 +448,12 @@ def gat_score_shifted(spark, sf_dir):
     """Unscaled readings plus one, on the sparse graph: isolated nodes, and no all-zero history."""
     graph = D.recurring_graph(spark, sf_dir)
     panel = D.panel(spark, sf_dir).withColumn("flow", F.col("flow") + 1.0)
-    return rounded(FC.model_forecast(panel, graph, W.gat(), D.H, EVERY), ["prediction", "target"])
+    return rounded(FC.model_forecast(panel, graph, W.gat(), D.H, every_step(spark, sf_dir)), ["prediction", "target"])
 
 
 def _first_pairs(spark, sf_dir):
     graph = D.road_graph(spark, sf_dir)
-    rows, block = FC.model_rows(scaled_panel(spark, sf_dir), graph, W.gat(), D.H, EVERY)
+    rows, block = FC.model_rows(scaled_panel(spark, sf_dir), graph, W.gat(), D.H, every_step(spark, sf_dir))
     heads = L.Heads(W.gat().heads, D.H, block)
     op = G.adjacency(graph, "distance").anchor(graph)
     return L.attention_pairs(L.packed(rows, "y"), op, heads), heads

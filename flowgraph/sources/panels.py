@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import zipfile
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowgraph.functions.scalars import parsed_time, step_of
+from flowgraph.plans.sizing import settle, sized_join
 from flowgraph.schemas import FEATURES, PANEL_SCHEMA, TIMED_READING_SCHEMA
 
 STEPS_PER_CHUNK = 512
@@ -33,6 +35,28 @@ def inline_readings(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, TIMED_READING_SCHEMA)
 
 
+def _steps_in(content: bytes, key: str) -> int:
+    """The first dimension of an array file, read from its header."""
+    stream = io.BytesIO(content)
+    if zipfile.is_zipfile(stream):
+        stream = zipfile.ZipFile(stream).open(f"{key}.npy")
+    else:
+        stream.seek(0)
+    major, _ = np.lib.format.read_magic(stream)
+    read = np.lib.format.read_array_header_1_0 if major == 1 else np.lib.format.read_array_header_2_0
+    return read(stream)[0][0]
+
+
+def file_lengths(files: DataFrame, key: str) -> DataFrame:
+    """path, steps: a row per array file."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"path": batch["path"], "steps": [_steps_in(c, key) for c in batch["content"]]})
+
+    return files.select("path", "content").mapInPandas(run, "path string, steps bigint")
+
+
 def read_cube(
     spark: SparkSession,
     path,
@@ -43,17 +67,23 @@ def read_cube(
 ) -> DataFrame:
     """Array files [step, node, feature] (.npz with member `key`, or .npy) -> long panel.
 
-    Each file is one task's work, so a long series belongs into many files, for example one per day: with
-    steps_per_file set, the files are taken in the order of their names and shifted by that many steps each.
+    Each file is one task's work, so a long series belongs into many files, for example one per day. The files follow
+    each other in the order of their names, each from the step after the last one of the file before. With steps_per_file
+    set, every file starts that many steps after the file before; a file with more steps is an error.
     """
     names = list(features)
     schema = "node_id bigint, t bigint, " + ", ".join(f"{n} double" for n in names)
     files = spark.read.format("binaryFile").load(path)
-    # One row per file, contents not read.
-    ranks = files.select("path", (F.row_number().over(Window.orderBy("path")) - 1).alias("rank"))
-    placed = files.select("path", "content").join(ranks, "path").select(
-        (F.col("rank") * F.lit(steps_per_file)).cast("bigint").alias("first"), "content"
-    )
+    lengths = settle(file_lengths(files, key))
+    if steps_per_file:
+        longer = lengths.df.where(F.col("steps") > steps_per_file).orderBy("path").first()
+        if longer:
+            raise ValueError(f"{longer.path} has {longer.steps} steps, more than steps_per_file = {steps_per_file}")
+    # A row per file, without contents.
+    before = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    width = F.lit(steps_per_file) if steps_per_file else F.col("steps")
+    firsts = lengths.df.select("path", F.coalesce(F.sum(width).over(before), F.lit(0)).cast("bigint").alias("first"))
+    placed = sized_join(files.select("path", "content"), firsts, "path", lengths.rows, spread="path").select("first", "content")
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

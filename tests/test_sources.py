@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from flowgraph.operators.panel import Base
 from flowgraph.schemas import TIMED_READING_SCHEMA
@@ -37,6 +38,10 @@ def test_cube_files(spark, tmp_path):
     assert whole == {(v, t): tuple(cube[t, v]) for v in range(4) for t in range(20)}
     daily = SP.read_cube(spark, str(tmp_path / "day*.npy"), steps_per_file=10)
     assert {(r.node_id, r.t): (r.flow, r.occupy, r.speed) for r in daily.collect()} == whole
+    following = SP.read_cube(spark, str(tmp_path / "day*.npy"))
+    assert {(r.node_id, r.t): (r.flow, r.occupy, r.speed) for r in following.collect()} == whole
+    with pytest.raises(ValueError, match="more than steps_per_file"):
+        SP.read_cube(spark, str(tmp_path / "day*.npy"), steps_per_file=8)
     daily.write.parquet(str(tmp_path / "panel"))
     assert SP.read_panel(spark, str(tmp_path / "panel")).count() == 80
 
