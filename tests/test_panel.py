@@ -139,3 +139,11 @@ def test_time_functions(spark):
     assert all(r.t == r.s for r in out) and out[25].text == "2023-01-02 01:00:00"
     assert [r.band for r in out[:24]].count("peak") == 6 and [r.f for r in out[:24]].count(0.5) == 8
     assert out[6].band == "normal" and out[22].band == "night"
+
+
+def test_nulls_stay_null_and_are_counted(spark):
+    df = spark.createDataFrame([(None,), (-1.0,), (2.0,)], "x double")
+    assert [r.y for r in df.select(S.relu(F.col("x")).alias("y")).collect()] == [None, 0.0, 2.0]
+    rows = [(0, 0, 1.0, 2.0), (0, 1, None, 2.0), (0, 2, 3.0, None)]
+    got = M.metrics(spark.createDataFrame(rows, "node_id bigint, t bigint, prediction double, target double")).first()
+    assert (got.n, got.skipped, got.mae) == (1, 2, 1.0)
