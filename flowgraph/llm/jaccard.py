@@ -10,8 +10,9 @@ Two documents link when 100 * |A and B| >= percent * |A or B| for their shingle
    before. (Empty segments are sent only by a set with at most d segments that are not empty; two sets that are both beyond
    that agree in a segment that is not empty.) So a candidate pair shares a whole segment, which texts that merely share
    frequent words or passages rarely do.
-3. Overlaps. A pair whose segment sizes (in 64 fragments) or parities (of the counts in 1024 cells) alone rule a link out is
-   dropped: both are lower bounds of what two sets differ in. For the others the common shingles are counted fragment by fragment (FRAGMENTS fragments) as separate rows and summed per pair.
+3. Overlaps. A pair whose segment sizes (in 64 fragments) or parities alone rule a link out is dropped: both are lower
+   bounds of what two sets differ in. A set has at least as many parity cells as shingles, so long texts are told apart as
+   well as short ones; of two sets the one with more cells is folded to the other's number. For the others the common shingles are counted fragment by fragment (FRAGMENTS fragments) as separate rows and summed per pair.
 4. Of the classes that share a segment each is first compared with one of them only, the one with which it shares most,
    which makes at most as many pairs as classes. Connected classes need no further comparison. Where a group still holds more than one component, all pairs between
    components follow: as pairs in groups up to SMALL classes, else as tiles of TILE x TILE classes. A tile first meets with
@@ -42,7 +43,8 @@ SMALL = 32
 TILE = 256
 CELLS = 1 << 23
 _COLUMNS = 4096
-PARITY_BITS = 1024
+# Fewest parity cells of a set; a power of two.
+LEAST_CELLS = 1024
 
 
 def ranges_up_to(n: int, percent: int) -> list[int]:
@@ -78,13 +80,20 @@ def segment_hashes(hashes: np.ndarray, ends: list[int], percent: int) -> np.ndar
 
 
 def parities(hashes: np.ndarray) -> np.ndarray:
-    """For each of PARITY_BITS cells whether the set holds an odd number of its shingles, as longs.
+    """For each of at least len(hashes) cells whether the set holds an odd number of its shingles, as longs.
 
     A cell with different parities holds at least one shingle that only one of two sets has, so the number of such cells
-    never exceeds the size of the symmetric difference.
+    never exceeds the size of the symmetric difference. The number of cells is a power of two: halves laid over each other
+    by exclusive or give the parities of half as many cells.
     """
-    cells = ((hashes >> np.uint64(16)) % np.uint64(PARITY_BITS)).astype(np.int64)
-    return np.packbits((np.bincount(cells, minlength=PARITY_BITS) & 1).astype(np.uint8)).view(np.int64)
+    many = max(LEAST_CELLS, 1 << max(0, len(hashes) - 1).bit_length())
+    cells = ((hashes >> np.uint64(16)) % np.uint64(many)).astype(np.int64)
+    return np.packbits((np.bincount(cells, minlength=many) & 1).astype(np.uint8)).view(np.int64)
+
+
+def folded(bits: np.ndarray, longs: int) -> np.ndarray:
+    """Parities folded to fewer cells (64 to a long)."""
+    return np.bitwise_xor.reduce(np.asarray(bits, np.int64).reshape(-1, longs), axis=0)
 
 
 def _class_of(hashes: np.ndarray) -> int:
@@ -158,8 +167,18 @@ def _linked(overlap, left, right, percent: int):
 
 
 def _unequal(left, right):
-    """How many parities of two classes differ."""
-    return F.aggregate(F.zip_with(left, right, lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda x, y: x + y)
+    """In how many cells the parities of two classes differ; 0 where one has more than twice the cells of the other."""
+    left, right = (F.col(x) if isinstance(x, str) else x for x in (left, right))
+
+    def differ(one, two):
+        return F.aggregate(F.zip_with(one, two, lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda x, y: x + y)
+
+    def half(bits):
+        n = (F.size(bits) / 2).cast("int")
+        return F.zip_with(F.slice(bits, F.lit(1), n), F.slice(bits, n + 1, n), lambda x, y: x.bitwiseXOR(y))
+
+    a, b = F.size(left), F.size(right)
+    return F.when(a == b, differ(left, right)).when(a == b * 2, differ(half(left), right)).when(b == a * 2, differ(left, half(right))).otherwise(0)
 
 
 def possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -190,10 +209,14 @@ def tile_survivors(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
     """The rows of a tile (columns cls, n, comp, side, bits) that have a partner of another component that parities allow to link."""
     frame = frame.sort_values(["side", "cls"], kind="stable").drop_duplicates(["side", "cls"])
     left, right = np.flatnonzero(frame["side"] != 2), np.flatnonzero(frame["side"] != 1)
-    bits = np.unpackbits(np.array(frame["bits"].tolist(), np.int64).view(np.uint8).reshape(len(frame), -1), axis=1).astype(np.float32)
+    longs = min(len(x) for x in frame["bits"])
+    packed = np.stack([folded(x, longs) for x in frame["bits"]]).view(np.uint8)
     n, comp = frame["n"].to_numpy(np.int64), frame["comp"].to_numpy()
-    ones = bits.sum(1)
-    unequal = np.rint(ones[left][:, None] + ones[right][None, :] - 2 * (bits[left] @ bits[right].T)).astype(np.int64)
+    unequal = np.zeros((len(left), len(right)), np.int64)
+    for start in range(0, packed.shape[1], _COLUMNS // 8):
+        bits = np.unpackbits(packed[:, start : start + _COLUMNS // 8], axis=1).astype(np.float32)
+        ones = bits.sum(1)
+        unequal += np.rint(ones[left][:, None] + ones[right][None, :] - 2 * (bits[left] @ bits[right].T)).astype(np.int64)
     a_n, b_n = n[left][:, None], n[right][None, :]
     close = _linked((a_n + b_n - unequal) // 2, a_n, b_n, percent) & (comp[left][:, None] != comp[right][None, :])
     kept = np.zeros(len(frame), bool)

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from compare import duck, mismatch
 from pyspark.sql import functions as F
@@ -339,8 +340,29 @@ def test_parities_bound_the_difference():
     for n in (1, 30, 900, 9000):
         a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
         b = np.unique(np.concatenate([a[: n // 2], rng.integers(0, 2**63, n // 3).astype(np.uint64)]))
-        unequal = np.unpackbits((jaccard.parities(a) ^ jaccard.parities(b)).view(np.uint8)).sum()
-        assert unequal <= len(np.setxor1d(a, b)) and (jaccard.parities(a) == jaccard.parities(a[::-1])).all()
+        one, two = jaccard.parities(a), jaccard.parities(b)
+        longs = min(len(one), len(two))
+        unequal = np.unpackbits((jaccard.folded(one, longs) ^ jaccard.folded(two, longs)).view(np.uint8)).sum()
+        assert unequal <= len(np.setxor1d(a, b)) and (one == jaccard.parities(a[::-1])).all()
+        assert len(one) * 64 >= len(a)
+
+
+@pytest.mark.parametrize("n", [1023, 1024, 1025, 2100])
+def test_parities_of_unlike_sizes(spark, n):
+    """Sets next to a doubling of the cells: the columns' count of unequal cells is that of the folded arrays."""
+    rng = np.random.default_rng(n)
+    a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+    b = np.unique(np.concatenate([a[: n - n // 10], rng.integers(0, 2**63, n // 8).astype(np.uint64)]))
+    one, two = jaccard.parities(a), jaccard.parities(b)
+    longs = min(len(one), len(two))
+    expected = int(np.unpackbits((jaccard.folded(one, longs) ^ jaccard.folded(two, longs)).view(np.uint8)).sum())
+    pairs = spark.createDataFrame([(one.tolist(), two.tolist()), (two.tolist(), one.tolist())], "x array<long>, y array<long>")
+    assert [r.u for r in pairs.select(jaccard._unequal("x", "y").alias("u")).collect()] == [expected, expected]
+    assert expected <= len(np.setxor1d(a, b))
+    tile = pd.DataFrame({"cls": [1, 2], "n": [len(a), len(b)], "comp": [1, 2], "side": [0, 0], "bits": [one, two]})
+    common = len(np.intersect1d(a, b))
+    if 100 * common >= 80 * (len(a) + len(b) - common):
+        assert len(jaccard.tile_survivors(tile, 80)) == 2
 
 
 def test_one_per_group(spark, docs, rows, none):
