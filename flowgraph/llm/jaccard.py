@@ -107,8 +107,12 @@ def _sets(texts, k: int):
             yield a + i, words.shingles(hashes[counts[i] : counts[i + 1]], k)
 
 
+def _text_hash():
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
 def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, n (set size), cls (null for an empty set), sent (segment hashes), lens (sizes of 64 segments), bits (parities): a row per document.
+    """doc_id, th (hash of the text), n (set size), cls (null for an empty set), sent (segment hashes), lens (sizes of 64 segments), bits (parities): a row per document.
 
     A task sends the segments of a class once; copies carry no segments.
     """
@@ -130,12 +134,12 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
             lengths = np.concatenate([[0], np.cumsum([len(x) for x in sent])]).astype(np.int32)
             flat = pa.array(np.concatenate(sent) if sent else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths), flat), pa.array(lens, pa.list_(pa.int32())), pa.array(bits, pa.list_(pa.int64()))],
-                ["doc_id", "n", "cls", "sent", "lens", "bits"],
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths), flat), pa.array(lens, pa.list_(pa.int32())), pa.array(bits, pa.list_(pa.int64()))],
+                ["doc_id", "th", "n", "cls", "sent", "lens", "bits"],
             )
 
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return read.mapInArrow(run, "doc_id long, n long, cls long, sent array<long>, lens array<int>, bits array<long>")
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_hash().alias("th"))
+    return read.mapInArrow(run, "doc_id long, th long, n long, cls long, sent array<long>, lens array<int>, bits array<long>")
 
 
 def segments(docs: DataFrame, k: int) -> DataFrame:
@@ -328,9 +332,9 @@ def _rest(docs: DataFrame, k: int, members: DataFrame, found: DataFrame, tried:
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, cls, component_id, n_links: a row per row of docs.
+    """doc_id, th (hash of the text), n_shingles, cls, comp, component_id, n_links: a row per row of docs.
 
-    component_id is the smallest doc_id reachable by links; n_links counts the verified links that the component's
+    comp tells components apart, also those of the same smallest id (null: an empty set); component_id is the smallest doc_id reachable by links; n_links counts the verified links that the component's
     spanning work kept for the row's class (0: no other text is known to link).
     """
     sent = stored(signatures(docs, k, percent), "signatures")
@@ -355,23 +359,29 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     counts = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("n_links"))
     named = classes.select("cls", "rep").join(found.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     smallest = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    of_class = named.join(smallest, "comp").join(counts, "cls", "left").select("cls", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    of_class = named.join(smallest, "comp").join(counts, "cls", "left").select("cls", "comp", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     # A class with a third of all rows is spread over salts.
     salts = 16
     spread = of_class.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     full = sent.where("cls is not null").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts))).join(spread, ["cls", "salt"])
-    columns = ["doc_id", F.col("n").alias("n_shingles"), "cls", "component_id", "n_links"]
-    bare = sent.where("cls is null").select("doc_id", F.col("n").alias("n_shingles"), "cls", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    columns = ["doc_id", "th", F.col("n").alias("n_shingles"), "cls", "comp", "component_id", "n_links"]
+    bare = sent.where("cls is null").select("doc_id", "th", F.col("n").alias("n_shingles"), "cls", F.col("cls").alias("comp"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     return full.select(*columns).unionByName(bare)
 
 
 def one_per_group(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs without those whose component holds a smaller doc_id; rows that repeat id and text once."""
+    """The row of each component with its smallest (doc_id, hash of the text), null ids last; rows that repeat id and text once.
+
+    Each row is decided by its own id and text: other texts of an id, or other rows without an id, are not touched by it.
+    """
     groups = stored(near_duplicates(docs, k, percent), "groups")
-    drop = groups.where("not (doc_id <=> component_id)").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(drop, docs["doc_id"].cast("long").eqNullSafe(drop["_id"]), "left_anti")
-    copies = groups.where("doc_id <=> component_id").groupBy("doc_id").count().where("count > 1")
-    if copies.isEmpty():
+    place = F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "th")
+    linked = groups.where("comp is not null").select("comp", place.alias("place"))
+    first = linked.groupBy("comp").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first <> last")
+    drop = linked.join(first, "comp").where("place <> first").select(F.col("place.doc_id").alias("_id"), F.col("place.th").alias("_th")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_th"))
+    kept = docs.withColumn("_key", _text_hash()).join(drop, same, "left_anti").drop("_key")
+    if groups.groupBy("doc_id", "th").count().where("count > 1").isEmpty():
         return kept
     return kept.dropDuplicates(["doc_id", "text"])
 

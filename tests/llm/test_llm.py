@@ -373,6 +373,24 @@ def test_one_per_group(spark, docs, rows, none):
     assert jaccard.near_duplicates(none).count() == 0
 
 
+def test_one_per_group_decides_rows(spark):
+    """Rows without an id and rows that share an id are kept or dropped by their own text."""
+    text = {c: " ".join(f"{c}{j}" for j in range(60)) for c in "abcdefg"}
+    near = {c: text[c] + " end" for c in text}
+    rows = [
+        (1, text["a"], "x"), (None, near["a"], "x"), (None, text["b"], "x"),  # a null id's near copy goes, the clean row stays
+        (2, text["c"], "x"), (3, near["c"], "x"), (3, text["d"], "x"),  # of id 3 only the near copy goes
+        (4, text["e"], "x"), (4, near["e"], "x"),  # near copies of one id: one stays
+        (None, text["f"], "x"), (None, near["f"], "x"),  # likewise without ids
+        (None, text["g"], "x"), (None, text["g"], "x"), (None, None, "x"), (5, "", "x"),
+    ]
+    kept = Counter((r.doc_id, r.text) for r in jaccard.one_per_group(frame(spark, rows)).collect())
+    once = {(1, text["a"]), (None, text["b"]), (2, text["c"]), (3, text["d"]), (None, text["g"]), (None, None), (5, "")}
+    assert all(n == 1 for n in kept.values()) and once <= set(kept)
+    left = set(kept) - once
+    assert len(left) == 2 and len(left & {(4, text["e"]), (4, near["e"])}) == 1 and len(left & {(None, text["f"]), (None, near["f"])}) == 1
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 100), (5, 5), (300, 300)]
     got = links.components(spark.createDataFrame(edges, "a bigint, b bigint"), "a", "b").collect()
