@@ -1,14 +1,15 @@
 """Licence scan by sentence rules: sentences become identifiers, sequences of identifiers are matched against ordered rules.
 
-A text is cut into sentences at line feeds and at sentence marks followed by white space, each with its place in the text. A
-sentence is normalised (lower case; comment and list marks, punctuation and repeated white space become one blank; 'licence'
+A text is cut into pieces at line feeds and at sentence marks followed by white space, each with its place in the text. A
+sentence is a piece, or pieces of consecutive lines (none of them blank) that the line feeds of a wrapped text cut apart: the
+pieces are joined where only together they are a known sentence or tell its version. A sentence is normalised (lower case; comment and list marks, punctuation and repeated white space become one blank; 'licence'
 becomes 'license'; a leading 'see', 'it is', 'this file is' and the like is cut off by its pattern) and looked up: first among
 fixed sentences, then among patterns with open places (years, holders, versions). The identifiers of a text, in order, with
-at most GAP unknown sentences between two, are matched against the rules from the longest to the shortest; an identifier is
+at most GAP other lines between two (a wrapped sentence counts as one line), are matched against the rules from the longest to the shortest; an identifier is
 used by one rule only. What no rule uses is reported as unmatched.
 
-Every known sentence holds one of the words in CUES, so texts and sentences without any are passed over; the whole text is
-searched for them. Nothing is shuffled and each text is handled by itself.
+Every known sentence holds a word that starts with, or contains, one of CUES or matches CC, so texts and sentences without any are passed
+over; the whole text is searched for them. Cues are parts of single words, so no mark or white space inside a sentence hides one. Nothing is shuffled and each text is handled by itself.
 
 Defined cases: a null or empty text has no sentences; equal sentences are matched one by one, and `licenses` names each licence
 once, sorted; repeated rows are scanned one by one; an empty table gives no rows; further columns are not read.
@@ -22,7 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CUES = ("licens", "licenc", "copyright", "copyleft", "rights reserved", "warrant", "permission", "redistribut", "public domain", "spdx", "creative commons", "creativecommons", "(c)", "©", "liab")
+CUES = ("licens", "licenc", "copyright", "reserved", "warrant", "permission", "redistribut", "domain", "spdx", "creative", "gpl", "endorse", "liab")
+# 'cc by', 'CC-BY', 'cc0' and the like, as they stand before they are normalised.
+CC = r"(?<![^\W_])cc[\W_]*(?:by|0|zero)"
 GAP = 3
 
 # Sentences of public licences, normalised.
@@ -38,12 +41,20 @@ SENTENCES = {
     "the mit license": "mit-title",
     "mit license": "mit-title",
     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction": "mit-permission",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mit-permission",
     "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "mit-notice",
     "the software is provided as is without warranty of any kind express or implied": "mit-warranty",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "mit-warranty",
+    "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software": "mit-liability",
     "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met": "bsd-permission",
     "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "bsd-source",
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "bsd-binary",
     "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "isc-permission",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc-permission",
+    "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness": "isc-warranty",
+    "in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software": "isc-liability",
+    "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied": "apache-warranty",
+    "see the license for the specific language governing permissions and limitations under the license": "apache-see",
     "this is free and unencumbered software released into the public domain": "unlicense",
     "this work is dedicated to the public domain": "public-domain",
     "this program is distributed in the hope that it will be useful but without any warranty": "gnu-warranty",
@@ -52,19 +63,32 @@ SENTENCES = {
 # Sentences with open places, tried in this order.
 PATTERNS = [
     (r"spdx license identifier:? (?P<v>[a-z0-9.+ -]+)", "spdx"),
-    (r"(?:.* )?(?:licensed under|released under|terms of|distributed under|under) (?:the )?(?:gnu )?(?:lesser general public license|lgpl)(?: as published by the free software foundation)?(?: either)?(?: version | v)?(?P<v>[0-9.]+)?.*", "lgpl-grant"),
-    (r"(?:.* )?(?:licensed under|released under|terms of|distributed under|under) (?:the )?(?:gnu )?(?:affero general public license|agpl)(?: as published by the free software foundation)?(?: either)?(?: version | v)?(?P<v>[0-9.]+)?.*", "agpl-grant"),
-    (r"(?:.* )?(?:licensed under|released under|terms of|distributed under|under) (?:the )?(?:gnu general public license|gnu gpl|gpl)(?: as published by the free software foundation)?(?: either)?(?: version | v)?(?P<v>[0-9.]+)?.*", "gpl-grant"),
+    (r"(?:.* )?(?:licensed under|released under|terms of|distributed under|under) (?:the )?(?:gnu )?(?:lesser general public license|lgpl)(?: as published by the free software foundation)?(?: either)?(?: version | ?v)?(?P<v>[0-9.]+)?.*", "lgpl-grant"),
+    (r"(?:.* )?(?:licensed under|released under|terms of|distributed under|under) (?:the )?(?:gnu )?(?:affero general public license|agpl)(?: as published by the free software foundation)?(?: either)?(?: version | ?v)?(?P<v>[0-9.]+)?.*", "agpl-grant"),
+    (r"(?:.* )?(?:licensed under|released under|terms of|distributed under|under) (?:the )?(?:gnu general public license|gnu gpl|gpl)(?: as published by the free software foundation)?(?: either)?(?: version | ?v)?(?P<v>[0-9.]+)?.*", "gpl-grant"),
     (r"(?:.* )?(?:subject to|under) the terms of the mozilla public license v(?:ersion)? ?(?P<v>[0-9.]+).*", "mpl-grant"),
-    (r"(?:.* )?(?:licensed under|released under|under|available under) (?:the |a )?(?:creative commons|cc)[ -](?P<v>by(?: nc)?(?: sa| nd)?|0|zero)(?: license)?(?: (?P<n>[0-9.]+))?.*", "cc-grant"),
+    (r"(?:.* )?(?:licensed under|released under|under|available under) (?:the |a )?(?:creative commons|cc)[ -]?(?P<v>by(?: nc)?(?: sa| nd)?|0|zero)(?: license)?(?: (?P<n>[0-9.]+))?.*", "cc-grant"),
     (r"(?:.* )?(?:licensed|released|distributed|available) under (?:the )?(?:terms of the )?mit license.*", "mit-grant"),
     (r"(?:.* )?(?:licensed|released|distributed|available) under (?:the )?apache license(?: version)? ?2(?:\.0)?.*", "apache-2.0-grant"),
     (r"(?:.* )?(?:licensed|released|distributed|available) under (?:the )?(?:(?P<v>[23]) clause )?bsd(?: (?P<n>[23]) clause)? license.*", "bsd-grant"),
+    (r"neither the names? of .{1,100} nor the names of (?:its|their|the) contributors may be used to endorse or promote products derived from this software without specific prior written permission", "bsd-endorse"),
+    (r"this software is provided by .{1,100} as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed", "bsd-warranty"),
+    (r"in no event shall .{1,100} be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services", "bsd-liability"),
     (r"copyright (?:c )?(?:[0-9]{4}(?: [0-9]{4})*)?.{0,200}", "copyright"),
 ]
 
 # Ordered rules: identifiers in this order make the licence. Longer rules come first.
 RULES = [
+    (("mit-title", "copyright", "mit-permission", "mit-notice", "mit-warranty", "mit-liability"), "MIT"),
+    (("mit-permission", "mit-notice", "mit-warranty", "mit-liability"), "MIT"),
+    (("bsd-permission", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-warranty", "bsd-liability"), "BSD"),
+    (("bsd-permission", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-warranty"), "BSD"),
+    (("bsd-permission", "bsd-source", "bsd-binary", "bsd-endorse"), "BSD"),
+    (("bsd-permission", "bsd-source", "bsd-binary", "bsd-warranty", "bsd-liability"), "BSD"),
+    (("bsd-permission", "bsd-source", "bsd-binary", "bsd-warranty"), "BSD"),
+    (("apache-2.0-grant", "apache-compliance", "apache-copy", "apache-warranty", "apache-see"), "Apache-2.0"),
+    (("isc-permission", "isc-warranty", "isc-liability"), "ISC"),
+    (("isc-permission", "isc-warranty"), "ISC"),
     (("mit-title", "copyright", "mit-permission", "mit-notice", "mit-warranty"), "MIT"),
     (("mit-permission", "mit-notice", "mit-warranty"), "MIT"),
     (("bsd-permission", "bsd-source", "bsd-binary"), "BSD"),
@@ -93,11 +117,14 @@ RULES = [
     (("rights-reserved",), "Proprietary"),
 ]
 
-_CUE = re.compile("|".join(map(re.escape, CUES)), re.IGNORECASE)
+_CUE = re.compile("|".join([*map(re.escape, CUES), CC]), re.IGNORECASE)
 _SENTENCE = re.compile(r"[^\n]*?(?:[.!?;](?=\s)|\n|$)")
+_WORDLIKE = re.compile(r"[^\W_]")
 _MARKS = re.compile(r"[^\w.+:]+|_")
 _END = re.compile(r"(?<![0-9a-z])\.+|\.+(?![0-9])|:(?!\s)")
 _COMPILED = [(re.compile(p), name) for p, name in PATTERNS]
+# No wrapped sentence is longer once normalised: the longest fixed one, which leaves open places of patterns their room.
+_LONGEST = max(map(len, SENTENCES))
 _ORDERED = sorted(RULES, key=lambda r: -len(r[0]))
 
 
@@ -106,15 +133,78 @@ def normalised(sentence: str) -> str:
     return " ".join(_END.sub(" ", lowered).replace(":", " ").split())
 
 
+def _paragraphs(text: str):
+    """Runs of lines with letters or digits, as lists of (line number, start, end)."""
+    block = []
+    for number, (start, end) in enumerate(_lines(text)):
+        if _WORDLIKE.search(text, start, end):
+            block.append((number, start, end))
+        elif block:
+            yield block
+            block = []
+    if block:
+        yield block
+
+
+def _pieces(text: str, block):
+    """(line number, start, end, whether only the line feed ends it) of the pieces of a paragraph."""
+    out = []
+    for number, start, end in block:
+        for m in _SENTENCE.finditer(text, start, end):
+            if m.end() > m.start():
+                out.append((number, m.start(), m.end(), m.end() == end and text[end - 1] not in ".!?;"))
+    return out
+
+
+def _wrapped(text: str, pieces, i: int, alone):
+    """(last piece, identified) of the sentence that starts with piece i and runs over line feeds, or None.
+
+    A fixed sentence counts whole, the longest one first. A pattern counts from the last piece that it needs; where it is known without
+    the further lines, they only add its version.
+    """
+    fixed = loose = None
+    size, j = len(normalised(text[pieces[i][1] : pieces[i][2]])), i
+    while pieces[j][3] and j + 1 < len(pieces) and size <= _LONGEST:
+        j += 1
+        size += 1 + len(normalised(text[pieces[j][1] : pieces[j][2]]))
+        if size > _LONGEST or not _CUE.search(text, pieces[i][1], pieces[j][2]):
+            continue
+        body = normalised(text[pieces[i][1] : pieces[j][2]])
+        if body in SENTENCES:
+            fixed = j, (SENTENCES[body], "")
+            continue
+        so_far = loose[1] if loose else alone
+        if so_far and so_far[1]:
+            continue
+        known = identify(text[pieces[i][1] : pieces[j][2]])
+        if known is None or known[0] == "spdx":
+            continue  # a tag stands on one line
+        if so_far is None:
+            if identify(text[pieces[i + 1][1] : pieces[j][2]]) is None:
+                loose = j, known
+        elif known[0] == so_far[0] and known[1]:
+            loose = j, known
+    return fixed or loose
+
+
 def sentences(text: str):
-    """(start, end) of every sentence that holds a cue, and its number among the sentences between the cues' lines."""
-    for number, line in enumerate(_lines(text)):
-        start, end = line
-        if not _CUE.search(text, start, end):
+    """(number, start, end, identifier, detail) of every known sentence; numbers count lines, a wrapped sentence as one."""
+    swallowed = 0
+    for block in _paragraphs(text):
+        if not _CUE.search(text, block[0][1], block[-1][2]):
             continue
-        for m in _SENTENCE.finditer(text, start, end):
-            if m.end() > m.start() and _CUE.search(text, m.start(), m.end()):
-                yield number, m.start(), m.end()
+        pieces, i = _pieces(text, block), 0
+        while i < len(pieces):
+            number, start, end, is_open = pieces[i]
+            known = identify(text[start:end]) if _CUE.search(text, start, end) else None
+            longer = _wrapped(text, pieces, i, known) if is_open else None
+            last = i
+            if longer:
+                last, known = longer
+            if known:
+                yield number - swallowed, start, pieces[last][2], *known
+            swallowed += pieces[last][0] - number
+            i = last + 1
 
 
 def _lines(text: str):
@@ -170,11 +260,7 @@ def scan(text: str | None) -> tuple[list[str], list[tuple[str, int, int]], list[
     """Licences of one text (sorted, once each), the matches with their places, and identifiers that no rule used."""
     if not text or not _CUE.search(text):
         return [], [], []
-    found = []
-    for number, start, end in sentences(text):
-        known = identify(text[start:end])
-        if known:
-            found.append((number, start, end, *known))
+    found = list(sentences(text))
     matches = match(found)
     covered = {(s, e) for _, s, e in matches}
     loose = [f[3] for f in found if not any(s <= f[1] and f[2] <= e for s, e in covered)]

@@ -592,6 +592,113 @@ def test_license_rules():
     assert both[0] == ["MIT", "Proprietary"]
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 A Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR
+ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
+WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF
+OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.
+"""
+APACHE = """// Licensed under the Apache License, Version 2.0 (the "License");
+// you may not use this file except in compliance with the License.
+// You may obtain a copy of the License at
+//
+//     http://www.apache.org/licenses/LICENSE-2.0
+//
+// Unless required by applicable law or agreed to in writing, software
+// distributed under the License is distributed on an "AS IS" BASIS,
+// WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+// See the License for the specific language governing permissions and
+// limitations under the License.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY.
+"""
+
+
+def test_known_sentences_pass_the_filter():
+    assert all(licenses._CUE.search(x) and licenses.identify(x) == (name, "") for x, name in licenses.SENTENCES.items())
+    wanted = {
+        "Distributed under the GNU GPL v3.": "GPL-3", "Released under the GPL version 2.": "GPL-2", "Released under the GPLv3.": "GPL-3",
+        "Released under the LGPL v2.1.": "LGPL-2.1", "Licensed under the AGPL v3.": "AGPL-3", "Released under CC BY-SA 4.0.": "CC-BY-SA-4.0",
+        "Available under CC-BY 4.0.": "CC-BY-4.0", "Released under CC0 1.0.": "CC-0-1.0", "Under the terms of the Mozilla Public License v2.0": "MPL-2.0",
+        "All rights  reserved.": "Proprietary", "This work is dedicated to the public-domain.": "Public-Domain", "SPDX-License-Identifier: ISC": "ISC",
+        "Released under Creative-Commons BY 4.0.": "CC-BY-4.0", "Available under the 3-clause BSD license.": "BSD-3",
+    }
+    assert {x: licenses.scan(x)[0] for x in wanted} == {x: [name] for x, name in wanted.items()}
+
+
+@pytest.mark.parametrize("text, name", [(MIT, "MIT"), (BSD, "BSD"), (ISC, "ISC"), (APACHE, "Apache-2.0"), (GPL, "GPL-3")])
+def test_wrapped_licenses(text, name):
+    """The sentences of a wrapped text are joined; one licence covers them and none is left over."""
+    names, matches, loose = licenses.scan("Some words\nbefore it.\n\n" + text + "\nand after")
+    assert names == [name] and len(matches) == 1 and loose == []
+    unwrapped = "\n\n".join(" ".join(x.split()) for x in text.replace("//", "").split("\n\n"))
+    assert licenses.scan(unwrapped)[0] == [name]
+
+
+def test_wrapped_versions():
+    assert licenses.scan("It is licensed under the GNU General\nPublic License\nversion 3.")[0] == ["GPL-3"]
+    text = "Foo bar\nLicensed under the MIT License.\nSPDX-License-Identifier: Zlib\nother words"
+    assert licenses.scan(text) == (["MIT", "ZLIB"], [("MIT", 8, 39), ("ZLIB", 40, 69)], [])
+
+
 def test_license_query(spark, none):
     rows = [(1, "Released under the MIT License.", "a"), (2, None, "a"), (3, "", "a"), (4, "word " * 50_000 + "\nAll rights reserved.", "a"), (4, "nothing", "a")]
     got = licenses.licenses(frame(spark, rows)).collect()
