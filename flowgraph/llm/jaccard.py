@@ -16,8 +16,10 @@ Two documents link when 100 * |A and B| >= percent * |A or B| for their shingle
 4. Of the classes that share a segment each is first compared with one of them only, the one with which it shares most,
    which makes at most as many pairs as classes. Connected classes need no further comparison. Where a group still holds more than one component, all pairs between
    components follow: as pairs in groups up to SMALL classes, else as tiles of TILE x TILE classes. A tile first meets with
-   the parities only; the sets follow for classes that still may link, and their overlaps are counted in the task, fragment by fragment, and which return a spanning forest of their links only. So no pair is left out, and a
+   the parities only; the sets follow for classes that still may link, and their overlaps are counted in the task, fragment by fragment, and which return a spanning forest of their links only. So no component is left in parts, and a
    group of near copies makes no square of rows.
+5. Links. The numbers of links come from a last comparison of each component with itself, as pairs or in tiles that return a
+   number per class: linked classes are in one component, so every link is counted, once.
 
 Class ids are 64-bit hashes of whole sets; two different shingles or sets agree by chance with probability 2**-64.
 
@@ -238,8 +240,8 @@ def verified(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     return summed.where(_linked(F.col("overlap"), F.col("a_n"), F.col("b_n"), percent)).select("a", "b")
 
 
-def tile_links(frame: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between classes of different components in one tile (columns cls, n, comp, side, part)."""
+def _tile_linked(frame: pd.DataFrame, percent: int) -> tuple[pd.DataFrame, pd.DataFrame, np.ndarray]:
+    """The two sides of a tile (columns cls, n, side, part; side 0 is on both) and which of their rows link."""
     frame = frame.sort_values(["side", "cls"], kind="stable").drop_duplicates(["side", "cls"])
     left, right = frame[frame["side"] != 2], frame[frame["side"] != 1]
     hashes = np.concatenate([np.concatenate([left, right]) for left, right in [(np.concatenate(list(left["part"])) if len(left) else np.zeros(0, np.int64), np.concatenate(list(right["part"])) if len(right) else np.zeros(0, np.int64))]])
@@ -261,8 +263,25 @@ def tile_links(frame: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
         overlap += one @ two.T
     common = np.rint(overlap).astype(np.int64)
     a_n, b_n = left["n"].to_numpy(np.int64)[:, None], right["n"].to_numpy(np.int64)[None, :]
+    return left, right, _linked(common, a_n, b_n, percent)
+
+
+def tile_counts(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """cls, links: with how many other classes of one tile each of its classes links."""
+    left, right, linked = _tile_linked(frame, percent)
+    a_ids, b_ids = left["cls"].to_numpy(), right["cls"].to_numpy()
+    linked &= a_ids[:, None] != b_ids[None, :]
+    out = pd.DataFrame({"cls": a_ids, "links": linked.sum(1)})
+    if (frame["side"] != 0).any():
+        out = pd.concat([out, pd.DataFrame({"cls": b_ids, "links": linked.sum(0)})])
+    return out[out["links"] > 0].astype("int64")
+
+
+def tile_links(frame: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links between classes of different components in one tile (columns cls, n, comp, side, part)."""
+    left, right, linked = _tile_linked(frame, percent)
     apart = left["comp"].to_numpy()[:, None] != right["comp"].to_numpy()[None, :]
-    rows, cols = np.nonzero(_linked(common, a_n, b_n, percent) & apart)
+    rows, cols = np.nonzero(linked & apart)
     a_ids, b_ids, a_comp, b_comp = left["cls"].to_numpy(), right["cls"].to_numpy(), left["comp"].to_numpy(), right["comp"].to_numpy()
     root: dict[int, int] = {}
 
@@ -294,18 +313,10 @@ def _parts(docs: DataFrame, k: int, classes: DataFrame, needed: DataFrame) -> Da
     return stored(segments(wanted, k).join(needed, "cls", "left_semi").dropDuplicates(["cls", "f"]), "parts")
 
 
-def _rest(docs: DataFrame, k: int, members: DataFrame, found: DataFrame, tried: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Links between classes that share a segment but were left in different components."""
-    named = members.join(found.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    named = stored(named, "named")
-    open_groups = named.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo <> hi").select("sig", "m")
-    rows = stored(named.join(open_groups, "sig"), "open")
-    sketches = classes.select("cls", "n", "bits")
-    small = rows.where(F.col("m") <= SMALL).select("sig", "cls", "comp").join(sketches, "cls")
-    pairs = close_pairs(small, percent).join(tried, ["a", "b"], "left_anti")
-    pairs = stored(possible(pairs, classes, percent), "pairs")
+def _tiles(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The rows (sig, cls, comp, m) of groups dealt to tiles of TILE x TILE classes, without those that parities allow no link in their tile."""
     blocks = F.ceil(F.col("m") / TILE).cast("int")
-    at = rows.where(F.col("m") > SMALL).withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
+    at = rows.withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
     at = at.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     tiled = at.select(
         "sig", "cls", "comp",
@@ -316,14 +327,51 @@ def _rest(docs: DataFrame, k: int, members: DataFrame, found: DataFrame, tried:
     def survivors(frame: pd.DataFrame) -> pd.DataFrame:
         return tile_survivors(frame, percent)[["sig", "cls", "comp", "i", "j", "side"]]
 
-    near = tiled.join(sketches, "cls").groupBy("sig", "i", "j").applyInPandas(survivors, "sig long, cls long, comp long, i int, j int, side int")
-    large = stored(near, "near")
+    return tiled.join(sketches, "cls").groupBy("sig", "i", "j").applyInPandas(survivors, "sig long, cls long, comp long, i int, j int, side int")
+
+
+def _whole(parts: DataFrame, rows: DataFrame) -> DataFrame:
+    """cls, n, part: the whole sets of the rows' classes."""
+    return parts.join(rows.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.max("n").alias("n"), F.flatten(F.collect_list("part")).alias("part"))
+
+
+def link_counts(docs: DataFrame, k: int, found: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """cls, n_links: with how many other classes each class links, counted over all pairs.
+
+    Classes that link are in one component, so a component is compared with itself, once: as pairs up to SMALL classes, else as tiles.
+    """
+    rows = found.select(F.col("node").alias("cls"), F.col("comp").alias("sig"))
+    rows = stored(rows.join(rows.groupBy("sig").agg(F.count("*").alias("m")), "sig").withColumn("comp", F.col("cls")), "compared")
+    sketches = classes.select("cls", "n", "bits")
+    pairs = close_pairs(rows.where(F.col("m") <= SMALL).select("sig", "cls", "comp").join(sketches, "cls"), percent)
+    pairs = stored(possible(pairs, classes, percent), "pairs")
+    large = stored(_tiles(rows.where(F.col("m") > SMALL), sketches, percent), "near")
+    needed = _ends(pairs).unionByName(large.select("cls")).distinct()
+    parts = _parts(docs, k, classes, stored(needed, "needed"))
+    counts = verified(pairs, parts, percent).select(F.explode(F.array("a", "b")).alias("cls"), F.lit(1).cast("long").alias("links"))
+    if not large.isEmpty():
+        tiles = large.join(_whole(parts, large), "cls").groupBy("sig", "i", "j")
+        counts = counts.unionByName(tiles.applyInPandas(lambda frame: tile_counts(frame, percent), "cls long, links long"))
+    return counts.groupBy("cls").agg(F.sum("links").alias("n_links"))
+
+
+def _rest(docs: DataFrame, k: int, members: DataFrame, found: DataFrame, tried: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Links between classes that share a segment but were left in different components."""
+    named = members.join(found.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    named = stored(named, "named")
+    open_groups = named.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo <> hi").select("sig", "m")
+    rows = stored(named.join(open_groups, "sig"), "open")
+    sketches = classes.select("cls", "n", "bits")
+    small = rows.where(F.col("m") <= SMALL).select("sig", "cls", "comp").join(sketches, "cls")
+    pairs = close_pairs(small, percent).join(tried, ["a", "b"], "left_anti")
+    pairs = stored(possible(pairs, classes, percent), "pairs")
+    large = stored(_tiles(rows.where(F.col("m") > SMALL), sketches, percent), "near")
     needed = _ends(pairs).unionByName(large.select("cls")).distinct()
     parts = _parts(docs, k, classes, stored(needed, "needed"))
     links = verified(pairs, parts, percent)
     if large.isEmpty():
         return links
-    whole = parts.join(large.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.max("n").alias("n"), F.flatten(F.collect_list("part")).alias("part"))
+    whole = _whole(parts, large)
 
     def tile(frame: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(tile_links(frame, percent), columns=["a", "b"], dtype="int64")
@@ -331,11 +379,12 @@ def _rest(docs: DataFrame, k: int, members: DataFrame, found: DataFrame, tried:
     return links.unionByName(large.join(whole, "cls").groupBy("sig", "i", "j").applyInPandas(tile, "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, count_links: bool = True) -> DataFrame:
     """doc_id, th (hash of the text), n_shingles, cls, comp, component_id, n_links: a row per row of docs.
 
-    comp tells components apart, also those of the same smallest id (null: an empty set); component_id is the smallest doc_id reachable by links; n_links counts the verified links that the component's
-    spanning work kept for the row's class (0: no other text is known to link).
+    comp tells components apart, also those of the same smallest id (null: an empty set); component_id is the smallest doc_id reachable by links; n_links counts the other
+    classes (different shingle sets) that link with the row's class. Without `count_links` the column is left out and the pairs that
+    only it needs are not compared.
     """
     sent = stored(signatures(docs, k, percent), "signatures")
     classes = stored(sent.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("lens").alias("lens"), F.max("bits").alias("bits")), "classes")
@@ -356,7 +405,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     if not more.isEmpty():
         links = links.unionByName(more).distinct()
         found = components(links, "a", "b")
-    counts = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("n_links"))
+    counts = stored(link_counts(docs, k, found, classes, percent), "counts") if count_links else links.select(F.col("a").alias("cls"), F.lit(None).cast("long").alias("n_links")).limit(0)
     named = classes.select("cls", "rep").join(found.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     smallest = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     of_class = named.join(smallest, "comp").join(counts, "cls", "left").select("cls", "comp", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
@@ -366,7 +415,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     full = sent.where("cls is not null").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts))).join(spread, ["cls", "salt"])
     columns = ["doc_id", "th", F.col("n").alias("n_shingles"), "cls", "comp", "component_id", "n_links"]
     bare = sent.where("cls is null").select("doc_id", "th", F.col("n").alias("n_shingles"), "cls", F.col("cls").alias("comp"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
-    return full.select(*columns).unionByName(bare)
+    done = full.select(*columns).unionByName(bare)
+    return done if count_links else done.drop("n_links")
 
 
 def one_per_group(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -374,7 +424,7 @@ def one_per_group(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
     Each row is decided by its own id and text: other texts of an id, or other rows without an id, are not touched by it.
     """
-    groups = stored(near_duplicates(docs, k, percent), "groups")
+    groups = stored(near_duplicates(docs, k, percent, count_links=False), "groups")
     place = F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "th")
     linked = groups.where("comp is not null").select("comp", place.alias("place"))
     first = linked.groupBy("comp").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first <> last")

@@ -37,7 +37,11 @@ def op7_suffix_tree(spark, sf_dir):
 
 
 def op8_jaccard_join(spark, sf_dir):
-    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=90).select("doc_id", "n_shingles", "component_id")
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=90, count_links=False).select("doc_id", "n_shingles", "component_id")
+
+
+def op8_jaccard_links(spark, sf_dir):
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=90).select("doc_id", "cls", "n_shingles", "component_id", "n_links")
 
 
 def op9_mix_sources(spark, sf_dir):
@@ -48,5 +52,5 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "deleted_lines")
 
 
-QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_topk_search, op3_pack_buckets, op4_exact_dedup, op5_license_sentences, op6_toxic_clauses, op7_suffix_tree, op8_jaccard_join, op9_mix_sources, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_topk_search, op3_pack_buckets, op4_exact_dedup, op5_license_sentences, op6_toxic_clauses, op7_suffix_tree, op8_jaccard_join, op8_jaccard_links, op9_mix_sources, op10_line_dedup)}
 ORACLE = {"op2_topk_search": topk.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE, "op8_jaccard_join": jaccard.ORACLE, "op9_mix_sources": mixing.ORACLE}

@@ -320,6 +320,24 @@ def test_jaccard_large_group(spark, monkeypatch, small, tile):
         assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_groups(rows, k, percent)
 
 
+def brute_links(rows, k, percent):
+    sets = {shingle_set(t, k) for _, t, _ in rows} - {frozenset()}
+    n = {a: sum(a != b and 100 * len(a & b) >= percent * len(a | b) for b in sets) for a in sets}
+    return Counter((i, n.get(shingle_set(t, k), 0)) for i, t, _ in rows)
+
+
+@pytest.mark.parametrize("small, tile", [(32, 256), (2, 8)])
+def test_jaccard_link_counts(spark, monkeypatch, rows, small, tile):
+    """All links between different texts are counted, also those that no component needs."""
+    monkeypatch.setattr(jaccard, "SMALL", small)
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    base = [f"w{j}" for j in range(100)]
+    three = [(i, " ".join(base[:-1] + [f"x{i}"]), "a") for i in range(3)]  # each links with both others
+    for table, k, percent in ((three, 3, 90), (near_group(), 3, 90), (rows, 5, 80)):
+        got = jaccard.near_duplicates(frame(spark, table), k, percent).collect()
+        assert Counter((r.doc_id, r.n_links) for r in got) == brute_links(table, k, percent)
+
+
 def test_segments_meet():
     """Every pair that links sends a common segment hash."""
     rng = np.random.default_rng(0)
