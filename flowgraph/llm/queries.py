@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowgraph.llm import exact_dedup, jaccard, licenses, line_dedup, mixing, packing, quality, suffix_tree, topk, toxicity
+from flowgraph.llm import collocations, exact_dedup, jaccard, licenses, line_dedup, mixing, packing, quality, resampling, suffix_tree, token_files, topk, toxicity
 from flowgraph.llm.common import table
+from flowgraph.plans.sizing import shared_path
 
 
 def op1_importance_resampling(spark, sf_dir):
@@ -52,5 +53,22 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "deleted_lines")
 
 
-QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_topk_search, op3_pack_buckets, op4_exact_dedup, op5_license_sentences, op6_toxic_clauses, op7_suffix_tree, op8_jaccard_join, op8_jaccard_links, op9_mix_sources, op10_line_dedup)}
-ORACLE = {"op2_topk_search": topk.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE, "op8_jaccard_join": jaccard.ORACLE, "op9_mix_sources": mixing.ORACLE}
+def op11_token_files(spark, sf_dir):
+    import public_tokenizers
+
+    folder = shared_path(spark, "tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read_tokens(spark, folder).select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def op12_target_resampling(spark, sf_dir):
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_topk_search, op3_pack_buckets, op4_exact_dedup, op5_license_sentences, op6_toxic_clauses, op7_suffix_tree, op8_jaccard_join, op8_jaccard_links, op9_mix_sources, op10_line_dedup, op11_token_files, op12_target_resampling, op13_collocations)}
+ORACLE = {"op2_topk_search": topk.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE, "op8_jaccard_join": jaccard.ORACLE, "op9_mix_sources": mixing.ORACLE, "op12_target_resampling": resampling.ORACLE, "op13_collocations": collocations.ORACLE}
