@@ -17,8 +17,9 @@ that nothing refers to. The start of a document is its place in its file plus th
 per file. Reading takes the index rows as they lie, so nothing is shuffled and tasks read ranges of files.
 
 Encoding. The tokenizer must not join what white space separates (its pre-tokenizer matches no white space): then the ids of a
-text are those of its pieces between blanks, tabs and line feeds in a row, and a task encodes each different piece once (up to
-CACHE of them are remembered at a time).
+text are those of its pieces between blanks, tabs and line feeds in a row, and a task encodes each different piece once (some
+CACHE of them are remembered at a time). Where the tokenizer marks the ends of words, pieces of letters go through it many in one
+string, and a mark that follows letters is encoded apart from them if the tokenizer cuts there too.
 
 The folder is opened by pyarrow.fs (local and shared paths, hdfs, s3, gs).
 
@@ -28,9 +29,11 @@ text; rows that repeat id and text stand next to each other, one by one; an empt
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +46,11 @@ BLOCK = 128
 SHARE = 0.9
 END_ID = 1
 MAGIC = b"PFB1"
-CACHE = 200_000
-# Longer pieces between white space are encoded each time, not remembered.
-CACHED_LENGTH = 64
+CACHE = 400_000
+CACHED_IDS = 8_000_000
+# A mark after a run of letters is a piece of its own; pieces of letters only are encoded so many at a time.
+MARKS = (",", ".", ";", ":", "!", "?")
+TOGETHER = 2000
 # Characters encoded at once, ids packed or returned at once; a longer single text is handled whole.
 CHARS = 1 << 20
 IDS = 1 << 18
@@ -60,10 +65,34 @@ def _bit_lengths(values: np.ndarray) -> np.ndarray:
     return np.frexp(values.astype(np.float64))[1]
 
 
+def _bits_together(values: np.ndarray, width: int) -> np.ndarray:
+    """The low `width` bits of each row's numbers in a row, first numbers and low bits first, as bytes; 64 numbers fill `width` words."""
+    lanes = np.ascontiguousarray(values.reshape(-1, 64).T).astype(np.uint64) & np.uint64((1 << width) - 1)
+    out = np.zeros((width, lanes.shape[1]), np.uint64)
+    for i in range(64):
+        word, shift = divmod(i * width, 64)
+        out[word] |= lanes[i] << np.uint64(shift)
+        if shift + width > 64:
+            out[word + 1] |= lanes[i] >> np.uint64(64 - shift)
+    return np.ascontiguousarray(out.T).astype("<u8").view(np.uint8).reshape(len(values), -1)
+
+
+def _bits_apart(packed: np.ndarray, width: int, size: int) -> np.ndarray:
+    """The numbers that `_bits_together` packed, `size` to a row."""
+    held = np.ascontiguousarray(np.ascontiguousarray(packed).view("<u8").reshape(-1, width).T)
+    out = np.empty((64, held.shape[1]), np.uint64)
+    for i in range(64):
+        word, shift = divmod(i * width, 64)
+        out[i] = held[word] >> np.uint64(shift)
+        if shift + width > 64:
+            out[i] |= held[word + 1] << np.uint64(64 - shift)
+    return np.ascontiguousarray((out & np.uint64((1 << width) - 1)).T).astype(np.uint32).reshape(len(packed), size)
+
+
 def pack_blocks(ids: np.ndarray, size: int = BLOCK, share: float = SHARE) -> tuple[bytes, np.ndarray]:
     """The blocks of the ids as bytes, and the length of each block; the last block is filled up with its minimum."""
-    if size % 8 or not 8 <= size <= 1 << 16:
-        raise ValueError(f"a block must hold a multiple of 8 ids up to 65536, not {size}")
+    if size % 64 or not 64 <= size <= 1 << 15:
+        raise ValueError(f"a block must hold a multiple of 64 ids up to 32768, not {size}")
     if not 0 < share <= 1:
         raise ValueError(f"share must be in (0, 1], not {share}")
     n = -(-len(ids) // size)
@@ -90,8 +119,7 @@ def pack_blocks(ids: np.ndarray, size: int = BLOCK, share: float = SHARE) -> tup
     out[starts[:-1, None] + np.arange(_HEAD)] = heads
     for w in np.unique(width[width > 0]):
         at = np.flatnonzero(width == w)
-        cells = (apart[at][:, :, None] >> np.arange(w, dtype=np.uint32)) & np.uint32(1)
-        packed = np.packbits(cells.astype(np.uint8).reshape(len(at), -1), axis=1, bitorder="little")
+        packed = _bits_together(apart[at], int(w))
         out[starts[at, None] + _HEAD + np.arange(packed.shape[1])] = packed
     block, place = np.nonzero(wide)
     if len(block):
@@ -114,8 +142,7 @@ def unpack_blocks(data: bytes, starts: np.ndarray, size: int = BLOCK) -> np.ndar
     for w in np.unique(width[width > 0]):
         at = np.flatnonzero(width == w)
         packed = raw[begin[at, None] + _HEAD + np.arange(size * w // 8)]
-        cells = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(at), size, w)
-        apart[at] = cells.astype(np.uint32) @ (np.uint32(1) << np.arange(w, dtype=np.uint32))
+        apart[at] = _bits_apart(packed, int(w), size)
     if lists.sum():
         block = np.repeat(np.arange(len(begin)), lists)
         rank = np.arange(len(block)) - np.repeat(np.cumsum(lists) - lists, lists)
@@ -203,50 +230,107 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@lru_cache(maxsize=2)
+def _word_ends(path: str) -> np.ndarray | None:
+    """Which ids end a word, where the tokenizer marks ends and cuts letters from the MARKS that follow them; else None."""
+    tokenizer = _tokenizer(path)
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+    cut = tokenizer.pre_tokenizer is not None and all(len(tokenizer.pre_tokenizer.pre_tokenize_str(letter + mark)) == 2 for letter in "aé" for mark in MARKS)
+    if not suffix or not cut:
+        return None
+    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+    out = np.zeros(max(vocabulary.values()) + 1, bool)
+    out[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+    return out
+
+
+def _plain(word: str) -> bool:
+    """Whether a word is one run of letters, and stays one when it is normalised and lower-cased."""
+    return word.isalpha() and (word.isascii() or (is_normalized("NFC", word) and word.lower().isalpha()))
+
+
 class Encoder:
     """Ids of whole texts, each different piece between white space encoded once."""
 
     def __init__(self, path: str):
-        self.tokenizer = _tokenizer(path)
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.tokenizer, self.ends = _tokenizer(path), _word_ends(path)
         self._forget()
 
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.lengths, self.pool = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.starts, self.pool = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def _add(self, pieces, lengths: np.ndarray, ids: np.ndarray) -> None:
+        self.number.update(zip(pieces, range(len(self.number), len(self.number) + len(lengths))))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+        self.pool = np.concatenate([self.pool, ids])
+
+    def _gathered(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces in a row, and the number of ids of each."""
+        begin = self.starts[which]
+        sizes = self.starts[which + 1] - begin
+        before = np.cumsum(sizes) - sizes
+        return self.pool[np.repeat(begin - before, sizes) + np.arange(sizes.sum())], sizes
+
+    def _learn_each(self, pieces: list[str]) -> None:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        self._add(pieces, np.array([len(x) for x in found], np.int64), np.array([i for x in found for i in x], np.uint32))
+
+    def _learn_plain(self, pieces: list[str]) -> None:
+        """Pieces that are one run of letters, many at a time: each has one id that ends a word, its last."""
+        done, lengths, found, odd = [], [], [], []
+        for a in range(0, len(pieces), TOGETHER):
+            some = pieces[a : a + TOGETHER]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) == len(some) and last[-1] == len(ids):
+                done += some
+                lengths.append(np.diff(last, prepend=0))
+                found.append(ids)
+            else:
+                odd += some
+        if done:
+            self._add(done, np.concatenate(lengths), np.concatenate(found))
+        if odd:
+            self._learn_each(odd)
 
     def _learn(self, new: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-        self.lengths = np.concatenate([self.lengths, np.array([len(x) for x in found], np.int64)])
-        self.pool = np.concatenate([self.pool, np.array([i for x in found for i in x], np.uint32)])
+        if self.ends is None:
+            return self._learn_each(new)
+        plain, marked, other = {}, [], []
+        for piece in new:
+            if _plain(piece):
+                plain[piece] = None
+            elif piece[-1:] in MARKS and _plain(piece[:-1]):
+                marked.append(piece)
+                if piece[:-1] not in self.number:
+                    plain[piece[:-1]] = None
+            else:
+                other.append(piece)
+        self._learn_plain(list(plain))
+        self._learn_each(other + [m for m in MARKS if m not in self.number and m not in other])
+        if marked:
+            ids, sizes = self._gathered(np.array([self.number[x] for piece in marked for x in (piece[:-1], piece[-1])], np.int64))
+            self._add(marked, sizes[::2] + sizes[1::2], ids)
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, each text followed by end_id, and the number of ids of each text."""
         split = [text.replace("\n", " ").replace("\t", " ").split(" ") for text in texts]
         flat = [piece for pieces in split for piece in pieces]
-        self._learn([piece for piece in dict.fromkeys(flat) if piece not in self.number])
-        which = np.fromiter(map(self.number.__getitem__, flat), np.int64, len(flat))
-        sizes = self.lengths[which]
-        starts = (np.cumsum(self.lengths) - self.lengths)[which]
-        before = np.cumsum(sizes) - sizes
-        ids = self.pool[np.repeat(starts - before, sizes) + np.arange(sizes.sum())]
-        ends = np.cumsum([len(pieces) for pieces in split])
-        counts = np.diff(np.concatenate([[0], np.concatenate([[0], np.cumsum(sizes)])[ends]]))
-        ids = np.insert(ids, np.cumsum(counts), np.uint32(end_id))
-        if len(self.number) > CACHE or any(len(piece) > CACHED_LENGTH for piece in dict.fromkeys(flat)):
-            self._trim()
+        places = list(map(self.number.get, flat))
+        new = list(dict.fromkeys([piece for piece, place in zip(flat, places) if place is None]))
+        if new:
+            self._learn(new)
+            places = list(map(self.number.get, flat))
+        found, sizes = self._gathered(np.array(places, np.int64))
+        last = np.cumsum([len(pieces) for pieces in split])
+        counts = np.diff(np.concatenate([[0], np.cumsum(sizes)])[last], prepend=0)
+        ids = np.insert(found, np.cumsum(counts), np.uint32(end_id))
+        if len(self.number) > CACHE or self.starts[-1] > CACHED_IDS:
+            self._forget()
         return ids, counts + 1
 
-    def _trim(self) -> None:
-        if len(self.number) > CACHE:
-            return self._forget()
-        short = [(piece, i) for piece, i in self.number.items() if len(piece) <= CACHED_LENGTH]
-        at = np.array([i for _, i in short], np.int64)
-        starts, sizes = (np.cumsum(self.lengths) - self.lengths)[at], self.lengths[at]
-        before = np.cumsum(sizes) - sizes
-        self.pool = self.pool[np.repeat(starts - before, sizes) + np.arange(sizes.sum())]
-        self.lengths, self.number = sizes, {piece: i for i, (piece, _) in enumerate(short)}
-
 
 def _groups(texts: list[str]):
     """The texts in runs of at most CHARS characters together, or of one text."""
