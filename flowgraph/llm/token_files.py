@@ -19,7 +19,7 @@ per file. Reading takes the index rows as they lie, so nothing is shuffled and t
 Encoding. The tokenizer must not join what white space separates (its pre-tokenizer matches no white space): then the ids of a
 text are those of its pieces between blanks, tabs and line feeds in a row, and a task encodes each different piece once (some
 CACHE of them are remembered at a time). Where the tokenizer marks the ends of words, pieces of letters go through it many in one
-string, and a mark that follows letters is encoded apart from them if the tokenizer cuts there too.
+string, and the marks that follow letters are encoded apart from them if the tokenizer cuts there too.
 
 The folder is opened by pyarrow.fs (local and shared paths, hdfs, s3, gs).
 
@@ -33,6 +33,7 @@ import os
 import struct
 import uuid
 from functools import lru_cache
+from string import punctuation
 from unicodedata import is_normalized
 
 import numpy as np
@@ -46,10 +47,10 @@ BLOCK = 128
 SHARE = 0.9
 END_ID = 1
 MAGIC = b"PFB1"
-CACHE = 400_000
+CACHE = 1_000_000
 CACHED_IDS = 8_000_000
-# A mark after a run of letters is a piece of its own; pieces of letters only are encoded so many at a time.
-MARKS = (",", ".", ";", ":", "!", "?")
+# Marks after a run of letters are a piece of their own; pieces of letters only are encoded so many at a time.
+MARKS = punctuation.replace("'", "")
 TOGETHER = 2000
 # Characters encoded at once, ids packed or returned at once; a longer single text is handled whole.
 CHARS = 1 << 20
@@ -298,31 +299,37 @@ class Encoder:
     def _learn(self, new: list[str]) -> None:
         if self.ends is None:
             return self._learn_each(new)
-        plain, marked, other = {}, [], []
+        plain, marked, other = {}, [], {}
         for piece in new:
             if _plain(piece):
                 plain[piece] = None
-            elif piece[-1:] in MARKS and _plain(piece[:-1]):
-                marked.append(piece)
-                if piece[:-1] not in self.number:
-                    plain[piece[:-1]] = None
+                continue
+            core = piece.rstrip(MARKS)
+            if len(core) < len(piece) and _plain(core):
+                marks = piece[len(core) :]
+                marked.append((piece, core, marks))
+                if core not in self.number:
+                    plain[core] = None
+                if marks not in self.number:
+                    other[marks] = None
             else:
-                other.append(piece)
+                other[piece] = None
         self._learn_plain(list(plain))
-        self._learn_each(other + [m for m in MARKS if m not in self.number and m not in other])
+        self._learn_each(list(other))
         if marked:
-            ids, sizes = self._gathered(np.array([self.number[x] for piece in marked for x in (piece[:-1], piece[-1])], np.int64))
-            self._add(marked, sizes[::2] + sizes[1::2], ids)
+            ids, sizes = self._gathered(np.array([self.number[x] for _, core, marks in marked for x in (core, marks)], np.int64))
+            self._add([piece for piece, _, _ in marked], sizes[::2] + sizes[1::2], ids)
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, each text followed by end_id, and the number of ids of each text."""
         split = [text.replace("\n", " ").replace("\t", " ").split(" ") for text in texts]
         flat = [piece for pieces in split for piece in pieces]
         places = list(map(self.number.get, flat))
-        new = list(dict.fromkeys([piece for piece, place in zip(flat, places) if place is None]))
-        if new:
-            self._learn(new)
-            places = list(map(self.number.get, flat))
+        missing = [i for i, place in enumerate(places) if place is None]
+        if missing:
+            self._learn(list(dict.fromkeys([flat[i] for i in missing])))
+            for i in missing:
+                places[i] = self.number[flat[i]]
         found, sizes = self._gathered(np.array(places, np.int64))
         last = np.cumsum([len(pieces) for pieces in split])
         counts = np.diff(np.concatenate([[0], np.cumsum(sizes)])[last], prepend=0)
