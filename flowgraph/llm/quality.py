@@ -8,7 +8,8 @@ shapes carry what word hashes can't: shouting, symbols after each word, repeated
 the sum of log(target / raw) over its n-grams; with counts smoothed by `alpha`.
 
 Resampling without replacement: key = log weight + Gumbel noise (from a hash of seed and id), and the k largest keys stay. k is
-the number of texts whose log weight reaches the mark that `keep` of the labelled good texts reach. The k-th largest key is found
+the number of texts whose log weight reaches the mark that `keep` of the labelled good texts reach, when each of them is scored
+by a target model without its own n-grams: so the mark is one for texts the model has not seen, also where labels are few. The k-th largest key is found
 by narrowing a histogram of keys, so nothing is sorted whole or collected.
 
 Defined cases: a null or empty text has no n-grams and log weight 0; equal keys at the cut all stay; rows that repeat id and
@@ -113,6 +114,36 @@ def weights(good: np.ndarray, raw: np.ndarray, alpha: float = ALPHA) -> np.ndarr
     return out
 
 
+def left_out(cells: np.ndarray, good: np.ndarray, raw: np.ndarray, alpha: float = ALPHA) -> float:
+    """The log weight of one text of the target by the model of all others: its own n-grams (cells) are taken out of `good`."""
+    held, own = np.unique(cells, return_counts=True)
+    total = 0.0
+    for low, high in ((0, CELLS), (CELLS, len(raw))):
+        inside = (held >= low) & (held < high)
+        at, n = held[inside], own[inside]
+        target = (good[at] - n + alpha) / (good[low:high].sum() - n.sum() + alpha * (high - low))
+        base = (raw[at] + alpha) / (raw[low:high].sum() + alpha * (high - low))
+        total += float((n * (np.log(target) - np.log(base))).sum())
+    return total
+
+
+def held_out_weights(docs: DataFrame, good: np.ndarray, raw: np.ndarray, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """log_weight of every labelled good text of the sample, by the model of all other texts."""
+    shared = docs.sparkSession.sparkContext.broadcast((good, raw))  # CELLS + SHAPES numbers each
+    marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sampled(labels, sample).where("good = 1")), "doc_id")
+
+    def run(batches):
+        for batch in batches:
+            found = []
+            for a, b, cells, owners in _by_piece(batch.column(0)):
+                order = np.argsort(owners, kind="stable")
+                cuts = np.cumsum(np.bincount(owners, minlength=b - a))[:-1]
+                found += [left_out(own, *shared.value) for own in np.split(cells[order], cuts)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.float64())], ["log_weight"])
+
+    return marked.select("text").mapInArrow(run, "log_weight double")
+
+
 def scored(docs: DataFrame, table: np.ndarray, seed: str = "quality-1:") -> DataFrame:
     """The rows of docs with log_weight and key."""
     spark = docs.sparkSession
@@ -137,32 +168,22 @@ def kth_largest(rows: DataFrame, column: str, k: int) -> float:
     """The k-th largest value of a column of finite doubles, by a histogram that is narrowed until a bin holds one value."""
     low, high = rows.select(F.min(column), F.max(column)).first()
     while low < high:
+        inside = rows.where((F.col(column) >= low) & (F.col(column) <= high))
         width = (high - low) / BINS
         if width <= 0 or low + width <= low:
-            break
-        place = F.least(F.floor((F.col(column) - F.lit(low)) / F.lit(width)), F.lit(BINS - 1)).cast("int")
-        inside = rows.where((F.col(column) >= low) & (F.col(column) <= high))
-        bins = inside.groupBy(place.alias("bin")).agg(F.count("*").alias("n"), F.min(column).alias("lo"), F.max(column).alias("hi")).collect()
-        for row in sorted(bins, key=lambda r: -r.bin):
+            # neighbouring doubles: fewer different values than bins, each its own bin
+            bins = inside.groupBy(F.col(column).alias("lo")).agg(F.count("*").alias("n"), F.max(column).alias("hi")).collect()
+        else:
+            place = F.least(F.floor((F.col(column) - F.lit(low)) / F.lit(width)), F.lit(BINS - 1)).cast("int")
+            bins = inside.groupBy(place.alias("bin")).agg(F.count("*").alias("n"), F.min(column).alias("lo"), F.max(column).alias("hi")).collect()
+        for row in sorted(bins, key=lambda r: -r.lo):
             if k <= row.n:
-                if (row.lo, row.hi) == (low, high):
-                    return _among(rows, column, low, high, k)
                 low, high = row.lo, row.hi
                 break
             k -= row.n
     return high
 
 
-def _among(rows: DataFrame, column: str, low: float, high: float, k: int) -> float:
-    """Values so near each other that bins can't part them: they are few different ones."""
-    values = rows.where((F.col(column) >= low) & (F.col(column) <= high)).groupBy(column).count().orderBy(F.desc(column)).limit(BINS).collect()
-    for value, n in values:
-        if k <= n:
-            return value
-        k -= n
-    return low
-
-
 def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, keep: float = KEEP) -> tuple[np.ndarray, float, DataFrame]:
     """The weights, the smallest key that stays, and doc_id, log_weight, key of every row (written to the shared folder)."""
     good, raw = counts(docs, labels, sample)
@@ -170,9 +191,8 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, keep: float
     rows = stored(scored(docs.select("doc_id", "text"), table).select(F.col("doc_id").cast("long").alias("doc_id"), "log_weight", "key"), "scored")
     if not good.sum():
         return table, -float("inf"), rows
-    targets = rows.select("doc_id", "log_weight").join(F.broadcast(sampled(labels, sample).where("good = 1")), "doc_id")
-    n = targets.count()
-    mark = kth_largest(stored(targets.select("log_weight"), "marks"), "log_weight", max(1, int(np.ceil(n * keep))))
+    targets = stored(held_out_weights(docs, good, raw, labels, sample), "marks")
+    mark = kth_largest(targets, "log_weight", max(1, int(np.ceil(targets.count() * keep))))
     k = rows.where(F.col("log_weight") >= mark).count()
     return table, kth_largest(rows.select("key"), "key", k), rows
 
