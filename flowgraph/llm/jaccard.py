@@ -4,12 +4,13 @@ Two documents link when 100 * |A and B| >= percent * |A or B| for their shingle
 (that of their 64-bit hashes), which is cut into fragments; a set falls into one segment per fragment.
 
 1. Sets that are equal form one class and are handled once.
-2. Candidates. Linked sets of a and b shingles differ in at most d = (a + b)(100 - percent) / (100 + percent) shingles, so of
-   d + 1 fragments at least one holds the same segment of both. Sizes are cut into ranges so wide that partners lie in the
-   same or the next range; a set sends the hash of each segment under the fragments of its own range and of the range
-   before. (Empty segments are sent only by a set with at most d segments that are not empty; two sets that are both beyond
-   that agree in a segment that is not empty.) So a candidate pair shares a whole segment, which texts that merely share
-   frequent words or passages rarely do.
+2. Candidates. Linked sets of a and b shingles differ in at most d = (a + b)(100 - percent) / (100 + percent) shingles. Of
+   d + 1 + t fragments (t is an eighth of d + 1, and one) at least t + 1 hold the same segment of both. So it is enough that each set
+   indexes d + 1 of its segments, if all sets leave out the last ones in one and the same order (two sets whose common segments
+   were all left out by one of them would have at most t in common): the segments that most classes share are left out, empty ones
+   before all others. A set that shares at most t segments with any others indexes none. So unrelated texts
+   with a frequent passage, which have a small segment in common, never meet. Sizes are cut into ranges so wide that partners
+   lie in the same or the next range; a set sends its segments under the fragments of its own range and of the range before.
 3. Overlaps. A pair whose segment sizes (in 64 fragments) or parities alone rule a link out is dropped: both are lower
    bounds of what two sets differ in. A set has at least as many parity cells as shingles, so long texts are told apart as
    well as short ones; of two sets the one with more cells is folded to the other's number. For the others the common shingles are counted fragment by fragment (FRAGMENTS fragments) as separate rows and summed per pair.
@@ -33,7 +34,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowgraph.llm import words
@@ -58,27 +59,36 @@ def ranges_up_to(n: int, percent: int) -> list[int]:
     return ends
 
 
-def segment_hashes(hashes: np.ndarray, ends: list[int], percent: int) -> np.ndarray:
-    """The segment hashes that a sorted set sends, for its own range of sizes and the one before."""
+def fragments_for(apart: int) -> int:
+    """Into how many fragments the order is cut where linked sets differ in at most `apart` shingles."""
+    return apart + 2 + (apart + 1) // 8
+
+
+def segment_hashes(hashes: np.ndarray, ends: list[int], percent: int) -> tuple[np.ndarray, list[int]]:
+    """The segment hashes that a sorted set sends, for its own range of sizes and then the one before, and [how many are of its
+    own range, how many segments need not be indexed in its own range, in the one before]. Hashes of empty segments are odd."""
     own = int(np.searchsorted(ends, len(hashes)))
     mixed = words.mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5))
-    out = []
+    out, spare = [], []
     for scheme in (own, own - 1):
-        if scheme < 0:
-            continue
-        # the smaller partner has at most ends[scheme] shingles, so the two differ in at most `apart`
-        apart = ends[scheme] * (100 - percent) // percent
+        # the smaller partner has at most ends[scheme] shingles, so the two differ in at most `apart`; where that is none, only equal
+        # sets link, and those are one class
+        apart = ends[scheme] * (100 - percent) // percent if scheme >= 0 else 0
         if apart == 0:
-            continue  # only equal sets link, and those are one class
-        parts = np.uint64(apart + 1)
-        at = ((hashes >> np.uint64(32)) * parts) >> np.uint64(32)
+            out.append(np.zeros(0, np.uint64))
+            spare.append(0)
+            continue
+        parts = fragments_for(apart)
+        at = ((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
         salt = words.mix((np.uint64(scheme) << np.uint64(32)) + at[first] + np.uint64(1))
-        out.append(words.mix(np.add.reduceat(mixed, first) + salt))
+        sent = words.mix(np.add.reduceat(mixed, first) + salt) & ~np.uint64(1)
         if len(first) <= apart:
-            empty = np.setdiff1d(np.arange(apart + 1, dtype=np.uint64), at[first])
-            out.append(words.mix((np.uint64(scheme) << np.uint64(32)) + empty + np.uint64(1)))
-    return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
+            empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), at[first])
+            sent = np.concatenate([sent, words.mix((np.uint64(scheme) << np.uint64(32)) + empty + np.uint64(1)) | np.uint64(1)])
+        out.append(np.unique(sent))
+        spare.append(max(0, len(first) - apart - 1))
+    return np.concatenate(out), [len(out[0]), *spare]
 
 
 def parities(hashes: np.ndarray) -> np.ndarray:
@@ -114,7 +124,7 @@ def _text_hash():
 
 
 def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, th (hash of the text), n (set size), cls (null for an empty set), sent (segment hashes), lens (sizes of 64 segments), bits (parities): a row per document.
+    """doc_id, th (hash of the text), n (set size), cls (null for an empty set), sent (segment hashes), heads (see segment_hashes), lens (sizes of 64 segments), bits (parities): a row per document.
 
     A task sends the segments of a class once; copies carry no segments.
     """
@@ -122,7 +132,7 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
     def run(batches):
         ends, seen = [1], set()
         for batch in batches:
-            n, cls, sent, lens, bits = [], [], [], [], []
+            n, cls, sent, heads, lens, bits = [], [], [], [], [], []
             for _, hashes in _sets(batch.column(1), k):
                 if len(hashes) > ends[-1]:
                     ends = ranges_up_to(2 * len(hashes), percent)
@@ -132,16 +142,18 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 bits.append(parities(hashes))
                 fresh = len(hashes) and cls[-1] not in seen
                 seen.add(cls[-1])
-                sent.append(segment_hashes(hashes, ends, percent).view(np.int64) if fresh else np.zeros(0, np.int64))
+                segments_of, head = segment_hashes(hashes, ends, percent) if fresh else (np.zeros(0, np.uint64), [0, 0, 0])
+                sent.append(segments_of.view(np.int64))
+                heads.append(head)
             lengths = np.concatenate([[0], np.cumsum([len(x) for x in sent])]).astype(np.int32)
             flat = pa.array(np.concatenate(sent) if sent else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths), flat), pa.array(lens, pa.list_(pa.int32())), pa.array(bits, pa.list_(pa.int64()))],
-                ["doc_id", "th", "n", "cls", "sent", "lens", "bits"],
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths), flat), pa.array(heads, pa.list_(pa.int32())), pa.array(lens, pa.list_(pa.int32())), pa.array(bits, pa.list_(pa.int64()))],
+                ["doc_id", "th", "n", "cls", "sent", "heads", "lens", "bits"],
             )
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_hash().alias("th"))
-    return read.mapInArrow(run, "doc_id long, th long, n long, cls long, sent array<long>, lens array<int>, bits array<long>")
+    return read.mapInArrow(run, "doc_id long, th long, n long, cls long, sent array<long>, heads array<int>, lens array<int>, bits array<long>")
 
 
 def segments(docs: DataFrame, k: int) -> DataFrame:
@@ -314,10 +326,16 @@ def _parts(docs: DataFrame, k: int, classes: DataFrame, needed: DataFrame) -> Da
 
 
 def _tiles(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """The rows (sig, cls, comp, m) of groups dealt to tiles of TILE x TILE classes, without those that parities allow no link in their tile."""
-    blocks = F.ceil(F.col("m") / TILE).cast("int")
-    at = rows.withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
-    at = at.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    """The rows (sig, cls, comp, m, top, g) of groups dealt to tiles of TILE x TILE classes, without those that parities allow no link in their tile.
+
+    g of a group's m classes are in its largest component, top. They need not meet each other: where the other components
+    fill one block, every class of top is in one row, however many there are.
+    """
+    rest, large = (F.ceil(x / TILE).cast("int") for x in (F.col("m") - F.col("g"), F.col("g")))
+    inside = F.col("comp").eqNullSafe(F.col("top"))
+    place = F.when(inside, rest + F.pmod(F.xxhash64("cls"), large).cast("int")).otherwise(F.pmod(F.xxhash64("cls"), rest).cast("int"))
+    at = rows.withColumn("block", place).withColumn("last", F.when(inside, rest - 1).otherwise(rest + large - 1))
+    at = at.withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
     tiled = at.select(
         "sig", "cls", "comp",
         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
@@ -341,7 +359,8 @@ def link_counts(docs: DataFrame, k: int, found: DataFrame, classes: DataFrame, p
     Classes that link are in one component, so a component is compared with itself, once: as pairs up to SMALL classes, else as tiles.
     """
     rows = found.select(F.col("node").alias("cls"), F.col("comp").alias("sig"))
-    rows = stored(rows.join(rows.groupBy("sig").agg(F.count("*").alias("m")), "sig").withColumn("comp", F.col("cls")), "compared")
+    sized = rows.groupBy("sig").agg(F.count("*").alias("m")).withColumn("top", F.lit(None).cast("long")).withColumn("g", F.lit(0).cast("long"))
+    rows = stored(rows.join(sized, "sig").withColumn("comp", F.col("cls")), "compared")
     sketches = classes.select("cls", "n", "bits")
     pairs = close_pairs(rows.where(F.col("m") <= SMALL).select("sig", "cls", "comp").join(sketches, "cls"), percent)
     pairs = stored(possible(pairs, classes, percent), "pairs")
@@ -359,7 +378,8 @@ def _rest(docs: DataFrame, k: int, members: DataFrame, found: DataFrame, tried:
     """Links between classes that share a segment but were left in different components."""
     named = members.join(found.select(F.col("node").alias("cls"), "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     named = stored(named, "named")
-    open_groups = named.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo <> hi").select("sig", "m")
+    parts_of = named.groupBy("sig", "comp").agg(F.count("*").alias("c")).groupBy("sig").agg(F.count("*").alias("comps"), F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("top"))
+    open_groups = parts_of.where("comps > 1").select("sig", "m", F.col("top.comp").alias("top"), F.col("top.c").alias("g"))
     rows = stored(named.join(open_groups, "sig"), "open")
     sketches = classes.select("cls", "n", "bits")
     small = rows.where(F.col("m") <= SMALL).select("sig", "cls", "comp").join(sketches, "cls")
@@ -379,6 +399,26 @@ def _rest(docs: DataFrame, k: int, members: DataFrame, found: DataFrame, tried:
     return links.unionByName(large.join(whole, "cls").groupBy("sig", "i", "j").applyInPandas(tile, "a long, b long"))
 
 
+def _members(sent: DataFrame) -> DataFrame:
+    """sig, cls, center: the classes that index a segment (more than one), and the smallest class that sent it."""
+    own = F.col("pos") < F.col("heads")[0]
+    places = sent.where("cls is not null").select("cls", "heads", F.posexplode("sent").alias("pos", "sig"))
+    segments_sent = places.select("cls", "sig", own.alias("own"), F.when(own, F.col("heads")[1]).otherwise(F.col("heads")[2]).alias("spare"))
+    # A segment sent by one class only makes no pair. Most are; a bit per hash lets nearly all of them stay where they are.
+    shared = segments_sent.groupBy("sig").agg(F.min("cls").alias("low"), F.max("cls").alias("high"), F.count("*").alias("df")).where("low <> high")
+    shared = stored(shared.select("sig", "df"), "shared")
+    cell = F.pmod(F.xxhash64("sig"), F.lit(CELLS))
+    maybe = has_bit(segments_sent.withColumn("_cell", cell), "_cell", bit_table(shared.select(cell.alias("_cell")), "_cell"), "_maybe")
+    met = maybe.where("_maybe").drop("_cell", "_maybe").join(shared, "sig").distinct()
+    # Of its segments that are not empty a class leaves out the `spare` most frequent ones; equal numbers go by the hash.
+    full = F.col("sig").bitwiseAND(F.lit(1)) == 0
+    frequent_first = Window.partitionBy("cls", "own", "full").orderBy(F.col("df").desc(), F.col("sig").desc())
+    ranked = met.withColumn("full", full).withColumn("place", F.row_number().over(frequent_first))
+    indexed = stored(ranked.where(~F.col("full") | (F.col("place") > F.col("spare"))).select("sig", "cls"), "indexed")
+    groups = indexed.groupBy("sig").agg(F.min("cls").alias("center"), F.max("cls").alias("high")).where("center <> high").select("sig", "center")
+    return indexed.join(groups, "sig")
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, count_links: bool = True) -> DataFrame:
     """doc_id, th (hash of the text), n_shingles, cls, comp, component_id, n_links: a row per row of docs.
 
@@ -388,13 +428,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, count_links:
     """
     sent = stored(signatures(docs, k, percent), "signatures")
     classes = stored(sent.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("lens").alias("lens"), F.max("bits").alias("bits")), "classes")
-    segments_sent = sent.where("cls is not null").select("cls", F.explode("sent").alias("sig"))
-    # A segment sent by one class only makes no pair. Most are; a bit per hash lets nearly all of them stay where they are.
-    shared = segments_sent.groupBy("sig").agg(F.min("cls").alias("center"), F.max("cls").alias("hi")).where("center <> hi")
-    shared = stored(shared.select("sig", "center"), "shared")
-    cell = F.pmod(F.xxhash64("sig"), F.lit(CELLS))
-    maybe = has_bit(segments_sent.withColumn("_cell", cell), "_cell", bit_table(shared.select(cell.alias("_cell")), "_cell"), "_maybe")
-    members = stored(maybe.where("_maybe").drop("_cell", "_maybe").join(shared, "sig").distinct(), "members")
+    members = stored(_members(sent), "members")
     met = members.where("cls <> center").groupBy("cls", "center").agg(F.count("*").alias("m"))
     best = met.groupBy("cls").agg(F.max_by("center", F.struct("m", "center")).alias("center"))
     star = stored(best.select(F.least("cls", "center").alias("a"), F.greatest("cls", "center").alias("b")).distinct(), "star")
