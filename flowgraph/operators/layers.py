@@ -10,14 +10,15 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgraph.functions.scalars import dot, leaky_relu, linear, relu
+from flowgraph.functions.scalars import LEAKY_SLOPE, dot, linear, relu
 from flowgraph.operators.graph import Operator
 from flowgraph.operators.panel import lag_names, windows
 from flowgraph.operators.propagate import chebyshev_basis, chebyshev_sum, propagate, step_keys, tap_names
-from flowgraph.plans.sizing import sized_join
+from flowgraph.plans.sizing import cut, sized_join
 
 Matrix = list[list[float]]
 
@@ -236,10 +237,6 @@ def series_forward(
 
 # --- attention -----------------------------------------------------------------------------------------------
 
-# exp() of twice this stays far inside the range of a double, so scores below it need no shift by their maximum.
-SAFE_SCORE = 300.0
-
-
 @dataclass(frozen=True)
 class Heads:
     """A set of attention heads over the last `h` values of a series (h = 0: the value of the step itself)."""
@@ -284,13 +281,6 @@ def _targets(steps: str, h: int, block: int) -> Column:
     return F.filter(F.sequence(F.lit(0), F.size(steps) - 1), lambda p: (F.get(steps, p) >= home) & (p >= h))
 
 
-def head_features(blocks: DataFrame, heads: Heads) -> DataFrame:
-    """(blk, t, node_id, series value, head columns) for every target step."""
-    at = blocks.select("*", F.explode(_targets("steps", heads.h, heads.block)).alias("p"))
-    projected = heads.project("series", F.col("p"))
-    return at.select("blk", F.get("steps", F.col("p")).alias("t"), "node_id", *[v.alias(c) for v, c in zip(projected, heads.flat)])
-
-
 def attention_pairs(blocks: DataFrame, op: Operator, heads: Heads) -> DataFrame:
     """A row per matrix entry and target step: (blk, t, i, node_id), the neighbour's head columns, the value `own` of
     i itself, and per head a score `s_<a>`. A zero score, and the anchor row of i, is null.
@@ -315,11 +305,9 @@ def attention_pairs(blocks: DataFrame, op: Operator, heads: Heads) -> DataFrame:
     return wide.select("blk", "t", "i", "node_id", "own", *heads.flat, *scores)
 
 
-def exponentials(pairs: DataFrame, heads: Heads, shifted: bool) -> DataFrame:
-    """Add e_<a> = exp(score), shifted by the largest score of (t, i) where scores are not known to be moderate."""
+def exponentials(pairs: DataFrame, heads: Heads) -> DataFrame:
+    """Add e_<a> = exp(score), shifted by the largest score of (t, i)."""
     count = len(heads.weight)
-    if not shifted:
-        return pairs.select("*", *[F.exp(f"s_{a}").alias(f"e_{a}") for a in range(1, count + 1)])
     around = ["blk", "t", "i"]
     tops = pairs.groupBy(*around).agg(*[F.max(f"s_{a}").alias(f"top_{a}") for a in range(1, count + 1)])
     return pairs.join(tops, around).select(
@@ -331,7 +319,7 @@ def attention_weights(pairs: DataFrame, heads: Heads) -> DataFrame:
     """alpha_<a> per step and live pair (i, node_id); a node without live pairs has none: its row is uniform over
     all nodes."""
     around = ["blk", "t", "i"]
-    live = exponentials(pairs, heads, shifted=True)
+    live = exponentials(pairs, heads)
     numbers = range(1, len(heads.weight) + 1)
     sums = live.groupBy(*around).agg(*[F.sum(f"e_{a}").alias(f"z_{a}") for a in numbers])
     return live.join(sums, around).select(
@@ -339,57 +327,247 @@ def attention_weights(pairs: DataFrame, heads: Heads) -> DataFrame:
     )
 
 
+# The state of a softmax over some of a node's neighbours, for all steps of a block: per head and step the largest score so far
+# and the sum of exponentials below it, and per head column and step their weighted sum. Two states merge by rescaling both
+# to the larger maximum, so neighbours are seen once, in any order and split over any tasks.
+_STATE = "blk long, i long, steps array<long>, kept array<double>, state array<double>"
+
+
+def _matrix(column) -> np.ndarray:
+    """Rows of equal length as a matrix; null becomes NaN."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(column), -1)
+
+
+def _runs(*keys: np.ndarray) -> np.ndarray:
+    """Where a run of equal keys begins."""
+    new = np.zeros(len(keys[0]), bool)
+    new[:1] = True
+    for key in keys:
+        new[1:] |= key[1:] != key[:-1]
+    return np.flatnonzero(new)
+
+
+def _merged(top: np.ndarray, z: np.ndarray, sums: np.ndarray, starts: np.ndarray, widths: Sequence[int]):
+    """The states of runs of rows as one state each. top, z: rows x steps x heads; sums: rows x steps x head columns."""
+    best = np.maximum.reduceat(top, starts)
+    run = np.repeat(np.arange(len(starts)), np.diff(np.concatenate([starts, [len(top)]])))
+    scale = np.where(top > -np.inf, np.exp(top - np.where(best > -np.inf, best, 0.0)[run]), 0.0)
+    return best, np.add.reduceat(z * scale, starts), np.add.reduceat(sums * np.repeat(scale, widths, axis=2), starts)
+
+
+def _batches(key: np.ndarray, starts: np.ndarray, kept: list, steps: list, state: np.ndarray) -> pa.RecordBatch:
+    width = state.shape[1]
+    offsets = pa.array(np.arange(len(starts) + 1, dtype=np.int32) * width, pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(key[starts, 0]), pa.array(key[starts, 1]), *(c.take(pa.array(starts)) for c in (steps, kept)),
+         pa.ListArray.from_arrays(offsets, pa.array(state.reshape(-1)))],
+        ["blk", "i", "steps", "kept", "state"],
+    )
+
+
+def _key(batch, *names: str) -> np.ndarray:
+    return np.column_stack([batch.column(n).to_numpy(zero_copy_only=False) for n in names])
+
+
+def head_values(series: np.ndarray, places: np.ndarray, heads: Heads) -> np.ndarray:
+    """rows x places x head columns: the head columns at places of each packed series."""
+    weight = np.concatenate([np.array(w, np.float64) for w in heads.weight], axis=1)
+    if heads.h == 0:
+        return series[:, places, None] * weight[0]
+    past = np.lib.stride_tricks.sliding_window_view(series, heads.h, axis=1)[:, places - heads.h]
+    return past @ weight
+
+
+def _places(steps: np.ndarray, blk: int, heads: Heads) -> np.ndarray:
+    """Positions of a packed row that are target steps of its own block and have a full history."""
+    at = np.arange(len(steps))
+    return at[(steps >= blk * heads.block) & (at >= heads.h)]
+
+
+def softmax_states(met: DataFrame, heads: Heads) -> DataFrame:
+    """One state per run of rows of the same receiver and block (columns blk, i, node_id, w, start, series_i, series, and on one row of each
+    also steps, kept)."""
+    widths = [len(c) for c in heads.columns]
+    ends = np.cumsum([0, *widths])
+
+    def run(batches):
+        for batch in batches:
+            key = _key(batch, "blk", "i")
+            lengths = batch.column("series").value_lengths().to_numpy()
+            begin = batch.column("start").to_numpy()
+            cuts = [*_runs(key[:, 0], lengths), len(key)]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                part = batch.slice(a, b - a)
+                places = _places(begin[a] + np.arange(lengths[a]), int(key[a, 0]), heads)
+                own = key[a:b]
+                starts = _runs(own[:, 0], own[:, 1])
+                run = np.repeat(np.arange(len(starts)), np.diff([*starts, b - a]))
+                # each node's head columns once, however many pairs it is in
+                _, once, node = np.unique(part.column("node_id").to_numpy(), return_index=True, return_inverse=True)
+                ours = head_values(_matrix(part.column("series_i").take(pa.array(starts))), places, heads)[run]
+                theirs = head_values(_matrix(part.column("series").take(pa.array(once))), places, heads)[node]
+                w = np.asarray(part.column("w").to_numpy(zero_copy_only=False), np.float64)[:, None]
+                scores = np.stack([np.einsum("rpc,rpc->rp", ours[:, :, x:y], theirs[:, :, x:y]) * w for x, y in zip(ends[:-1], ends[1:])], axis=2)
+                # no entry (an anchor row has no weight) and a score of zero do not take part
+                live = ~np.isnan(scores) & (scores != 0)
+                top = np.where(live, scores, -np.inf)
+                sums = np.where(np.isnan(theirs), 0.0, theirs)
+                with_kept = np.flatnonzero(np.asarray(part.column("kept").is_valid()))
+                carrier = starts.copy()
+                carrier[run[with_kept]] = with_kept
+                state = np.concatenate(_merged(top, live.astype(np.float64), sums, starts, widths), axis=2).reshape(len(starts), -1)
+                yield _batches(own, carrier, part.column("kept"), part.column("steps"), state)
+
+    return met.select("blk", "i", "node_id", "w", "start", "steps", "kept", "series_i", "series").mapInArrow(run, _STATE)
+
+
+def merged_states(states: DataFrame, heads: Heads) -> DataFrame:
+    """One state per receiver and block; the rows of one must be in one task, next to each other."""
+    widths, count = [len(c) for c in heads.columns], len(heads.weight)
+    cells = 2 * count + sum(widths)
+
+    def merge(table: pa.Table):
+        batch = table.combine_chunks().to_batches()[0]
+        key = _key(batch, "blk", "i")
+        lengths = batch.column("state").value_lengths().to_numpy()
+        cuts = [*_runs(lengths), len(key)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            part = batch.slice(a, b - a)
+            state = _matrix(part.column("state")).reshape(b - a, -1, cells)
+            own = key[a:b]
+            starts = _runs(own[:, 0], own[:, 1])
+            done = np.concatenate(_merged(state[:, :, :count], state[:, :, count : 2 * count], state[:, :, 2 * count :], starts, widths), axis=2)
+            yield _batches(own, starts, part.column("kept"), part.column("steps"), done.reshape(len(starts), -1))
+
+    def run(batches):
+        waiting = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = table if waiting is None else pa.concat_tables([waiting, table])
+            # the last receiver may go on in the next batch
+            key = _key(table, "blk", "i")
+            last = int(_runs(key[:, 0], key[:, 1])[-1])
+            if last:
+                yield from merge(table.slice(0, last))
+            waiting = pa.Table.from_batches(list(merge(table.slice(last))))
+        if waiting is not None:
+            yield from waiting.to_batches()
+
+    return states.mapInArrow(run, _STATE)
+
+
+def column_sums(blocks: DataFrame, heads: Heads) -> DataFrame:
+    """blk, everyone: per target step of a block the number of nodes with values, and their sum, for each head column in turn."""
+
+    def run(batches):
+        for batch in batches:
+            blk = batch.column("blk").to_numpy()
+            lengths = batch.column("steps").value_lengths().to_numpy()
+            cuts = [*_runs(blk, lengths), len(blk)]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                part = batch.slice(a, b - a)
+                places = _places(np.asarray(part.column("steps")[0].values.to_numpy()), int(blk[a]), heads)
+                values = head_values(_matrix(part.column("series")), places, heads)
+                known = ~np.isnan(values)
+                both = np.concatenate([known.sum(0), np.where(known, values, 0.0).sum(0)], axis=1).reshape(-1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(both), blk[a])), pa.array(np.arange(len(both))), pa.array(both.astype(np.float64))], ["blk", "at", "x"]
+                )
+
+    parts = blocks.select("blk", "steps", "series").mapInArrow(run, "blk long, at long, x double")
+    summed = parts.repartition("blk").groupBy("blk", "at").agg(F.sum("x").alias("x"))
+    return summed.groupBy("blk").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))), lambda c: c["x"]).alias("everyone"))
+
+
 def attend(
-    blocks: DataFrame, op: Operator, heads: Heads, bias: Sequence[Sequence[float]], shifted: bool = True,
-    act: Callable[[Column], Column] | None = leaky_relu,
+    blocks: DataFrame, op: Operator, heads: Heads, bias: Sequence[Sequence[float]],
+    act: Callable[[np.ndarray], np.ndarray] | None = None, out: Matrix | None = None, layout: str = "node",
 ) -> DataFrame:
-    """(blk, t, node_id, own, head columns): softmax-weighted mean of the neighbours' head columns plus bias.
+    """(blk, node_id, steps, kept, series_<c>): softmax-weighted mean of the neighbours' head columns plus bias at the target steps of
+    every block, packed like `blocks`; with `out`, these columns times that matrix.
 
-    `op` is an anchored symmetric adjacency. Where all scores of a node are zero its weights are uniform over all nodes
-    of the step.
+    `op` is an anchored symmetric adjacency. Where all scores of a node are zero its weights are uniform over all nodes of
+    the step. Every neighbour is visited once: the softmax is a state that merges (see above). With layout="step" all rows of
+    a block are in one place, so states move by block; otherwise by block and receiver.
     """
-    live = exponentials(attention_pairs(blocks, op, heads), heads, shifted)
-    sums = []
-    for a, head in enumerate(heads.columns, 1):
-        sums.append(F.sum(f"e_{a}").alias(f"z_{a}"))
-        sums += [F.sum(F.col(f"e_{a}") * F.col(c)).alias(c) for c in head]
-    gathered = live.groupBy("blk", "t", "i").agg(*sums, F.max("own").alias("own"))
-    everyone = head_features(blocks, heads).groupBy("blk", "t").agg(*[F.avg(c).alias(f"{c}_all") for c in heads.flat])
-    joined = gathered.join(everyone, ["blk", "t"])
-    outputs = []
-    for a, (head, shift) in enumerate(zip(heads.columns, bias, strict=True), 1):
-        for c, b in zip(head, shift, strict=True):
-            value = F.coalesce(F.col(c) / F.col(f"z_{a}"), F.col(f"{c}_all")) + F.lit(float(b))
-            outputs.append((act(value) if act else value).alias(c))
-    return joined.select("blk", "t", F.col("i").alias("node_id"), "own", *outputs)
-
-
-def score_bounds(blocks: DataFrame, op: Operator, params: GatParams, heads: Heads) -> tuple[float, float]:
-    """Upper bounds of the absolute scores of both layers, from the largest head column values and the largest weight.
-
-    An attention output is a weighted mean, so it is bounded by the inputs; one small row reaches the driver."""
-    tops = head_features(blocks, heads).agg(*[F.max(F.abs(c)).alias(c) for c in heads.flat]).first()
-    edge = op.df.agg(F.max(F.abs("w"))).first()[0] or 0.0
-    first = max(sum((tops[c] or 0.0) ** 2 for c in head) for head in heads.columns) * edge
-    shifts = [b for head in params.head_bias for b in head]
-    out = [
-        sum(abs(params.out[r][o]) * ((tops[c] or 0.0) + abs(shifts[r])) for r, c in enumerate(heads.flat))
-        for o in range(len(params.out[0]))
-    ]
-    return first, sum(v * v for v in out) * edge
+    by = ["blk"] if layout == "step" else ["blk", "i"]
+    # The rows are few and their pairs many: with a number of its own the shuffle is not coalesced by the size of the rows.
+    parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = blocks.repartition(parts, "blk") if layout == "step" else blocks.repartition(parts, "blk", "node_id")
+    extra = F.col("kept" if "kept" in blocks.columns else "series").alias("kept")
+    at_i = blocks.select("blk", F.col("node_id").alias("i"), F.get("steps", F.lit(0)).alias("start"), F.col("series").alias("series_i"), "steps", extra)
+    matrix = op.df.select("i", F.col("j").alias("node_id"), "w")
+    paired = sized_join(at_i.sortWithinPartitions("blk", "i"), matrix, "i", op.rows, spread="blk")
+    # what is the same for all neighbours of a node travels with its anchor row
+    first = F.col("w").isNull() & (F.col("i") == F.col("node_id"))
+    paired = paired.select("blk", "i", "node_id", "w", "start", "series_i", *[F.when(first, F.col(c)).alias(c) for c in ("steps", "kept")])
+    # the hash join keeps the order of its left side, so a node's neighbours mostly follow each other; if not, it has more states
+    met = paired.join(blocks.select("blk", "node_id", "series").hint("shuffle_hash"), ["blk", "node_id"])
+    states = softmax_states(met, heads)
+    merged = merged_states(states.repartition(*by).sortWithinPartitions(*[F.col(c) for c in ("blk", "i")], F.col("kept").isNull()), heads)
+    everyone = column_sums(blocks, heads)
+    widths, count = [len(c) for c in heads.columns], len(heads.weight)
+    columns = sum(widths)
+    shift = np.array([b for head in bias for b in head], np.float64)
+    names_out = [f"series_{c}" for c in range(1, (len(out[0]) if out else columns) + 1)]
+
+    def run(batches):
+        for batch in batches:
+            key = _key(batch, "blk", "i")
+            lengths = batch.column("state").value_lengths().to_numpy()
+            cuts = [*_runs(key[:, 0], lengths), len(key)]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                part = batch.slice(a, b - a)
+                if not lengths[a]:
+                    continue
+                state = _matrix(part.column("state")).reshape(b - a, -1, 2 * count + columns)
+                steps = np.asarray(part.column("steps")[0].values.to_numpy())
+                places = _places(steps, int(key[a, 0]), heads)
+                total = _matrix(part.column("everyone").slice(0, 1)).reshape(len(places), 2 * columns)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    mean = total[:, columns:] / total[:, :columns]
+                    value = state[:, :, 2 * count :] / np.repeat(state[:, :, count : 2 * count], widths, axis=2)
+                value = np.where(np.repeat(state[:, :, count : 2 * count], widths, axis=2) > 0, value, mean) + shift
+                value = act(value) if act else value
+                value = value @ np.array(out, np.float64) if out else value
+                kept = _matrix(part.column("kept"))[:, places]
+                offsets = pa.array(np.arange(b - a + 1, dtype=np.int32) * len(places), pa.int32())
+
+                def lists(rows):
+                    flat = np.ascontiguousarray(rows).reshape(-1)
+                    return pa.ListArray.from_arrays(offsets, pa.array(flat, from_pandas=flat.dtype.kind == "f"))
+
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[a:b, 0]), pa.array(key[a:b, 1]), lists(np.tile(steps[places], (b - a, 1))), lists(kept), *(lists(value[:, :, c]) for c in range(value.shape[2]))],
+                    ["blk", "node_id", "steps", "kept", *names_out],
+                )
+
+    schema = "blk long, node_id long, steps array<long>, kept array<double>, " + ", ".join(f"{n} array<double>" for n in names_out)
+    return merged.join(everyone, "blk").mapInArrow(run, schema)
+
+
+def unpacked(blocks: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """(blk, t, node_id, ...): a row per step of packed rows, with the array columns under new names."""
+    cells = F.arrays_zip(F.col("steps").alias("t"), *[F.col(c).alias(name) for c, name in columns.items()])
+    rows = blocks.select("blk", "node_id", F.explode(cells).alias("_cell"))
+    return rows.select("blk", "_cell.t", "node_id", *[F.col(f"_cell.{name}").alias(name) for name in columns.values()])
+
+
+def _leaky(x: np.ndarray) -> np.ndarray:
+    return np.where(x >= 0, x, LEAKY_SLOPE * x)
 
 
 def gat_forward(
     rows: DataFrame, op: Operator, params: GatParams, h: int, block: int, column: str,
-    cut_to: Callable[[DataFrame], DataFrame] = lambda df: df,
+    cut_to: Callable[[DataFrame], DataFrame] = lambda df: df, layout: str = "node",
 ) -> DataFrame:
     """All heads in one pass, leaky relu, an output attention layer, leaky relu. `rows` comes from `with_halo`; `column`
-    is kept in the result next to `prediction`."""
-    heads = Heads(params.heads, h, block)
-    blocks = packed(rows, column)
-    first, second = score_bounds(blocks, op, params, heads)
-    hidden = attend(blocks, op, heads, params.head_bias, shifted=not first <= SAFE_SCORE)
-    ends = hidden.select("blk", "t", "node_id", "own", linear(heads.flat, params.out)[0].alias("v"))
-    end = Heads([[[1.0]]], 0, block)
-    out = attend(packed(cut_to(ends), "v", "own"), op, end, [params.out_bias], shifted=not second <= SAFE_SCORE)
-    return out.select("blk", "t", "node_id", F.col("own").alias(column), F.col(end.flat[0]).alias("prediction"))
+    is kept in the result next to `prediction`. Steps stay packed by block from the readings to the result."""
+    heads, end = Heads(params.heads, h, block), Heads([[[1.0]]], 0, block)
+    blocks = cut(packed(rows, column))
+    hidden = cut(attend(blocks, op, heads, params.head_bias, _leaky, params.out, layout).withColumnRenamed("series_1", "series"))
+    last = attend(hidden, op, end, [params.out_bias], _leaky, layout=layout)
+    return cut_to(unpacked(last, {"kept": column, "series_1": "prediction"}))

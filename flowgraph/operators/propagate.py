@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgraph.operators.graph import Operator, directed_normalised, plain_edges
-from flowgraph.plans.sizing import cut, sized_join
+from flowgraph.plans.sizing import broadcast_rows, cut, sized_join
 from flowgraph.schemas import Graph
 
 STEP_KEYS = ("blk", "t")
@@ -20,18 +20,56 @@ STEP_KEYS = ("blk", "t")
 MOST_STEPS = 48
 MOST_SLOTS = 24
 CUT_EVERY = 3
+DEFAULT_HEAVY_EDGES = 10_000
 
 
 def step_keys(features: DataFrame) -> list[str]:
     return [k for k in STEP_KEYS if k in features.columns]
 
 
-def messages(features: DataFrame, op: Operator) -> DataFrame:
-    """One row per matrix entry and feature row: receiver `i`, the sender's columns under `node_id`, weight `w`."""
+def messages(features: DataFrame, op: Operator, way: str = "auto", heavy: int | None = None) -> DataFrame:
+    """One row per matrix entry and feature row: receiver `i`, the sender's columns under `node_id`, weight `w`.
+
+    way="broadcast": the smaller side of known size goes to all tasks. way="split": both sides are shuffled by sender, and the
+    entries of senders with more than `heavy` of them are dealt apart (`split_messages`). "auto" broadcasts while the size is within the bound.
+    """
+    if way not in ("auto", "broadcast", "split"):
+        raise ValueError(f"way must be auto, broadcast or split, not {way!r}")
     matrix = op.df.select("i", F.col("j").alias("node_id"), "w")
+    rows = op.rows if "_pack" in features.columns else op.nodes
+    if way == "split" or (way == "auto" and rows > broadcast_rows(features.sparkSession)):
+        return split_messages(features, matrix, op.rows, heavy or heavy_edges(features.sparkSession))
     if "_pack" in features.columns:
-        return sized_join(features, matrix, "node_id", op.rows, spread="_pack")
-    return sized_join(matrix, features, "node_id", op.nodes, spread="i")
+        return features.join(F.broadcast(matrix), "node_id")
+    return matrix.join(F.broadcast(features), "node_id")
+
+
+def heavy_edges(spark: SparkSession) -> int:
+    """Most entries of one sender that may meet in one task."""
+    return int(spark.conf.get("spark.flowgraph.heavyEdges", str(DEFAULT_HEAVY_EDGES)))
+
+
+def heavy_senders(matrix: DataFrame, most: int) -> DataFrame:
+    """node_id, slices: the senders with more than `most` entries, and into how many slices of about `most` these are dealt."""
+    counted = matrix.groupBy("node_id").agg(F.count("*").alias("_n")).where(F.col("_n") > most)
+    return counted.select("node_id", F.ceil(F.col("_n") / most).cast("int").alias("_slices"))
+
+
+def split_messages(features: DataFrame, matrix: DataFrame, rows: int, most: int) -> DataFrame:
+    """`messages` by a shuffle on the sender, in which no sender has more than about `most` entries in one task.
+
+    A histogram of the senders' entries marks the heavy ones (at most rows / most of them). Their entries are dealt over
+    slices by a hash of the receiver, and only their feature rows are repeated, once per slice; all others meet in slice 0.
+    The sums over a receiver are partial in each task and merge in the shuffle of the aggregation.
+    """
+    heavy = cut(heavy_senders(matrix, most))
+    bound = rows // most
+    dealt = sized_join(matrix, heavy, "node_id", bound, spread="i", how="left")
+    slice_of = F.when(F.col("_slices").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("i"), F.col("_slices")).cast("int"))
+    sliced = dealt.withColumn("_slice", slice_of).drop("_slices")
+    marked = sized_join(features, heavy, "node_id", bound, spread="_pack" if "_pack" in features.columns else "node_id", how="left")
+    repeated = marked.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1))).drop("_slices")
+    return sliced.hint("merge").join(repeated, ["node_id", "_slice"]).drop("_slice")
 
 
 def _slot(column: str, k: int) -> str:
@@ -73,6 +111,8 @@ def propagate(
     combine: Callable[[Column], Column] = F.sum,
     factor: float = 1.0,
     plus: Sequence[str] = (),
+    way: str = "auto",
+    heavy: int | None = None,
 ) -> DataFrame:
     """y[i] = combine over j of w[i, j] * x[j], per step.
 
@@ -88,7 +128,7 @@ def propagate(
     out = list(out or columns)
     keys = step_keys(features)
     if "t" not in keys:
-        return _spread(features, op, keys, list(columns), out, list(carry), list(plus), combine, factor)
+        return _spread(features, op, keys, list(columns), out, list(carry), list(plus), combine, factor, way, heavy)
     keys.remove("t")
     read = list(dict.fromkeys([*columns, *carry, *plus]))
     steps = max(1, min(MOST_STEPS, MOST_SLOTS // (len(out) + len(carry))))
@@ -98,16 +138,17 @@ def propagate(
 
     sums = _spread(
         _packed(features, keys, read, steps), op, [*keys, "_pack"], wide(columns), wide(out), wide(carry), wide(plus),
-        combine, factor,
+        combine, factor, way, heavy,
     )
     return _unpacked(sums, keys, [*out, *carry], steps).select(*keys, "t", "node_id", *out, *carry)
 
 
 def _spread(
     features: DataFrame, op: Operator, keys: Sequence[str], columns: Sequence[str], out: Sequence[str],
-    carry: Sequence[str], plus: Sequence[str], combine: Callable[[Column], Column], factor: float,
+    carry: Sequence[str], plus: Sequence[str], combine: Callable[[Column], Column], factor: float, way: str,
+    heavy: int | None,
 ) -> DataFrame:
-    sent = messages(features, op)
+    sent = messages(features, op, way, heavy)
     own = F.col("i") == F.col("node_id")
     terms = [F.col("w") * F.col(c) for c in columns]
     if plus:

@@ -77,6 +77,15 @@ def recurring_graph(spark: SparkSession, sf_dir: str) -> Graph:
     return Graph.of(sensors(spark, sf_dir), edge_list(spark, sf_dir).where("n >= 2"))
 
 
+def hub_graph(spark: SparkSession, sf_dir: str) -> Graph:
+    """All sensors and edges, and an edge from the sensor with most events (the smallest of them) to every other one."""
+    counts = read_table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("hub")).agg(F.count("*").alias("n"))
+    hub = counts.agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("src"))  # one row
+    nodes = sensors(spark, sf_dir)
+    to_all = nodes.select(F.col("node_id").alias("dst")).join(F.broadcast(hub), F.col("dst") != F.col("src")).select("src", "dst")
+    return Graph.of(nodes, edge_list(spark, sf_dir).select("src", "dst").unionByName(to_all).distinct())
+
+
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """node_id, t, flow = number of events of the node in the hour; dense."""
     days = calendar(spark, sf_dir)

@@ -90,8 +90,10 @@ def score(
     cut_to: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Run the model given by its parameters over `with_halo` rows; adds `prediction`."""
-    forward = gat_forward if isinstance(model, GatParams) else series_forward
-    return forward(rows, operator_for(model, graph, graph_type), model, h, block, column, cut_to)
+    op = operator_for(model, graph, graph_type).settled()
+    if isinstance(model, GatParams):
+        return gat_forward(rows, op, model, h, block, column, cut_to, layout_for(graph))
+    return series_forward(rows, op, model, h, block, column, cut_to)
 
 
 def model_rows(panel: DataFrame, graph: Graph, model: Params, h: int, span: tuple[int, int]) -> tuple[DataFrame, int]:

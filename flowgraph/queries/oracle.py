@@ -513,6 +513,16 @@ add(
     f"select w.i as node_id, s.t, {r6('sum(w.w * s.x)', 'flow', 8)} from walk w join scaled s on s.node_id = w.j group by w.i, s.t",
     "walk", "scaled",
 )
+TABLES["hub_edges"] = (
+    ("edge_list", "nodes"),
+    """select src, dst from edge_list union select h.id, n.node_id from nodes n join
+       (select user_id as id from events group by user_id order by count(*) desc, user_id limit 1) h on n.node_id <> h.id""",
+)
+add(
+    "spmm_hub",
+    f"select e.dst as node_id, s.t, {r6('sum(s.x)', 'flow', 8)} from hub_edges e join scaled s on s.node_id = e.src group by e.dst, s.t",
+    "hub_edges", "scaled",
+)
 TABLES["t0"] = (("scaled",), "select node_id, t, x from scaled")
 TABLES["t1"] = (
     ("t0", "lap"),

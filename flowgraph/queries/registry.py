@@ -394,6 +394,16 @@ def spmm(spark, sf_dir):
     return rounded(spread.select("node_id", "t", "flow"), ["flow"], 8)
 
 
+@query
+def spmm_hub(spark, sf_dir):
+    """The edges, one sender leading to all nodes among them, times the scaled panel, by the shuffle that deals the entries of heavy
+    senders apart."""
+    graph = D.hub_graph(spark, sf_dir)
+    rows = P.with_halo(scaled_panel(spark, sf_dir), 0, "node")
+    spread = R.propagate(rows, R.plain_edges(graph), ["flow"], way="split", heavy=64)
+    return rounded(spread.select("node_id", "t", "flow"), ["flow"], 8)
+
+
 @query
 def cheb_basis(spark, sf_dir):
     graph = D.road_graph(spark, sf_dir)

@@ -178,3 +178,37 @@ def test_remap_unknown_id(spark, ten):
     kept = G.to_dense_ids(ten.edges, order, 9, unknown="drop")
     assert kept.count() == 24
     assert [r.node_id for r in G.unknown_ids(ten.edges, order).collect()] == [9]
+
+
+def _star(spark, leaves):
+    """One hub that sends to every leaf, and a ring of leaves."""
+    edges = [(0, n, 1.0) for n in range(1, leaves + 1)] + [(n, n % leaves + 1, 2.0) for n in range(1, leaves + 1)]
+    return graph_of(spark, edges, range(leaves + 1))
+
+
+@pytest.mark.parametrize("steps", [None, 24])
+def test_heavy_sender_is_dealt_over_slices(spark, steps):
+    graph = _star(spark, 500)
+    op = R.plain_edges(graph)
+    rows = [(n, float(n + 1)) for n in range(501)]
+    if steps:
+        rows = [(n, t, x + t) for n, x in rows for t in range(steps)]
+        features = spark.createDataFrame(rows, "node_id long, t long, x double")
+    else:
+        features = spark.createDataFrame(rows, "node_id long, x double")
+    want = R.propagate(features, op, ["x"], way="broadcast")
+    got = R.propagate(features, op, ["x"], way="split", heavy=50)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and want.count() == 500 * (steps or 1)
+    matrix = op.df.select("i", F.col("j").alias("node_id"), "w")
+    heavy = R.heavy_senders(matrix, 50).collect()
+    assert [(r.node_id, r._slices) for r in heavy] == [(0, 10)]
+    packed = features.groupBy("node_id").agg(F.sum("x").alias("x"))
+    # a slice of the hub holds a tenth of its entries, give or take; so does a task
+    dealt = R.split_messages(packed, matrix, op.rows, 50).where("node_id = 0")
+    slices = dealt.groupBy(F.pmod(F.xxhash64("i"), F.lit(10))).count().collect()
+    assert dealt.count() == 500 and len(slices) == 10 and max(r["count"] for r in slices) < 100
+
+
+def test_way_is_checked(spark, ten):
+    with pytest.raises(ValueError):
+        R.messages(spark.range(1).withColumnRenamed("id", "node_id"), R.plain_edges(ten), "other")

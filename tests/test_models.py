@@ -123,7 +123,8 @@ def test_attention_golden_row(spark, ten):
     x = np.array([[v / 10 + 1.0] for v in range(10)])
     heads = L.Heads([[[1.0]]], 0, 24)
     blocks = L.packed(frame(spark, x).select(F.lit(0).cast("bigint").alias("blk"), "t", "node_id", F.col("flow").alias("y")), "y")
-    out = {r.node_id: r.g_1_1 for r in L.attend(blocks, G.adjacency(ten).anchor(ten), heads, [[0.0]], act=None).collect()}
+    done = L.unpacked(L.attend(blocks, G.adjacency(ten).anchor(ten), heads, [[0.0]]), {"series_1": "g"})
+    out = {r.node_id: r.g for r in done.collect()}
     assert out[0] == pytest.approx(1.339475, abs=1e-6) and sum(out.values()) == pytest.approx(15.297829, abs=1e-6)
 
 
@@ -202,3 +203,40 @@ def test_neighbour_forecast_falls_back_to_mean(spark):
     out = {(r.node_id, r.t): r for r in FC.neighbour_forecast(frame(spark, x), graph, 2, (2, 4)).collect()}
     assert out[0, 2].prediction == 3.0 and out[2, 3].prediction == 4.5 and out[1, 3].prediction == 5.0
     assert out[2, 3].target == 9.0
+
+
+def test_softmax_states_merge_in_any_order(spark):
+    """One pass over neighbours dealt anyhow agrees with a softmax of all of them, also for scores exp cannot take."""
+    rng = np.random.default_rng(11)
+    heads = L.Heads([[[1.0]], [[0.5]]], 0, 24)
+    top, z, sums = [], [], []
+    scores, values = rng.normal(0, 900, (300, 4, 2)), rng.normal(0, 1, (300, 4, 2))
+    scores[5] = -np.inf
+    starts = np.array([0])
+    parts = np.array_split(rng.permutation(300), 17)
+    for part in parts:
+        live = np.isfinite(scores[part])
+        a, b, c = L._merged(scores[part], live.astype(float), np.where(live, values[part], 0.0), starts, [1, 1])
+        top.append(a), z.append(b), sums.append(c)
+    best, total, weighted = L._merged(np.concatenate(top), np.concatenate(z), np.concatenate(sums), starts, [1, 1])
+    e = np.exp(scores - scores.max(0))
+    assert np.allclose(weighted[0] / total[0], (e * np.where(np.isfinite(scores), values, 0)).sum(0) / e.sum(0)) and (best[0] == scores.max(0)).all()
+    none = L._merged(np.full((2, 1, 1), -np.inf), np.zeros((2, 1, 1)), np.zeros((2, 1, 1)), starts, [1])
+    assert none[1].item() == 0 and none[2].item() == 0
+
+
+@pytest.mark.parametrize("layout", ["step", "node"])
+def test_attention_layouts_agree(spark, ten_isolated, readings, layout):
+    x = frame(spark, readings)
+    op = FC.operator_for(MODELS["gat"], ten_isolated).settled()
+    from flowgraph.operators.panel import with_halo
+    rows = with_halo(x.select("t", "node_id", F.col("flow").alias("y")), H, layout, 24)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {(r.node_id, r.t): r.prediction for r in L.gat_forward(rows, op, MODELS["gat"], H, 24, "y", layout=layout).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = dense_out("gat", readings)
+    assert len(got) == 11 * (readings.shape[1] - H)
+    for (node, t), value in got.items():
+        assert value == pytest.approx(want[t - H, node])
