@@ -17,7 +17,7 @@ that nothing refers to. The start of a document is its place in its file plus th
 per file. Reading takes the index rows as they lie, so nothing is shuffled and tasks read ranges of files.
 
 Encoding. The tokenizer must not join what white space separates (its pre-tokenizer matches no white space): then the ids of a
-text are those of its pieces between blanks, tabs and line feeds in a row, and a task encodes each different piece once (some
+text are those of its pieces between blanks, tabs and line feeds in a row, and a worker encodes each different piece once (some
 CACHE of them are remembered at a time). Where the tokenizer marks the ends of words, pieces of letters go through it many in one
 string, and the marks that follow letters are encoded apart from them if the tokenizer cuts there too.
 
@@ -339,6 +339,12 @@ class Encoder:
         return ids, counts + 1
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    """What a worker process has learned stays with it from task to task."""
+    return Encoder(path)
+
+
 def _groups(texts: list[str]):
     """The texts in runs of at most CHARS characters together, or of one text."""
     run, held = [], 0
@@ -368,7 +374,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def write(batches):
-        part, path, encoder, writer = TaskContext.get().partitionId(), "", Encoder(tokenizer), None
+        part, path, encoder, writer = TaskContext.get().partitionId(), "", _encoder(tokenizer), None
         for batch in batches:
             ids = batch.column(0)
             done = 0
