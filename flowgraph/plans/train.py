@@ -11,8 +11,6 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -237,13 +235,44 @@ def gram(rows: DataFrame, inputs: Sequence[str], target: str = "y") -> DataFrame
     return unfolded.groupBy("row").agg(*sums, F.sum(F.col("x") * F.col(target)).alias("c_y"))
 
 
-def linear_fit(rows: DataFrame, inputs: Sequence[str], target: str = "y") -> tuple[list[float], float]:
-    """Least squares of the target on the filtered history: coefficients and intercept."""
-    vectors = VectorAssembler(inputCols=list(inputs), outputCol="features", handleInvalid="skip")
-    fitted = LinearRegression(labelCol=target, solver="normal").fit(
-        vectors.transform(rows.where(F.col(target).isNotNull())).select("features", target)
+PIVOT_FLOOR = 1e-12
+
+
+def solved(sums: DataFrame, n_inputs: int) -> DataFrame:
+    """Sweep the normal-equation sums of `gram` to a solution: row (place of the input, n_inputs for the intercept), value.
+
+    The table has a row per input, so it is folded into one row of arrays and every pivot is swept there by array functions. An
+    input whose pivot falls to 1e-12 of its own sum of squares depends on those before it; its coefficient is 0.
+    """
+    n = n_inputs + 1
+    line = F.array(*[F.col(f"c_{k}") for k in range(n)], F.col("c_y"))
+    one_row = sums.select(F.struct("row", line.alias("line")).alias("r")).agg(F.sort_array(F.collect_list("r")).alias("rows"))
+    matrix = one_row.select(F.transform("rows", lambda r: r["line"]).alias("m")).where(F.size("m") == n)
+    squares = F.transform(F.col("m"), lambda r, k: F.get(r, k))
+
+    def sweep(m, k):
+        pivot_row = F.get(m, k)
+        pivot = F.get(pivot_row, k)
+        usable = F.abs(pivot) > F.lit(PIVOT_FLOOR) * F.get(F.col("squares"), k)
+        clear = lambda r: F.zip_with(r, pivot_row, lambda x, p: x - F.get(r, k) / pivot * p)
+        scaled = F.transform(pivot_row, lambda x: x / pivot)
+        swept = F.transform(m, lambda r, i: F.when(i == k, scaled).otherwise(clear(r)))
+        # A dependent input leaves the system: its row and its column become zero.
+        out = F.transform(m, lambda r, i: F.transform(r, lambda x, j: F.when((i == k) | (j == k), 0.0).otherwise(x)))
+        return F.when(usable, swept).otherwise(out)
+
+    done = matrix.withColumn("squares", squares).select(
+        F.aggregate(F.sequence(F.lit(0), F.lit(n - 1)), F.col("m"), sweep).alias("m")
     )
-    return [float(v) for v in fitted.coefficients], float(fitted.intercept)
+    return done.select(F.posexplode(F.transform("m", lambda r: F.get(r, F.lit(n)))).alias("row", "value"))
+
+
+def linear_fit(rows: DataFrame, inputs: Sequence[str], target: str = "y") -> tuple[list[float], float]:
+    """Least squares of the target on the filtered history: coefficients and intercept. One aggregation over the rows."""
+    values = [float(r.value) for r in solved(gram(rows, inputs, target), len(inputs)).orderBy("row").collect()]
+    if not values:
+        raise ValueError("no row with all inputs and the target")
+    return values[:-1], values[-1]
 
 
 def linear_start(coefficients: Sequence[float], intercept: float, hidden: int) -> GcnParams:

@@ -296,6 +296,15 @@ def add(name: str, body: str, *tables: str, recursive: str = "") -> None:
 
 add("edge_projection", f"select src, dst, {r6('cost', 'weight')} from edge_list", "edge_list")
 add("edge_csv_source", f"select src, dst, {r6('cost', 'weight')} from edge_list", "edge_list")
+_bad = [("malformed", "src || ',' || dst"), ("malformed", "src || ',x,' || n"), ("malformed", "src || ',' || dst || ',' || n || ',9'"),
+        ("not_finite", "src || ',' || dst || ',NaN'"), ("missing", "src || ',,' || n || '.0'"), ("not_finite", "src || ',' || dst || ',Infinity'")]
+add(
+    "edge_csv_rejects",
+    "select src, dst, n::double as weight, 'good' as reason, null::varchar as row from edge_list"
+    " union all select src, dst, n + 5e-1, 'good', null from edge_list"
+    + "".join(f" union all select null, null, null, '{reason}', {row} from edge_list" for reason, row in _bad),
+    "edge_list",
+)
 add("node_set", "select src as node_id from edge_list union select dst from edge_list", "edge_list")
 add(
     "id_remap",
@@ -385,6 +394,13 @@ add(
        max(t) as last_step from panel""",
     "panel",
 )
+add("array_source", "select node_id, t, flow, flow + t * 10 as load from panel", "panel")
+add(
+    "array_source_span",
+    """select node_id, t, flow + t * 10 as load from panel, (select max(t) + 1 as steps from panel) s
+       where t >= steps - steps // 3""",
+    "panel",
+)
 add("feature_select", f"select node_id, t, {r6('speed', 'flow')} from features", "features")
 _bins = ", ".join(
     f"count(*) filter (least(floor((l.x - s.low) / (s.high - s.low) * 10), 9) = {b}) as bin_{b}" for b in range(10)
@@ -755,3 +771,21 @@ add(
     ),
     "gcn_rows",
 )
+
+# Elimination by plain joins of the table with its pivot row; every column of the pivot is cleared in all other rows.
+_columns = [f"c_{m}" for m in range(H + 1)] + ["c_y"]
+TABLES["sweep_0"] = (
+    ("gcn_rows",),
+    " union all ".join(
+        f"select {n} as row, " + ", ".join(f"sum({a} * {b}) as {c}" for b, c in zip([*_factors, "y"], _columns)) + " from gcn_rows"
+        for n, a in enumerate(_factors)
+    ),
+)
+for _k in range(H + 1):
+    TABLES[f"sweep_{_k + 1}"] = (
+        (f"sweep_{_k}",),
+        "select a.row, "
+        + ", ".join(f"case when a.row = {_k} then p.{c} / p.c_{_k} else a.{c} - a.c_{_k} / p.c_{_k} * p.{c} end as {c}" for c in _columns)
+        + f" from sweep_{_k} a join sweep_{_k} p on p.row = {_k}",
+    )
+add("sgc_linear_fit", f"select row, {r6('c_y', 'value')} from sweep_{H + 1}", f"sweep_{H + 1}")

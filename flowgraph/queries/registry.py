@@ -17,8 +17,9 @@ from flowgraph.operators import propagate as R
 from flowgraph.plans import driver_tables as D
 from flowgraph.plans import forecast as FC
 from flowgraph.plans import train as TR
-from flowgraph.plans.sizing import cut, settle, shared_path
+from flowgraph.plans.sizing import cut, settle, shared_path, sized_join
 from flowgraph.queries import weights as W
+from flowgraph.sources import arrays as SA
 from flowgraph.sources import edges as SE
 from flowgraph.sources import forecasts as SF
 
@@ -31,6 +32,7 @@ CONFIG = FC.RunConfig(D.TIME_INTERVAL, D.H, D.DIVIDE_DAYS)
 SEED, EPOCH = 7, 1
 PLOT_SPAN = (0, 48)
 FIRST_K = 5
+ARRAY_STEPS = 240
 LAGS = P.lag_names(D.H)
 
 
@@ -81,6 +83,24 @@ def edge_csv_source(spark, sf_dir):
     return rounded(SE.read_edges(spark, path), ["weight"])
 
 
+@query
+def edge_csv_rejects(spark, sf_dir):
+    """Each edge is written as one good line and as a line of each bad kind; all are read back with what became of them."""
+    path = shared_path(spark, "edges")
+    a, b, n = (F.col(c).cast("string") for c in ("src", "dst", "n"))
+    lines = F.array(
+        F.concat_ws(",", a, b, n), F.concat(F.lit('"'), a, F.lit('","'), b, F.lit('",'), n, F.lit(".5")), F.concat_ws(",", a, b),
+        F.concat_ws(",", a, F.lit("x"), n), F.concat_ws(",", a, b, n, F.lit("9")), F.concat_ws(",", a, b, F.lit("NaN")),
+        F.concat_ws(",", a, F.lit(""), n), F.concat_ws(",", a, b, F.lit("Inf")),
+    )
+    body = D.edge_list(spark, sf_dir).select(F.explode(lines).alias("from,to,cost"))
+    body.write.option("header", True).option("quote", "").option("escapeQuotes", False).option("sep", "\u0001").csv(path)
+    checked = SE.checked_edges(spark, path)
+    good = checked.good.select("src", "dst", "weight", F.lit("good").alias("reason"), F.lit(None).cast("string").alias("row"))
+    empty = [F.lit(None).cast(t).alias(c) for c, t in (("src", "bigint"), ("dst", "bigint"), ("weight", "double"))]
+    return good.unionByName(checked.rejected.select(*empty, "reason", "row"))
+
+
 @query
 def node_set(spark, sf_dir):
     return G.node_set(D.edge_list(spark, sf_dir))
@@ -220,6 +240,40 @@ def panel_shape(spark, sf_dir):
     return P.panel_shape(D.panel(spark, sf_dir))
 
 
+def _array_folder(spark, sf_dir):
+    """The panel as array files, flow and load = flow + 10 t, with the node order file beside them."""
+    days, nodes = D.calendar(spark, sf_dir), D.sensors(spark, sf_dir)
+    order_path, path = shared_path(spark, "order"), shared_path(spark, "arrays")
+    nodes.orderBy("node_id").select(F.col("node_id").cast("string").alias("value")).write.text(order_path)
+    order = settle(SE.read_node_order(spark, order_path))
+    panel = D.panel(spark, sf_dir).withColumnRenamed("node_id", "raw_id").withColumn("load", F.col("flow") + F.col("t") * 10)
+    dense = sized_join(panel, order.df, "raw_id", order.rows, spread="t").select(F.col("idx").alias("node_id"), "t", "flow", "load")
+    SA.write_arrays(dense, path, order.rows, days.n_steps, ARRAY_STEPS)
+    return path, order, days.n_steps
+
+
+def _raw_ids(rows, order):
+    named = order.df.select(F.col("idx").alias("node_id"), "raw_id")
+    joined = sized_join(rows, named, "node_id", order.rows, spread="t")
+    return joined.select(F.col("raw_id").alias("node_id"), *rows.columns[1:])
+
+
+@query
+def array_source(spark, sf_dir):
+    path, order, _ = _array_folder(spark, sf_dir)
+    return _raw_ids(SA.read_arrays(spark, path, features=["flow", "load"], steps_per_task=ARRAY_STEPS // 4), order)
+
+
+@query
+def array_source_span(spark, sf_dir):
+    """One feature of the last third of the steps; the other ranges are not opened."""
+    path, order, n_steps = _array_folder(spark, sf_dir)
+    rows = SA.read_arrays(
+        spark, path, features=["flow", "load"], columns=["load"], span=(n_steps - n_steps // 3, n_steps), steps_per_task=ARRAY_STEPS // 4
+    )
+    return _raw_ids(rows, order)
+
+
 @query
 def feature_select(spark, sf_dir):
     return rounded(P.single_feature(D.feature_panel(spark, sf_dir), "speed", "flow"), ["flow"])
@@ -635,6 +689,5 @@ def sgc_gram(spark, sf_dir):
 
 @query
 def sgc_linear_fit(spark, sf_dir):
-    coefficients, intercept = TR.linear_fit(*_linear_rows(spark, sf_dir))
-    rows = [(n, c) for n, c in enumerate([*coefficients, intercept])]
-    return rounded(spark.createDataFrame(rows, "row int, value double"), ["value"])
+    rows, inputs = _linear_rows(spark, sf_dir)
+    return rounded(TR.solved(TR.gram(rows, inputs), len(inputs)), ["value"])

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from flowgraph.plans.sizing import cut
 from flowgraph.schemas import EDGE_FILE_SCHEMA
 
 HEADER = ",".join(EDGE_FILE_SCHEMA.fieldNames())
@@ -35,6 +39,48 @@ def rejected_edges(spark: SparkSession, path) -> DataFrame:
     return _edge_lines(spark, path).where("not good").select("row")
 
 
+@dataclass(frozen=True)
+class CheckedEdges:
+    """The rows of edge files, written once: `good` (src, dst, weight) and `rejected` (file, row, reason)."""
+
+    good: DataFrame
+    rejected: DataFrame
+
+
+def checked_edges(spark: SparkSession, path) -> CheckedEdges:
+    """Read edge files with the CSV reader (quotes as CSV has them) and keep what it could not read.
+
+    The reader's rows are written to the checkpoint folder once; good and rejected rows are selections of that table, so the files
+    are parsed in one pass. Reasons: `malformed` (field count, text that is no number), `missing` (an empty id or cost), and
+    `not_finite` (a cost that is NaN or infinite; its row is put together from the parsed fields).
+    """
+    corrupt = "_corrupt"
+    schema = StructType([*EDGE_FILE_SCHEMA.fields, StructField(corrupt, StringType())])
+    read = (
+        spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", True)
+        .option("columnNameOfCorruptRecord", corrupt).option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
+        .csv(path)
+    )
+    names = EDGE_FILE_SCHEMA.fieldNames()
+    source, target, cost = (F.col(f"`{c}`") for c in names)
+    rebuilt = F.concat_ws(",", *[F.coalesce(c.cast("string"), F.lit("")) for c in (source, target, cost)])
+    reason = (
+        F.when(F.col(corrupt).isNotNull(), "malformed")
+        .when(source.isNull() | target.isNull() | cost.isNull(), "missing")
+        .when(F.isnan(cost) | (F.abs(cost) == F.lit(float("inf"))), "not_finite")
+    )
+    kept = cut(
+        read.select(
+            source.cast("bigint").alias("src"), target.cast("bigint").alias("dst"), cost.cast("double").alias("weight"),
+            F.col("_metadata.file_name").alias("file"), F.coalesce(corrupt, rebuilt).alias("row"), reason.alias("reason"),
+        )
+    )
+    return CheckedEdges(
+        kept.where("reason is null").select("src", "dst", "weight"),
+        kept.where("reason is not null").select("file", "row", "reason"),
+    )
+
+
 def edge_casts(source: str = "from", target: str = "to", cost: str = "cost") -> list[Column]:
     return [
         F.expr(f"try_cast(`{source}` as bigint)").alias("src"),
