@@ -9,11 +9,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from flowgraph.session import local_session  # noqa: E402
 from flowgraph.schemas import EDGE_SCHEMA, Graph  # noqa: E402
 
-# Ten places, fourteen roads with a cost each; every road is stored in both directions.
-ROADS = [
-    (0, 1, 5), (1, 2, 3), (2, 3, 7), (3, 4, 2), (4, 5, 4), (5, 6, 6), (6, 7, 8),
-    (7, 8, 1), (8, 9, 9), (0, 5, 10), (1, 6, 12), (2, 7, 15), (3, 8, 11), (4, 9, 13),
-]
+# A wheel: a rim of nine places, and spokes from place 0 to every other one of them; every road is stored in both directions.
+PAIRS = [(k, k % 9 + 1) for k in range(1, 10)] + [(0, k) for k in range(1, 10, 2)]
+ROADS = [(a, b, 1 + 5 * n % 13) for n, (a, b) in enumerate(PAIRS)]
 
 
 @pytest.fixture(scope="session")

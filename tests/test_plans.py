@@ -9,7 +9,7 @@ from test_panel import frame
 
 from flowgraph.operators import layers as L
 from flowgraph.plans import forecast as FC
-from flowgraph.plans.sizing import checkpoint_folder, sized_join
+from flowgraph.plans.sizing import checkpoint_folder, shared_path, sized_join
 
 
 def plan(df):
@@ -62,5 +62,6 @@ def test_join_beyond_the_bound_is_salted(spark):
 
 
 def test_checkpoints_go_to_the_named_folder(spark):
-    named = spark.conf.get("spark.checkpoint.dir", "")
-    assert named in checkpoint_folder(spark)
+    named = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
+    assert named and named in checkpoint_folder(spark)
+    assert shared_path(spark, "x").startswith(checkpoint_folder(spark) + "/x-")
