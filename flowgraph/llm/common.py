@@ -23,6 +23,11 @@ def words_in(text: str = "text") -> Column:
     return F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long")
 
 
+def apart(docs: DataFrame, *read: str) -> DataFrame:
+    """docs with all columns but those in `read` under names that no operator uses; `toDF(*docs.columns)` gives the names back."""
+    return docs.toDF(*[c if c in read else f"given_{n}" for n, c in enumerate(docs.columns)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

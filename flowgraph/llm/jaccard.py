@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowgraph.llm import words
-from flowgraph.llm.common import bit_table, has_bit, stored
+from flowgraph.llm.common import apart, bit_table, has_bit, stored
 from flowgraph.llm.links import components
 
 FRAGMENTS = 8
@@ -458,16 +458,17 @@ def one_per_group(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
     Each row is decided by its own id and text: other texts of an id, or other rows without an id, are not touched by it.
     """
-    groups = stored(near_duplicates(docs, k, percent, count_links=False), "groups")
+    groups = stored(near_duplicates(docs.select("doc_id", "text"), k, percent, count_links=False), "groups")
     place = F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "th")
     linked = groups.where("comp is not null").select("comp", place.alias("place"))
     first = linked.groupBy("comp").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first <> last")
     drop = linked.join(first, "comp").where("place <> first").select(F.col("place.doc_id").alias("_id"), F.col("place.th").alias("_th")).distinct()
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_th"))
-    kept = docs.withColumn("_key", _text_hash()).join(drop, same, "left_anti").drop("_key")
-    if groups.groupBy("doc_id", "th").count().where("count > 1").isEmpty():
-        return kept
-    return kept.dropDuplicates(["doc_id", "text"])
+    given = apart(docs, "doc_id", "text")
+    kept = given.withColumn("_key", _text_hash()).join(drop, same, "left_anti").drop("_key")
+    if not groups.groupBy("doc_id", "th").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id", "text"])
+    return kept.toDF(*docs.columns)
 
 
 ORACLE = r"""

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowgraph.llm.common import WORD, bit_table, has_bit, stored
+from flowgraph.llm.common import WORD, apart, bit_table, has_bit, stored
 
 MIN_WORDS = 50
 CELLS = 1 << 23
@@ -196,7 +196,13 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The rows of docs with `text` after deletion, and the column `deleted_lines` (their number)."""
+    """The rows of docs with `text` after deletion, and the column `deleted_lines` (their number; it takes the place of one
+    of that name in docs)."""
+    kept = [c for c in docs.columns if c != "deleted_lines"]
+    return _deduped(apart(docs.select(*kept), "doc_id", "text"), min_words).toDF(*kept, "deleted_lines")
+
+
+def _deduped(docs: DataFrame, min_words: int) -> DataFrame:
     gone = deletions(docs, min_words).select(F.col("id").alias("_id"), F.col("th").alias("_th"), F.col("gone").alias("_gone"))
     cell = lambda c: F.pmod(F.xxhash64(c), F.lit(CELLS))
     bits = bit_table(gone.select(cell("_id").alias("_cell")), "_cell")
@@ -212,5 +218,6 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """docs with common blocks deleted; documents that lost all their words are left out."""
-    done = line_dedup(docs, min_words)
-    return done.where((F.col("deleted_lines") == 0) | F.col("text").rlike(WORD)).select(*docs.columns)
+    given = apart(docs, "doc_id", "text")
+    done = _deduped(given, min_words).where((F.col("deleted_lines") == 0) | F.col("text").rlike(WORD))
+    return done.select(*given.columns).toDF(*docs.columns)

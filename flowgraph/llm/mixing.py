@@ -5,8 +5,12 @@ at `cap` times its source's words and the excess is shared again by weight until
 floor(target / words of its source) certain whole copies. The rest of the target is drawn without replacement: document i
 with inclusion probability p_i has the rank (u_i / (1 - u_i)) / (p_i / (1 - p_i)), u_i uniform from a hash of seed and id, and
 a source takes its documents in the order of rank while their words fit the rest; what is left open then is filled in the
-same order with documents that fit it. p_i is the rest's share of the source times the document's relative `measure`
-(default: all alike, so that probabilities differ between sources only); p_i >= 1 ranks first.
+same order with documents that fit it.
+
+p_i = min(1, c m_i) with the `measure` m_i, by default the whole part of the root of the document's words: longer documents are likelier,
+less than in proportion. Each source has its own c, solved so that the expected words, the sum of p_i times words, are the rest;
+documents with p_i = 1 come before all others. c comes from the words per (source, measure): a table with a row for
+each different measure, some hundred for the default.
 
 Nothing is sorted whole: ranks are cut into bins of some thousand documents, words are summed per (source, bin), and
 the running sum inside a bin starts from the sum of the bins before it. A source with a third of all rows is spread over bins.
@@ -20,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowgraph.llm.common import stored, words_in
+from flowgraph.llm.common import apart, stored, words_in
 
 WEIGHTS = (5, 2, 1)
 BIN_ROWS = 2_000
@@ -63,6 +67,32 @@ def _uniform(seed: str) -> Column:
     return (F.conv(F.substring(F.md5(name.cast("binary")), 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(2**52))
 
 
+def chances(sizes: DataFrame, goals: DataFrame) -> DataFrame:
+    """Add to each source: certain (whole copies of everything), room (words left to draw), per_measure (c) and least, the
+    smallest measure that is sure to be drawn (null: none).
+
+    Documents of measure m are sure when all larger ones whole and the others in proportion to their measure, up to 1 at m, need
+    no more than the room.
+    """
+    certain = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+    goals = goals.withColumn("certain", certain).withColumn("room", F.col("target") - F.col("certain") * F.col("source_size"))
+    words = sizes.where("size > 0 and measure > 0").groupBy("source", "measure").agg(F.sum(F.col("size") * F.col("rows")).cast("double").alias("words"))
+    rooms = goals.select(F.col("source").alias("of"), "k", "room")
+    each = words.join(rooms, F.col("source").eqNullSafe(F.col("of"))).select("k", "room", "measure", "words")
+    larger = Window.partitionBy("k").orderBy(F.col("measure").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    others = Window.partitionBy("k").orderBy(F.col("measure").desc()).rowsBetween(0, Window.unboundedFollowing)
+    above = F.coalesce(F.sum("words").over(larger), F.lit(0.0))
+    sure = F.sum(F.col("words") * F.col("measure")).over(others) <= (F.col("room") - above) * F.col("measure")
+    solved = each.withColumn("sure", sure).groupBy(F.col("k").alias("place")).agg(
+        F.coalesce(F.sum(F.when(F.col("sure"), F.col("words"))), F.lit(0.0)).alias("given"),
+        F.sum(F.when(~F.col("sure"), F.col("words") * F.col("measure"))).alias("rest"),
+        F.min(F.when(F.col("sure"), F.col("measure"))).alias("least"),
+    )
+    return goals.join(solved, F.col("k") == F.col("place"), "left").select(
+        *goals.columns, ((F.col("room") - F.col("given")) / F.col("rest")).alias("per_measure"), "least"
+    )
+
+
 def _drawn(rows: DataFrame, room: str, nearest: bool) -> DataFrame:
     """Add `picked`: rows in the order of rank, per source k, while their words fit `room`."""
     bins = rows.groupBy("k", "bin").agg(F.sum("words").alias("in_bin"))
@@ -77,32 +107,30 @@ def _drawn(rows: DataFrame, room: str, nearest: bool) -> DataFrame:
 def mix(docs: DataFrame, seed: str = "mix-1:", measure: Column | None = None) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken: one row per document (rows repeated whole: one each)."""
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words_in().alias("size"),
-                       (F.lit(1.0) if measure is None else measure.cast("double")).alias("measure"))
+                       (F.lit(None) if measure is None else measure).cast("double").alias("measure"))
+    usual_measure = F.floor(F.sqrt(F.col("size").cast("double"))).cast("double")
     # `rows` rows that agree in id, source and size stand together: they are drawn as one.
-    sizes = stored(read.groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows"), F.max("measure").alias("measure")), "sizes")
+    sizes = stored(
+        read.groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows"), F.max(F.coalesce("measure", usual_measure)).alias("measure")), "sizes"
+    )
     n = sizes.count()
     bins = max(1, -(-n // BIN_ROWS))
-    goals = stored(targets(sizes), "targets")
+    goals = stored(chances(sizes, targets(sizes)), "targets")
     spread = goals.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     salted = sizes.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
     same = (salted["salt"] == spread["salt"]) & salted["source"].eqNullSafe(spread["source"])
-    rows = salted.join(spread, same).select(sizes["doc_id"], sizes["source"], "size", "rows", "measure", "k", "source_size", "target")
-    mean = rows.groupBy("k").agg(F.sum(F.col("measure") * F.col("size") * F.col("rows")).alias("measured"))
-    rows = rows.join(mean, "k") if measure is not None else rows.withColumn("measured", F.col("source_size").cast("double"))
-    certain = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    chance = (F.col("room") / F.col("measured")) * F.col("measure")
-    # All odds of a source are scaled by one factor, which keeps their order and spreads the ranks evenly over (0, 1).
-    usual = F.col("room") / F.col("measured")
+    columns = ["size", "rows", "measure", "k", "source_size", "target", "certain", "room", "per_measure", "least"]
+    rows = salted.join(spread, same).select(sizes["doc_id"], sizes["source"], *columns)
+    # All odds of a source are scaled by one factor, which keeps their order and spreads the ranks over (0, 1).
+    usual = F.col("room") / F.col("source_size").cast("double")
     odds = (F.col("u") / (1 - F.col("u"))) * ((usual / (1 - usual)) / (F.col("chance") / (1 - F.col("chance"))))
     ranked = (
-        rows.withColumn("certain", certain)
-        .withColumn("words", F.col("size") * F.col("rows"))
-        .withColumn("room", F.col("target") - F.col("certain") * F.col("source_size"))
+        rows.withColumn("words", F.col("size") * F.col("rows"))
         .withColumn("u", _uniform(seed))
-        .withColumn("chance", F.when(F.col("measured") > 0, chance).otherwise(0.0))
-        # odds / (1 + odds) orders as odds does and lies in [0, 1), which makes bins
-        .withColumn("rank", F.when(F.col("chance") >= 1, 0.0).when((F.col("chance") <= 0) | (usual >= 1), F.col("u")).otherwise(odds / (1 + odds)))
-        .withColumn("bin", F.least(F.floor(F.col("rank") * bins), F.lit(bins - 1)).cast("long"))
+        .withColumn("chance", F.when(F.col("measure") >= F.col("least"), 1.0).otherwise(F.coalesce(F.col("per_measure") * F.col("measure"), F.lit(0.0))))
+        # odds / (1 + odds) orders as odds does and lies in [0, 1), which makes bins; sure documents have bins below, impossible ones above
+        .withColumn("rank", F.when(F.col("chance") >= 1, F.col("u") - 1).when(F.col("chance") <= 0, F.col("u") + 1).otherwise(odds / (1 + odds)))
+        .withColumn("bin", F.floor(F.col("rank") * bins).cast("long"))
         .select("doc_id", "source", "k", "size", "rows", "words", "source_size", "target", "certain", "room", "rank", "bin")
     )
     first = stored(_drawn(ranked, "room", nearest=False), "drawn")
@@ -120,16 +148,18 @@ def mix(docs: DataFrame, seed: str = "mix-1:", measure: Column | None = None) ->
 
 def mix_report(docs: DataFrame) -> DataFrame:
     """One row per row of docs: doc_id, source, size, source_size, target, copies, taken."""
-    each = mix(docs).withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    each = mix(docs.select("doc_id", "source", "text")).withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
     return each.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The rows of docs, each as often as the mix takes it."""
-    decided = mix(docs).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies"))
-    sized = docs.withColumn("_words", words_in())
+    given = apart(docs, "doc_id", "source", "text")
+    decided = mix(given).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies"))
+    sized = given.withColumn("_words", words_in())
     same = sized["doc_id"].cast("long").eqNullSafe(decided["_id"]) & sized["source"].eqNullSafe(decided["_source"]) & (sized["_words"] == decided["_size"])
-    return sized.join(decided, same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
+    copied = sized.join(decided, same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    return copied.select(*given.columns).toDF(*docs.columns)
 
 
 ORACLE = r"""
@@ -149,9 +179,15 @@ r as (select s.doc_id, s.size, t.*, case when source_size > 0 then cast(floor(ta
   (cast(('0x' || substr(md5('mix-1:' || s.doc_id), 1, 13)) as bigint)::double + 0.5) / 4503599627370496::double as u
   from s join t on s.source is not distinct from t.source),
 r2 as (select *, target - certain * source_size as room from r),
-r3 as (select *, case when source_size > 0 then room / source_size::double else 0 end as chance from r2),
-r4 as (select *, case when chance >= 1 then 0 when chance <= 0 then u
-  else (u / (1 - u)) / (1 + (u / (1 - u))) end as rank from r3),
+m as (select k, any_value(room) as room, floor(sqrt(size::double)) as measure, sum(size)::double as words from r2 where size > 0 group by k, floor(sqrt(size::double))),
+m2 as (select *, sum(words * measure) over (partition by k order by measure) <=
+  (room - coalesce(sum(words) over (partition by k order by measure desc rows between unbounded preceding and 1 preceding), 0)) * measure as sure from m),
+c as (select k as place, (any_value(room) - coalesce(sum(words) filter (sure), 0)) / sum(words * measure) filter (not sure) as per_measure,
+  min(measure) filter (sure) as least from m2 group by k),
+r3 as (select r2.*, room / source_size::double as usual, case when floor(sqrt(size::double)) >= least then 1
+  else coalesce(per_measure * floor(sqrt(size::double)), 0) end as chance from r2 left join c on c.place = r2.k),
+o as (select *, case when chance > 0 and chance < 1 then (u / (1 - u)) * ((usual / (1 - usual)) / (chance / (1 - chance))) end as odds from r3),
+r4 as (select *, case when chance >= 1 then u - 1 when chance <= 0 then u + 1 else odds / (1 + odds) end as rank from o),
 p1 as (select *, size > 0 and sum(size) over (partition by k order by rank, doc_id rows unbounded preceding) <= room as one from r4),
 gap as (select *, room - coalesce(sum(case when one then size end) over (partition by k), 0) as gap from p1),
 p2 as (select *, not one and size <= gap * 2 as small from gap),

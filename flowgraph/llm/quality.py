@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowgraph.llm import words
-from flowgraph.llm.common import stored
+from flowgraph.llm.common import apart, stored
 
 CELLS = 1 << 16
 SHAPES = 1 << 14
@@ -199,11 +199,12 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, keep: float
 
 def quality(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """doc_id, log_weight, key, kept."""
-    _, least, rows = fitted(docs, labels, **options)
+    _, least, rows = fitted(docs.select("doc_id", "text"), labels, **options)
     return rows.withColumn("kept", F.col("key") >= F.lit(least))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of docs that the resampling keeps; texts are scored again rather than written with their keys."""
-    table, least, _ = fitted(docs, labels, **options)
-    return scored(docs, table).where(F.col("key") >= F.lit(least)).select(*docs.columns)
+    given = apart(docs, "doc_id", "text")
+    table, least, _ = fitted(given, labels, **options)
+    return scored(given, table).where(F.col("key") >= F.lit(least)).select(*given.columns).toDF(*docs.columns)

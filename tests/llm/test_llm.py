@@ -174,6 +174,46 @@ def test_unequal_probabilities(spark):
     assert sum(low) > sum(high) > 0
 
 
+def test_inclusion_odds_are_solved_per_source(spark):
+    """The constants against a brute-force solution; larger documents are drawn oftener."""
+    rng = random.Random(4)
+    sizes = [(i, rng.choice([1, 4, 9, 30, 100, 400]), "abc"[i % 3]) for i in range(900)]
+    data = frame(spark, [(i, "w " * n, s) for i, n, s in sizes])
+    read = data.select("doc_id", "source", F.regexp_count("text", F.lit("w")).cast("long").alias("size"), F.lit(1).cast("long").alias("rows"))
+    read = read.withColumn("measure", F.floor(F.sqrt("size")).cast("double"))
+    for r in mixing.chances(read, mixing.targets(read)).collect():
+        mine = [(n, math.isqrt(n)) for _, n, s in sizes if s == r.source]
+        expected = sum(n * (1.0 if r.least is not None and m >= r.least else r.per_measure * m) for n, m in mine)
+        assert math.isclose(expected, r.room, rel_tol=1e-9, abs_tol=1e-9)
+        assert all((r.least is not None and m >= r.least) or r.per_measure * m < 1 for _, m in mine)
+        low, high = 0.0, 2.0
+        for _ in range(100):
+            mid = (low + high) / 2
+            low, high = (mid, high) if sum(n * min(1.0, mid * m) for n, m in mine) < r.room else (low, mid)
+        assert all(math.isclose(min(1, low * m), 1 if r.least is not None and m >= r.least else r.per_measure * m, abs_tol=1e-6) for _, m in mine)
+    got = mixing.mix(data).where("source = 'b'").collect()
+    share = lambda n: sum(r.copies for r in got if r.size == n) / sum(1 for r in got if r.size == n)
+    assert share(400) > share(1)
+
+
+CLASHES = ["key", "log_weight", "_id", "_th", "_gone", "_cell", "_maybe", "_key", "_source", "_size", "_words", "_copies", "_copy",
+           "deleted_lines", "kept", "words", "rank", "u", "given_0", "given_3"]
+
+
+def test_clashing_columns_stay_as_they_are(spark):
+    rows, marks = quality_rows(n=60)
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int")
+    data = frame(spark, rows + [(900, rows[1][1], "b"), (901, None, None)])
+    values = {c: n * 1000 for n, c in enumerate(CLASHES)}
+    data = data.select("*", *[(F.col("doc_id") + n).alias(c) for c, n in values.items()])
+    for run in (lambda d: quality.good_documents(d, labels), line_dedup.without_repeats, jaccard.one_per_group, mixing.mixed, line_dedup.line_dedup):
+        out = run(data)
+        ours = ["deleted_lines"] if run is line_dedup.line_dedup else []
+        assert sorted(out.columns) == sorted(data.columns)
+        found = out.collect()
+        assert found and all(r[c] == r.doc_id + n for r in found for c, n in values.items() if c not in ours)
+
+
 def test_mixing_without_rows_and_words(spark, none):
     assert mixing.mix_report(none).count() == 0
     assert [r.taken for r in mixing.mix_report(frame(spark, [(1, None, "a"), (2, " ", "b")])).collect()] == [0, 0]
