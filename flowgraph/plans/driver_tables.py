@@ -7,14 +7,17 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgraph.functions.scalars import step_of, steps_per_day
+from flowgraph.functions.scalars import step_of, steps_per_day, time_of_step
 from flowgraph.operators.ordered import with_previous
 from flowgraph.operators.panel import densify
+from flowgraph.plans.sizing import Settled, sized_join
 from flowgraph.schemas import Graph
 
 TIME_INTERVAL = 60
 DIVIDE_DAYS = (20, 10)
 H = 6
+# Nodes that a scan takes as a list.
+LISTED_NODES = 1000
 
 
 @dataclass(frozen=True)
@@ -93,6 +96,27 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return densify(counts, sensors(spark, sf_dir), days.n_steps)
 
 
+def panel_part(
+    spark: SparkSession, sf_dir: str, near: Settled, span: tuple[int, int] | None = None, days: Calendar | None = None
+) -> DataFrame:
+    """The rows of `panel` for the nodes in `near` and, with `span`, its steps. Events of other nodes and times are left out
+    at the scan: times by a range of `ts`, nodes by their list while it has at most LISTED_NODES, else by a semi-join."""
+    days = days or calendar(spark, sf_dir)
+    events = read_table(spark, sf_dir, "events")
+    low, high = span or (0, days.n_steps)
+    low, high = max(low, 0), min(high, days.n_steps)
+    edge = lambda t: time_of_step(F.lit(t), days.start, TIME_INTERVAL).cast(events.schema["ts"].dataType)
+    inside = events.where((F.col("ts") >= edge(low)) & (F.col("ts") < edge(high)))
+    if near.rows <= LISTED_NODES:
+        inside = inside.where(F.col("user_id").isin([r.node_id for r in near.df.collect()]))
+    else:
+        inside = sized_join(inside, near.df.select(F.col("node_id").alias("user_id")), "user_id", near.rows, spread="event_id", how="left_semi")
+    counts = inside.select(
+        F.col("user_id").alias("node_id"), (step_of(F.col("ts"), days.start, TIME_INTERVAL) - low).alias("t"), F.lit(1).cast("bigint").alias("flow")
+    )
+    return densify(counts, near.df, max(high - low, 0)).withColumn("t", F.col("t") + low).where(F.col("t") >= low)
+
+
 def feature_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """node_id, t with three measures: flow = events, occupy = share of purchases, speed = mean value."""
     return (

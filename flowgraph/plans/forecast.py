@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ from flowgraph.operators.panel import (
     within,
 )
 from flowgraph.operators.propagate import propagate
-from flowgraph.plans.sizing import broadcast_rows
+from flowgraph.plans.sizing import Settled, broadcast_rows, settle, sized_join
 from flowgraph.schemas import Graph
 
 STEP_LAYOUT_NODES = 200_000
@@ -69,7 +69,10 @@ def neighbour_forecast(
     All steps in one plan. With the step layout the readings are shuffled once, by block of steps.
     """
     rows = samples(panel, h, span, lags=False, mean=True, layout=layout_for(graph))
-    op = directed_normalised(graph, degree_mode).anchor(graph)
+    return _arrived(rows, directed_normalised(graph, degree_mode).anchor(graph))
+
+
+def _arrived(rows: DataFrame, op: Operator) -> DataFrame:
     arrived = propagate(rows, op, ["hist_mean"], carry=["hist_mean", "y"], out=["arrived"])
     return arrived.select(
         "node_id", "t", F.coalesce("arrived", "hist_mean").alias("prediction"), F.col("y").alias("target")
@@ -87,10 +90,10 @@ def operator_for(model: Params, graph: Graph, graph_type: str = "connect") -> Op
 
 def score(
     rows: DataFrame, graph: Graph, model: Params, h: int, block: int, column: str = "y", graph_type: str = "connect",
-    cut_to: Callable[[DataFrame], DataFrame] = lambda df: df,
+    cut_to: Callable[[DataFrame], DataFrame] = lambda df: df, op: Operator | None = None,
 ) -> DataFrame:
-    """Run the model given by its parameters over `with_halo` rows; adds `prediction`."""
-    op = operator_for(model, graph, graph_type).settled()
+    """Run the model given by its parameters over `with_halo` rows; adds `prediction`. `op` replaces the graph's operator."""
+    op = op or operator_for(model, graph, graph_type).settled()
     if isinstance(model, GatParams):
         return gat_forward(rows, op, model, h, block, column, cut_to, layout_for(graph))
     return series_forward(rows, op, model, h, block, column, cut_to)
@@ -106,12 +109,13 @@ def model_rows(panel: DataFrame, graph: Graph, model: Params, h: int, span: tupl
 
 
 def model_forecast(
-    panel: DataFrame, graph: Graph, model: Params, h: int, span: tuple[int, int], graph_type: str = "connect"
+    panel: DataFrame, graph: Graph, model: Params, h: int, span: tuple[int, int], graph_type: str = "connect",
+    op: Operator | None = None,
 ) -> DataFrame:
     if not isinstance(model, Params):
         raise ValueError(f"no model for {type(model).__name__}")
     rows, block = model_rows(panel, graph, model, h, span)
-    scored = score(rows, graph, model, h, block, "y", graph_type, lambda df: within(df, span))
+    scored = score(rows, graph, model, h, block, "y", graph_type, lambda df: within(df, span), op)
     return scored.select("node_id", "t", "prediction", F.col("y").alias("target"))
 
 
@@ -133,6 +137,67 @@ def run(panel: DataFrame, graph: Graph, config: RunConfig, model: Params | None
     return restore(forecast, base)
 
 
+# --- the forecast of some nodes only -----------------------------------------------------------------------------
+
+def hops(model: Params | None) -> int | None:
+    """Along how many entries of the operator a reading travels to a prediction; None: from anywhere, as attention falls back
+    to the mean over all nodes."""
+    if model is None:
+        return 1
+    if isinstance(model, GatParams):
+        return None
+    return 2 * model.order if isinstance(model, ChebParams) else 2
+
+
+def neighbourhood(op: Operator, nodes: DataFrame, steps: int) -> Settled:
+    """`nodes` and all that reach them along at most `steps` entries of the operator."""
+    near = settle(nodes.select("node_id").distinct())
+    for _ in range(steps):
+        wanted = near.df.select(F.col("node_id").alias("i"))
+        entries = op.df.select("i", F.col("j").alias("node_id"))
+        senders = sized_join(entries, wanted, "i", near.rows, spread="node_id", how="left_semi").select("node_id")
+        grown = settle(near.df.unionByName(senders).distinct())
+        if grown.rows == near.rows:
+            break
+        near = grown
+    return near
+
+
+def restricted(op: Operator, near: Settled) -> Operator:
+    """The entries between nodes of `near`, with the weights they have in the whole graph."""
+    rows = sized_join(op.df, near.df.select(F.col("node_id").alias("i")), "i", near.rows, spread="j", how="left_semi")
+    both = sized_join(rows, near.df.select(F.col("node_id").alias("j")), "j", near.rows, spread="i", how="left_semi")
+    return replace(op, df=both.select("i", "j", "w"))
+
+
+def node_forecast(
+    read: Callable[[Settled, tuple[int, int] | None], DataFrame], graph: Graph, config: RunConfig, nodes: DataFrame,
+    span: tuple[int, int], model: Params | None = None,
+) -> DataFrame:
+    """`run` for the given nodes and target steps, without the rest of the panel.
+
+    The nodes that can reach the wanted ones are found on the graph first, and `read(near, steps)` gives the panel of these
+    nodes and steps (all steps: None), so both filters can sit at the scan. Operators keep the weights of the whole graph;
+    what is incomplete at the border of the neighbourhood never reaches a wanted node.
+    """
+    if model is None:
+        op = directed_normalised(graph).anchor(graph).settled()
+    else:
+        op = operator_for(model, graph).settled()
+    reach = hops(model)
+    near = settle(graph.vertices.select("node_id")) if reach is None else neighbourhood(op, nodes, reach)
+    part = op if reach is None else restricted(op, near).settled()
+    base = fit_base(read(near, config.span("train") if config.fit_on == "train" else None))
+    scaled = scale(read(near, (max(0, span[0] - config.h), span[1])), base, constant=config.constant)
+    if model is None:
+        rows = samples(scaled, config.h, span, lags=False, mean=True, layout=layout_for(graph))
+        forecast = _arrived(rows, part)
+    else:
+        forecast = model_forecast(scaled, graph, model, config.h, span, op=part)
+    wanted = settle(nodes.select("node_id").distinct())
+    return restore(sized_join(forecast, wanted.df, "node_id", wanted.rows, spread="t", how="left_semi"), base)
+
+
 def plot_series(forecast: DataFrame, node_id: int, span: tuple[int, int]) -> DataFrame:
     return slice_node(forecast, node_id, span, ["prediction", "target"])
 

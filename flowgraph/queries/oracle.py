@@ -632,8 +632,19 @@ add(
     f"select node_id, t, {r6('prediction', 'prediction')}, {r6('target', 'target')} from fc_scaled where t >= 480 and t < 720",
     "fc_scaled",
 )
+add(
+    "ordered_output",
+    f"""select node_id, t, {r6('prediction', 'prediction')}, {r6('target', 'target')},
+        row_number() over (order by node_id, t) - 1 as position from fc""",
+    "fc",
+)
 _plot = "from fc where node_id = (select min(node_id) from nodes) and t >= 480 and t < 528"
 add("plot_slice", f"select t - 480 as step, {r6('prediction', 'prediction')}, {r6('target', 'target')} {_plot}", "fc", "nodes")
+add(
+    "model_plot_slice",
+    f"select t - 480 as step, {r6('prediction', 'prediction')}, {r6('target', 'target')} {_plot.replace('from fc', 'from fc_gcn')}",
+    "fc_gcn", "nodes",
+)
 add(
     "plot_bounds",
     f"select {r6('min(least(prediction, target))', 'low')}, {r6('max(greatest(prediction, target))', 'high')} {_plot}",

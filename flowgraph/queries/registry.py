@@ -612,26 +612,50 @@ def normalised_roundtrip(spark, sf_dir):
     return rounded(SF.read_forecast(spark, path, "test"), ["prediction", "target"])
 
 
-def _plot_node(spark, sf_dir) -> int:
-    return D.sensors(spark, sf_dir).agg(F.min("node_id")).first()[0]
+@query
+def ordered_output(spark, sf_dir):
+    """The forecast in files ordered by node and step, and each row's place in them."""
+    path = shared_path(spark, "ordered")
+    SF.write_ordered(forecast(spark, sf_dir), path, files=12)
+    return rounded(SF.read_ordered(spark, path), ["prediction", "target"])
 
 
 def _plot_span() -> tuple[int, int]:
     return TEST[0] + PLOT_SPAN[0], TEST[0] + PLOT_SPAN[1]
 
 
+def _plot_node(spark, sf_dir) -> DataFrame:
+    return D.sensors(spark, sf_dir).agg(F.min("node_id").alias("node_id"))
+
+
+def _node_part(spark, sf_dir, nodes, model=None):
+    days = D.calendar(spark, sf_dir)
+    read = lambda near, span: D.panel_part(spark, sf_dir, near, span, days)
+    return FC.node_forecast(read, D.road_graph(spark, sf_dir), CONFIG, nodes, _plot_span(), model)
+
+
 @query
 def plot_slice(spark, sf_dir):
-    out = FC.plot_series(forecast(spark, sf_dir), _plot_node(spark, sf_dir), _plot_span())
+    node = _plot_node(spark, sf_dir)
+    out = FC.plot_series(_node_part(spark, sf_dir, node), node.first()[0], _plot_span())
     return rounded(out, ["prediction", "target"])
 
 
 @query
 def plot_bounds(spark, sf_dir):
-    out = FC.plot_bounds(forecast(spark, sf_dir), _plot_node(spark, sf_dir), _plot_span())
+    node = _plot_node(spark, sf_dir)
+    out = FC.plot_bounds(_node_part(spark, sf_dir, node), node.first()[0], _plot_span())
     return rounded(out, ["low", "high"])
 
 
+@query
+def model_plot_slice(spark, sf_dir):
+    """Two layers of the fixed network for one node: its neighbours' neighbours are read."""
+    node = _plot_node(spark, sf_dir)
+    out = FC.plot_series(_node_part(spark, sf_dir, node, W.gcn()), node.first()[0], _plot_span())
+    return rounded(out, ["prediction", "target"])
+
+
 @query
 def first_k_samples(spark, sf_dir):
     return rounded(P.first_samples(forecast(spark, sf_dir), FIRST_K).select("node_id", "t", "prediction"), ["prediction"])
