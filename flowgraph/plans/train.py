@@ -20,8 +20,8 @@ from flowgraph.operators.layers import ChebParams, GcnParams, names
 from flowgraph.operators.metrics import LOSS_SCALE
 from flowgraph.operators.panel import BATCH_STEPS, batch_shuffled, lag_names, windows, within
 from flowgraph.operators.propagate import chebyshev_basis, chebyshev_sum, propagate, tap_names
-from flowgraph.plans.forecast import model_rows, operator_for
-from flowgraph.plans.sizing import cut
+from flowgraph.plans.forecast import fitted, layout_for, model_rows, operator_for
+from flowgraph.plans.sizing import by_block, cut
 from flowgraph.schemas import Graph
 
 FilterParams = GcnParams | ChebParams
@@ -49,15 +49,43 @@ def training_rows(
     panel: DataFrame, graph: Graph, op: Operator, params: FilterParams, h: int, span: tuple[int, int]
 ) -> DataFrame:
     """(blk, t, node_id, y, filtered history columns) of the target steps in `span`; independent of the weights."""
+    filtered, block = filtered_rows(panel, graph, op, params, h, span)
+    return with_inputs(filtered, params, h, block, span)
+
+
+def filtered_rows(
+    panel: DataFrame, graph: Graph, op: Operator, params: FilterParams, h: int, span: tuple[int, int]
+) -> tuple[DataFrame, int]:
+    """(blk, t, node_id, y, a column per tap) with the halo of every block, and the block size."""
     rows, block = model_rows(panel, graph, params, h, span)
+    op = fitted(op, rows, layout_for(graph))
     if isinstance(params, GcnParams):
-        filtered = propagate(rows, op, ["y"], carry=["y"], out=["y_k0"])
-    else:
-        filtered = chebyshev_basis(rows, op, ["y"], params.order, carry=["y"])
+        return propagate(rows, op, ["y"], carry=["y"], out=["y_k0"]), block
+    return chebyshev_basis(rows, op, ["y"], params.order, carry=["y"]), block
+
+
+def with_inputs(filtered: DataFrame, params: FilterParams, h: int, block: int, span: tuple[int, int]) -> DataFrame:
     wide = windows(filtered, h, block, lags={tap: f"{tap}_x" for tap in taps_of(params)})
     return within(wide, span).select("blk", "t", "node_id", "y", *input_names(params, h))
 
 
+def settled_rows(
+    panel: DataFrame, graph: Graph, op: Operator, params: FilterParams, h: int, span: tuple[int, int], whole: bool = True
+) -> tuple[DataFrame, Operator]:
+    """`training_rows` that every step can start from, and the operator fitted to them. The series and its taps are written and the
+    history is cut anew in each step, which moves and stores h times less; with whole=False, for steps that read a few of the
+    rows each, the cut history is written."""
+    layout = layout_for(graph)
+    if not whole:
+        rows = cut(training_rows(panel, graph, op, params, h, span))
+        return rows, fitted(op, rows, layout)
+    filtered, block = filtered_rows(panel, graph, op, params, h, span)
+    # Written rows have lost their partitioning.
+    written = cut(filtered)
+    placed = by_block(written) if layout == "step" else written.repartition("node_id", "blk")
+    return with_inputs(placed, params, h, block, span), fitted(op, written, layout)
+
+
 # --- gradient ------------------------------------------------------------------------------------------------
 
 def _first_layer(params: FilterParams) -> list[list[float]]:
@@ -209,7 +237,7 @@ def train(
     if not isinstance(params, FilterParams):
         raise ValueError(f"no training for {type(params).__name__}")
     op = operator_for(params, graph, graph_type).settled()
-    rows = cut(training_rows(panel, graph, op, params, h, span))
+    rows, op = settled_rows(panel, graph, op, params, h, span, whole=batch_steps is None)
     adam, losses = Adam(rate), []
     n_samples = span[1] - span[0]
     for epoch in range(epochs):

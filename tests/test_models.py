@@ -1,8 +1,11 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from test_graph import dense, dense_adjacency
 from test_panel import frame
+from test_plans import exchanges
 
 from flowgraph.operators import graph as G
 from flowgraph.operators import layers as L
@@ -103,6 +106,21 @@ def test_networks_beyond_the_broadcast_bound(spark, ten_isolated, readings, name
         spark.conf.unset("spark.flowgraph.broadcastRows")
 
 
+@pytest.mark.parametrize("name", list(MODELS))
+def test_operator_beyond_the_bound_is_dealt_to_blocks(spark, ten_isolated, readings, name):
+    """Few nodes and many entries: no row travels along an entry, and a block stays in one task."""
+    spark.conf.set("spark.flowgraph.broadcastRows", "12")
+    try:
+        assert FC.layout_for(ten_isolated) == "step"
+        out = FC.model_forecast(frame(spark, readings), ten_isolated, MODELS[name], H, (H, 40), "distance")
+        moves = [m for m in exchanges(out) if "blk" in m]
+        assert moves and all(re.fullmatch(r"hashpartitioning\(blk#\w+, \d+\)", m) for m in moves)
+        got = predicted(spark, ten_isolated, readings, MODELS[name], "distance")
+        assert np.allclose(got, dense_out(name, readings, "distance"), atol=1e-9)
+    finally:
+        spark.conf.unset("spark.flowgraph.broadcastRows")
+
+
 def test_large_scores_are_shifted(spark, ten_isolated, readings):
     """Scores far beyond the range of exp()."""
     big = readings * 40
