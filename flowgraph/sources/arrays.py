@@ -4,7 +4,7 @@
 travels but the rows. A span of steps picks the ranges before any of them is opened, and only the named features are decoded.
 The span is an argument: Spark 4.1 keeps filters that a Python source has taken with the relation, so that a second query
 on the same DataFrame would read the first one's range. `write_arrays` streams rows sorted by (t, node_id) into files of a fixed number of
-steps; a task holds one record batch at a time.
+steps, fewer than asked for where a file would exceed CELLS_PER_FILE cells; a task holds one record batch at a time.
 
 A path is a folder or a file, local or a URI that pyarrow's file systems open. Files follow each other in the order of their
 names. A compressed .npz member cannot be read by offset and is one partition.
@@ -35,6 +35,8 @@ from flowgraph.schemas import FEATURES
 STEPS_PER_TASK = 4_096
 CELLS_PER_BATCH = 65_536
 HEADER_READERS = 32
+# A file is sorted in one task, so it gets fewer steps where the nodes are many.
+CELLS_PER_FILE = 2_000_000
 
 
 def _file_system(path: str):
@@ -265,12 +267,14 @@ def read_arrays(
 
 
 def write_arrays(panel: DataFrame, path: str, n_nodes: int, n_steps: int, steps_per_file: int) -> None:
-    """A dense panel (node_id 0..n_nodes-1, t 0..n_steps-1, features) -> .npy files of steps_per_file steps each.
+    """A dense panel (node_id 0..n_nodes-1, t 0..n_steps-1, features) -> .npy files of steps_per_file steps each, or of as many as
+    CELLS_PER_FILE cells allow.
 
     Missing or repeated cells inside a file are an error. Each file is written by one task from sorted rows.
     """
     panel.sparkSession.dataSource.register(ArraySource)
     values = [c for c in panel.columns if c not in ("node_id", "t")]
+    steps_per_file = max(1, min(steps_per_file, CELLS_PER_FILE // max(n_nodes, 1)))
     files = max(1, -(-n_steps // steps_per_file))
     home = F.floor(F.col("t") / F.lit(steps_per_file))
     placed = panel.select("node_id", "t", *[F.col(c).cast("double").alias(c) for c in values]).repartition(files, home)

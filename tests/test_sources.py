@@ -119,3 +119,11 @@ def test_arrays_written_and_read(spark, tmp_path):
             SA.write_arrays(bad, str(tmp_path / "bad"), 5, 21, 8)
     with pytest.raises(ValueError, match="no features"):
         SA.read_arrays(spark, str(tmp_path / "out"), features=["a", "b"], columns=["c"])
+
+
+def test_array_files_are_bounded_by_cells(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(SA, "CELLS_PER_FILE", 30)
+    rows = [(v, t, float(v * 100 + t)) for v in range(10) for t in range(8)]
+    SA.write_arrays(spark.createDataFrame(rows, "node_id long, t long, flow double"), str(tmp_path / "out"), 10, 8, 8)
+    assert [np.load(f).shape for f in sorted((tmp_path / "out").glob("*.npy"))] == [(3, 10, 1), (3, 10, 1), (2, 10, 1)]
+    assert sorted(map(tuple, SA.read_arrays(spark, str(tmp_path / "out"), features=["flow"]).collect())) == sorted(rows)
