@@ -23,7 +23,7 @@ class Operator:
     rows: int
     nodes: int
     anchored: bool = False
-    # (blk, i, entries): the rows of the matrix once per block of steps, partitioned by block (`propagate.dealt`). `flipped` swaps i and j.
+    # (blk, i, js, ws): the rows of the matrix once per block of steps, partitioned by block (`propagate.dealt`). `flipped` swaps i and j.
     dealt: DataFrame | None = None
     flipped: bool = False
 
@@ -32,7 +32,7 @@ class Operator:
 
     def by_block(self) -> DataFrame:
         """(blk, i, j, w) of a dealt operator; the entries of a row follow each other unless it is flipped."""
-        rows = self.dealt.select("blk", "i", F.explode("entries").alias("_e")).select("blk", "i", "_e.j", "_e.w")
+        rows = self.dealt.select("blk", "i", F.posexplode("js").alias("_p", "j"), "ws").select("blk", "i", "j", F.get("ws", F.col("_p")).alias("w"))
         return rows.select("blk", F.col("j").alias("i"), F.col("i").alias("j"), "w") if self.flipped else rows
 
     def anchor(self, graph: Graph) -> "Operator":

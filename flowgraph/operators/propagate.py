@@ -48,21 +48,23 @@ def messages(features: DataFrame, op: Operator, way: str = "auto", heavy: int |
     return matrix.join(F.broadcast(features), "node_id")
 
 
-def dealt(op: Operator, rows: DataFrame) -> Operator:
+def dealt(op: Operator, rows: DataFrame, block: int | None = None) -> Operator:
     """`op` for rows in the step layout (`with_halo`): beyond the broadcast bound its entries are repeated once per block of steps and
     shuffled by block, as the rows are. The join and the sum over neighbours then stay inside a block: per step block the entries
-    move, once for all passes of a plan, instead of a feature row along every entry."""
+    move, once for all passes of a plan, instead of a feature row along every entry. `block` is the block size of the rows."""
     if op.rows <= broadcast_rows(rows.sparkSession) or "blk" not in rows.columns:
         return op
     spark = rows.sparkSession
     keep_blocks_in_place(spark)
-    packed = cut(op.df.groupBy("i").agg(F.collect_list(F.struct("j", "w")).alias("entries")))
+    entries = op.df.groupBy("i").agg(F.collect_list(F.struct("j", "w")).alias("_e"))
+    # As two arrays an entry takes half the bytes it has as a row in one array.
+    packed = cut(entries.select("i", F.col("_e.j").alias("js"), F.col("_e.w").alias("ws")))
     if packed.where("i is null").isEmpty():
         # Spark infers this filter for all passes of a plan but the last; with it in all of them, one shuffle serves them all.
         packed = packed.where("i is not null")
     # One row per block.
     blocks = cut(rows.select("blk").distinct())
-    placed = by_block(packed.join(F.broadcast(blocks)).select("blk", "i", "entries"))
+    placed = by_block(packed.join(F.broadcast(blocks)).select("blk", "i", "js", "ws"), block)
     return replace(op, dealt=placed, flipped=False)
 
 
@@ -183,9 +185,11 @@ def _spread(
     return gathered.withColumnRenamed("i", "node_id")
 
 
-def directed_convolution(features: DataFrame, graph: Graph, columns: Sequence[str], mode: str = "total") -> DataFrame:
+def directed_convolution(
+    features: DataFrame, graph: Graph, columns: Sequence[str], mode: str = "total", block: int | None = None
+) -> DataFrame:
     """Degree-normalised sum over incoming edges; only nodes with an incoming edge have a row."""
-    return propagate(features, dealt(directed_normalised(graph, mode), features), columns)
+    return propagate(features, dealt(directed_normalised(graph, mode), features, block), columns)
 
 
 def send_messages(

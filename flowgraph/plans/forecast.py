@@ -68,9 +68,9 @@ def block_for(graph: Graph, h: int) -> int:
     return block_size(h, layout, step_block(graph) if layout == "step" else None)
 
 
-def fitted(op: Operator, rows: DataFrame, layout: str) -> Operator:
-    """`op` as `propagate` takes it for rows of this layout."""
-    return dealt(op, rows) if layout == "step" else op
+def fitted(op: Operator, rows: DataFrame, layout: str, block: int | None = None) -> Operator:
+    """`op` as `propagate` takes it for rows of this layout and block size."""
+    return dealt(op, rows, block) if layout == "step" else op
 
 
 def mean_forecast(panel: DataFrame, h: int, span: tuple[int, int]) -> DataFrame:
@@ -88,7 +88,7 @@ def neighbour_forecast(
     """
     layout = layout_for(graph)
     rows = samples(panel, h, span, lags=False, mean=True, layout=layout, block=block_for(graph, h))
-    return _arrived(rows, fitted(directed_normalised(graph, degree_mode).anchor(graph), rows, layout))
+    return _arrived(rows, fitted(directed_normalised(graph, degree_mode).anchor(graph), rows, layout, block_for(graph, h)))
 
 
 def _arrived(rows: DataFrame, op: Operator) -> DataFrame:
@@ -114,8 +114,8 @@ def score(
     """Run the model given by its parameters over `with_halo` rows; adds `prediction`. `op` replaces the graph's operator."""
     op = op or operator_for(model, graph, graph_type).settled()
     if isinstance(model, GatParams):
-        return gat_forward(rows, fitted(op, rows, layout_for(graph)), model, h, block, column, cut_to, layout_for(graph))
-    return series_forward(rows, fitted(op, rows, layout_for(graph)), model, h, block, column, cut_to)
+        return gat_forward(rows, fitted(op, rows, layout_for(graph), block), model, h, block, column, cut_to, layout_for(graph))
+    return series_forward(rows, fitted(op, rows, layout_for(graph), block), model, h, block, column, cut_to)
 
 
 def model_rows(panel: DataFrame, graph: Graph, model: Params, h: int, span: tuple[int, int]) -> tuple[DataFrame, int]:
@@ -211,7 +211,7 @@ def node_forecast(
     if model is None:
         layout = layout_for(graph)
         rows = samples(scaled, config.h, span, lags=False, mean=True, layout=layout, block=block_for(graph, config.h))
-        forecast = _arrived(rows, fitted(part, rows, layout))
+        forecast = _arrived(rows, fitted(part, rows, layout, block_for(graph, config.h)))
     else:
         forecast = model_forecast(scaled, graph, model, config.h, span, op=part)
     wanted = settle(nodes.select("node_id").distinct())

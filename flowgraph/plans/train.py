@@ -18,9 +18,9 @@ from flowgraph.functions.scalars import linear, relu, total
 from flowgraph.operators.graph import Operator
 from flowgraph.operators.layers import ChebParams, GcnParams, names
 from flowgraph.operators.metrics import LOSS_SCALE
-from flowgraph.operators.panel import BATCH_STEPS, batch_shuffled, lag_names, windows, within
+from flowgraph.operators.panel import BATCH_STEPS, batch_shuffled, lag_names, packed_series, packed_windows, windows, within
 from flowgraph.operators.propagate import chebyshev_basis, chebyshev_sum, propagate, tap_names
-from flowgraph.plans.forecast import fitted, layout_for, model_rows, operator_for
+from flowgraph.plans.forecast import block_for, fitted, layout_for, model_rows, operator_for
 from flowgraph.plans.sizing import by_block, cut
 from flowgraph.schemas import Graph
 
@@ -58,7 +58,7 @@ def filtered_rows(
 ) -> tuple[DataFrame, int]:
     """(blk, t, node_id, y, a column per tap) with the halo of every block, and the block size."""
     rows, block = model_rows(panel, graph, params, h, span)
-    op = fitted(op, rows, layout_for(graph))
+    op = fitted(op, rows, layout_for(graph), block)
     if isinstance(params, GcnParams):
         return propagate(rows, op, ["y"], carry=["y"], out=["y_k0"]), block
     return chebyshev_basis(rows, op, ["y"], params.order, carry=["y"]), block
@@ -72,18 +72,20 @@ def with_inputs(filtered: DataFrame, params: FilterParams, h: int, block: int, s
 def settled_rows(
     panel: DataFrame, graph: Graph, op: Operator, params: FilterParams, h: int, span: tuple[int, int], whole: bool = True
 ) -> tuple[DataFrame, Operator]:
-    """`training_rows` that every step can start from, and the operator fitted to them. The series and its taps are written and the
-    history is cut anew in each step, which moves and stores h times less; with whole=False, for steps that read a few of the
-    rows each, the cut history is written."""
+    """`training_rows` that every step can start from, and the operator fitted to them. The series and its taps are written, packed
+    by block and node, and the history is read from them anew in each step, which moves and stores h times less and sorts nothing; with
+    whole=False, for steps that read a few of the rows each, the cut history is written."""
     layout = layout_for(graph)
     if not whole:
         rows = cut(training_rows(panel, graph, op, params, h, span))
-        return rows, fitted(op, rows, layout)
+        return rows, fitted(op, rows, layout, block_for(graph, h))
     filtered, block = filtered_rows(panel, graph, op, params, h, span)
     # Written rows have lost their partitioning.
-    written = cut(filtered)
-    placed = by_block(written) if layout == "step" else written.repartition("node_id", "blk")
-    return with_inputs(placed, params, h, block, span), fitted(op, written, layout)
+    taps = taps_of(params)
+    written = cut(packed_series(filtered, ["y", *taps]))
+    placed = by_block(written, block) if layout == "step" else written.repartition("node_id", "blk")
+    wide = within(packed_windows(placed, h, block, ["y"], {tap: f"{tap}_x" for tap in taps}), span)
+    return wide.select("blk", "t", "node_id", "y", *input_names(params, h)), fitted(op, written, layout, block)
 
 
 # --- gradient ------------------------------------------------------------------------------------------------
@@ -134,7 +136,8 @@ def filter_gradient(rows: DataFrame, op: Operator, params: FilterParams, h: int)
         back = chebyshev_basis(errors, op, ["d"], params.order, carry=["sq", "d"])
         back = back.withColumnsRenamed({f"d_k{k}": f"v_{k}" for k in range(params.order + 1)})
     back_taps = [F.col(f"v_{k}") for k in range(len(second))]
-    joined = state.drop("y").join(back, ["blk", "t", "node_id"])
+    # Beyond the broadcast bound both sides lie by block: the narrow one is hashed there, and the wide one need not be sorted.
+    joined = state.drop("y").join(back.hint("shuffle_hash") if op.dealt is not None else back, ["blk", "t", "node_id"])
     inner = [
         F.when(F.col(c) > 0, total([v * F.lit(float(tap[n])) for v, tap in zip(back_taps, second)])).otherwise(0.0)
         for n, c in enumerate(hidden)

@@ -435,7 +435,7 @@ _rounds_query("additive_rounds_3_zero", D.recurring_graph, "zero")
 def gcn_directed_all_snapshots(spark, sf_dir):
     graph = D.road_graph(spark, sf_dir)
     rows = P.history(scaled_panel(spark, sf_dir), D.H, lags=False, mean=True, layout=FC.layout_for(graph), block=FC.block_for(graph, D.H))
-    out = R.directed_convolution(rows, graph, ["hist_mean"])
+    out = R.directed_convolution(rows, graph, ["hist_mean"], block=FC.block_for(graph, D.H))
     return rounded(out.select("node_id", "t", F.col("hist_mean").alias("gcn_output")), ["gcn_output"], 8)
 
 
@@ -446,7 +446,7 @@ def spmm(spark, sf_dir):
     op = G.random_walk(G.adjacency(graph), graph)
     layout = FC.layout_for(graph)
     rows = P.with_halo(scaled_panel(spark, sf_dir), 0, layout, FC.block_for(graph, 0))
-    spread = R.propagate(rows, FC.fitted(op, rows, layout), ["flow"])
+    spread = R.propagate(rows, FC.fitted(op, rows, layout, FC.block_for(graph, 0)), ["flow"])
     return rounded(spread.select("node_id", "t", "flow"), ["flow"], 8)
 
 
@@ -466,7 +466,7 @@ def cheb_basis(spark, sf_dir):
     op = G.laplacian(G.adjacency(graph), graph)
     layout = FC.layout_for(graph)
     rows = P.with_halo(scaled_panel(spark, sf_dir), 0, layout, FC.block_for(graph, 0))
-    basis = R.chebyshev_basis(rows, FC.fitted(op, rows, layout), ["flow"], 3)
+    basis = R.chebyshev_basis(rows, FC.fitted(op, rows, layout, FC.block_for(graph, 0)), ["flow"], 3)
     columns = [f"flow_k{k}" for k in range(4)]
     return rounded(basis.select("node_id", "t", *columns), columns)
 
@@ -485,7 +485,7 @@ def gcn_layers(spark, sf_dir):
     graph = D.road_graph(spark, sf_dir)
     layout = FC.layout_for(graph)
     rows = P.samples(scaled_panel(spark, sf_dir), D.H, every_step(spark, sf_dir), layout=layout, block=FC.block_for(graph, D.H))
-    op = FC.fitted(FC.operator_for(W.gcn(), graph), rows, layout)
+    op = FC.fitted(FC.operator_for(W.gcn(), graph), rows, layout, FC.block_for(graph, D.H))
     out = L.gcn_forward(rows, op, W.gcn(), LAGS, carry=["y"])
     return rounded(out.select("node_id", "t", "prediction", F.col("y").alias("target")), ["prediction", "target"])
 
@@ -495,7 +495,7 @@ def cheb_layers(spark, sf_dir):
     graph = D.road_graph(spark, sf_dir)
     layout = FC.layout_for(graph)
     rows = P.samples(scaled_panel(spark, sf_dir), D.H, every_step(spark, sf_dir), layout=layout, block=FC.block_for(graph, D.H))
-    op = FC.fitted(FC.operator_for(W.cheb(), graph), rows, layout)
+    op = FC.fitted(FC.operator_for(W.cheb(), graph), rows, layout, FC.block_for(graph, D.H))
     out = L.cheb_forward(rows, op, W.cheb(), LAGS, carry=["y"])
     return rounded(out.select("node_id", "t", "prediction", F.col("y").alias("target")), ["prediction", "target"])
 
@@ -527,7 +527,7 @@ def _first_pairs(spark, sf_dir):
     graph = D.road_graph(spark, sf_dir)
     rows, block = FC.model_rows(scaled_panel(spark, sf_dir), graph, W.gat(), D.H, every_step(spark, sf_dir))
     heads = L.Heads(W.gat().heads, D.H, block)
-    op = FC.fitted(G.adjacency(graph, "distance").anchor(graph), rows, FC.layout_for(graph))
+    op = FC.fitted(G.adjacency(graph, "distance").anchor(graph), rows, FC.layout_for(graph), block)
     return L.attention_pairs(L.packed(rows, "y"), op, heads), heads
 
 

@@ -9,6 +9,7 @@ from test_plans import exchanges
 
 from flowgraph.operators import graph as G
 from flowgraph.operators import layers as L
+from flowgraph.operators import panel as P
 from flowgraph.plans import forecast as FC
 from flowgraph.plans import train as TR
 
@@ -121,6 +122,25 @@ def test_operator_beyond_the_bound_is_dealt_to_blocks(spark, ten_isolated, readi
         spark.conf.unset("spark.flowgraph.broadcastRows")
 
 
+def test_short_blocks_are_spread_over_more_tasks(spark):
+    """Blocks that are cut shorter because the nodes are many do not gather in the tasks again."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    steps = spark.range(12 * parts * 6).select(F.col("id").alias("t"), F.lit(1).alias("node_id"), F.lit(0.5).alias("flow"))
+    rows = P.with_halo(steps, H, "step", 6).withColumn("task", F.spark_partition_id())
+    in_task = [r["n"] for r in rows.groupBy("task").agg(F.countDistinct("blk").alias("n")).collect()]
+    assert sum(in_task) == 12 * parts + 1 and max(in_task) < 12
+
+
+def test_training_reads_packed_history(spark, readings):
+    """Every step of training starts from arrays, whose windows are those of the sorted rows."""
+    rows = P.with_halo(frame(spark, readings).withColumnRenamed("flow", "y"), H, "step", 12)
+    sorted_rows = P.windows(rows, H, 12, lags={"y": "x"})
+    packed = P.packed_windows(P.packed_series(rows, ["y"]), H, 12, ["y"], {"y": "x"})
+    assert "Window" not in packed._jdf.queryExecution().optimizedPlan().toString()
+    order = ["blk", "t", "node_id", "y", *P.lag_names(H, "x")]
+    assert sorted(map(tuple, packed.select(*order).collect())) == sorted(map(tuple, sorted_rows.select(*order).collect()))
+
+
 def test_large_scores_are_shifted(spark, ten_isolated, readings):
     """Scores far beyond the range of exp()."""
     big = readings * 40
