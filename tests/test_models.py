@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_graph import dense, dense_adjacency
@@ -141,6 +142,13 @@ def test_training_reads_packed_history(spark, readings):
     assert sorted(map(tuple, packed.select(*order).collect())) == sorted(map(tuple, sorted_rows.select(*order).collect()))
 
 
+def test_attention_spreads_few_rows_at_once():
+    """A batch of any size is handled in pieces, so the memory of a Python worker does not grow with it."""
+    batch = pa.RecordBatch.from_pydict({"x": list(range(2 * L.PIECE_ROWS + 5))})
+    assert [b.num_rows for b in L.pieces([batch])] == [L.PIECE_ROWS, L.PIECE_ROWS, 5]
+    assert [x for b in L.pieces([batch]) for x in b.column("x").to_pylist()] == batch.column("x").to_pylist()
+
+
 def test_large_scores_are_shifted(spark, ten_isolated, readings):
     """Scores far beyond the range of exp()."""
     big = readings * 40
