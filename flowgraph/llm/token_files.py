@@ -18,7 +18,7 @@ per file. Reading takes the index rows as they lie, so nothing is shuffled and t
 
 Encoding. The tokenizer must not join what white space separates (its pre-tokenizer matches no white space): then the ids of a
 text are those of its pieces between blanks, tabs and line feeds in a row, and a worker encodes each different piece once (some
-CACHE of them are remembered at a time). Where the tokenizer marks the ends of words, pieces of letters go through it many in one
+CACHE of them are remembered at a time; when there are more, the KEPT most used stay). Where the tokenizer marks the ends of words, pieces of letters go through it many in one
 string, and the marks that follow letters are encoded apart from them if the tokenizer cuts there too.
 
 The folder is opened by pyarrow.fs (local and shared paths, hdfs, s3, gs).
@@ -38,6 +38,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -49,6 +50,7 @@ END_ID = 1
 MAGIC = b"PFB1"
 CACHE = 1_000_000
 CACHED_IDS = 8_000_000
+KEPT = 250_000
 # Marks after a run of letters are a piece of their own; pieces of letters only are encoded so many at a time.
 MARKS = punctuation.replace("'", "")
 TOGETHER = 2000
@@ -260,12 +262,21 @@ class Encoder:
 
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.starts, self.pool = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.starts, self.pool, self.used = np.zeros(1, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def _forget_rare(self) -> None:
+        """Keep the most used of the pieces, of those with few ids each."""
+        short = np.flatnonzero(np.diff(self.starts) <= 8)
+        often = np.sort(short[np.argsort(-self.used[short], kind="stable")[: min(KEPT, len(self.number) // 4)]])
+        pieces, (ids, sizes) = list(self.number), self._gathered(often)
+        self._forget()
+        self._add([pieces[i] for i in often], sizes, ids)
 
     def _add(self, pieces, lengths: np.ndarray, ids: np.ndarray) -> None:
         self.number.update(zip(pieces, range(len(self.number), len(self.number) + len(lengths))))
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
         self.pool = np.concatenate([self.pool, ids])
+        self.used = np.concatenate([self.used, np.zeros(len(lengths), np.int64)])
 
     def _gathered(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the pieces in a row, and the number of ids of each."""
@@ -322,20 +333,26 @@ class Encoder:
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, each text followed by end_id, and the number of ids of each text."""
-        split = [text.replace("\n", " ").replace("\t", " ").split(" ") for text in texts]
-        flat = [piece for pieces in split for piece in pieces]
-        places = list(map(self.number.get, flat))
+        spaced = pa.array(texts, pa.large_string())
+        for blank in "\n\t":
+            spaced = pc.replace_substring(spaced, blank, " ")
+        split = pc.split_pattern(spaced, " ")
+        flat = split.flatten().dictionary_encode()
+        different = flat.dictionary.to_numpy(zero_copy_only=False).tolist()
+        places = list(map(self.number.get, different))
         missing = [i for i, place in enumerate(places) if place is None]
         if missing:
-            self._learn(list(dict.fromkeys([flat[i] for i in missing])))
+            self._learn([different[i] for i in missing])
             for i in missing:
-                places[i] = self.number[flat[i]]
-        found, sizes = self._gathered(np.array(places, np.int64))
-        last = np.cumsum([len(pieces) for pieces in split])
+                places[i] = self.number[different[i]]
+        which = np.array(places, np.int64)[flat.indices.to_numpy()]
+        self.used += np.bincount(which, minlength=len(self.used))
+        found, sizes = self._gathered(which)
+        last = np.cumsum(split.value_lengths().to_numpy())
         counts = np.diff(np.concatenate([[0], np.cumsum(sizes)])[last], prepend=0)
         ids = np.insert(found, np.cumsum(counts), np.uint32(end_id))
         if len(self.number) > CACHE or self.starts[-1] > CACHED_IDS:
-            self._forget()
+            self._forget_rare()
         return ids, counts + 1
 
 

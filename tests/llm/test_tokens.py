@@ -108,6 +108,21 @@ def test_encoder_agrees_with_whole_texts(rows, cache, monkeypatch):
         assert counts.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
 
 
+def test_encoder_keeps_used_pieces(monkeypatch):
+    """When there are more pieces than it may remember, those used most stay."""
+    monkeypatch.setattr(token_files, "CACHE", 100)
+    encoder = token_files.Encoder(VOCABULARY)
+    usual = " ".join(["house", "tree,", "x-1"] * 5)
+    seen, learn = [], encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda new: (seen.extend(new), learn(new)))
+    first = encoder.encode([usual], 1)[0]
+    for i in range(4):
+        encoder.encode([usual + " " + " ".join(f"w{i}v{j}" for j in range(120))], 1)
+        assert len(encoder.number) <= 100
+    assert seen.count("house") == seen.count("tree,") == seen.count("x-1") == 1
+    assert encoder.encode([usual], 1)[0].tolist() == first.tolist()
+
+
 def test_encoder_without_word_ends(rows):
     encoder = token_files.Encoder(VOCABULARY)
     encoder.ends = None
