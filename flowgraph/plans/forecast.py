@@ -33,6 +33,8 @@ STEP_LAYOUT_NODES = 1_000_000
 # the entries of a dealt operator move once per block.
 STEP_CELLS = 1_000_000
 LEAST_STEPS = 6
+# Attention beyond the broadcast bound holds a block as packed arrays, so its blocks stay longer and its entries move less often.
+ATTENTION_CELLS = 2_500_000
 
 
 @dataclass(frozen=True)
@@ -58,9 +60,9 @@ def layout_for(graph: Graph) -> str:
     return "step" if small else "node"
 
 
-def step_block(graph: Graph) -> int:
-    """Steps per block of the step layout: about STEP_CELLS cells."""
-    return max(LEAST_STEPS, min(STEP_BLOCK, STEP_CELLS // max(graph.n_vertices, 1)))
+def step_block(graph: Graph, cells: int = STEP_CELLS) -> int:
+    """Steps per block of the step layout: about `cells` cells."""
+    return max(LEAST_STEPS, min(STEP_BLOCK, cells // max(graph.n_vertices, 1)))
 
 
 def block_for(graph: Graph, h: int) -> int:
@@ -121,8 +123,13 @@ def score(
 def model_rows(panel: DataFrame, graph: Graph, model: Params, h: int, span: tuple[int, int]) -> tuple[DataFrame, int]:
     """The readings a model needs for the target steps in `span`, in blocks, and the block size."""
     layout = layout_for(graph)
-    # Attention packs a block into one row, so its blocks stay short in either layout.
-    block = block_size(h, layout, STEP_BLOCK) if layout == "node" and isinstance(model, GatParams) else block_for(graph, h)
+    block = block_for(graph, h)
+    if isinstance(model, GatParams):
+        # Attention packs a block into one row, so its blocks stay short in either layout.
+        if layout == "node":
+            block = block_size(h, layout, STEP_BLOCK)
+        elif 2 * graph.n_edges + graph.n_vertices > broadcast_rows(graph.edges.sparkSession):
+            block = block_size(h, layout, step_block(graph, ATTENTION_CELLS))
     readings = within(panel, span, h).select("t", "node_id", F.col("flow").alias("y"))
     return with_halo(readings, h, layout, block), block
 

@@ -295,3 +295,41 @@ def test_attention_layouts_agree(spark, ten_isolated, readings, layout):
     assert len(got) == 11 * (readings.shape[1] - H)
     for (node, t), value in got.items():
         assert value == pytest.approx(want[t - H, node])
+
+
+def _first_attention(spark, graph, x, nodes=None):
+    """Packed blocks of the readings `x`, the operator fitted to them, and the heads of the first layer; `nodes` more rows."""
+    model = MODELS["gat"]
+    panel = frame(spark, x) if nodes is None else frame(spark, x).unionByName(nodes)
+    rows, block = FC.model_rows(panel, graph, model, H, (H, x.shape[1]))
+    op = FC.fitted(FC.operator_for(model, graph, "distance").settled(), rows, FC.layout_for(graph), block)
+    return L.packed(rows, "y"), op, L.Heads(model.heads, H, block)
+
+
+def _attended(spark, graph, x, nodes=None):
+    blocks, op, heads = _first_attention(spark, graph, x, nodes)
+    assert op.dealt is None or "FlatMapCoGroupsInArrow" in L.attend(blocks, op, heads, MODELS["gat"].head_bias)._jdf.queryExecution().toString()
+    done = L.attend(blocks, op, heads, MODELS["gat"].head_bias, layout=FC.layout_for(graph))
+    names = [f"series_{c}" for c in range(1, len(heads.flat) + 1)]
+    rows = L.unpacked(done, {"kept": "kept", **{n: n for n in names}}).collect()
+    assert len({(r.node_id, r.t) for r in rows}) == len(rows)
+    return {(r.node_id, r.t): [r.kept, *[r[n] for n in names]] for r in rows}
+
+
+@pytest.mark.parametrize("entries", [4_000_000, 20])
+def test_dealt_attention_meets_a_block_as_one_group(spark, ten_isolated, readings, monkeypatch, entries):
+    """No row travels along an entry, in one slice or in several; a node without an id counts in the mean only, an unknown series in nothing."""
+    x = np.array(readings, float)
+    x[3] = np.nan
+    lost = spark.range(x.shape[1]).select(F.lit(None).cast("bigint").alias("node_id"), F.col("id").alias("t"), F.lit(5.0).alias("flow"))
+    want = _attended(spark, ten_isolated, x, lost)
+    monkeypatch.setattr(L, "GROUP_ENTRIES", entries)
+    monkeypatch.setattr(L, "CHUNK_CELLS", 64)
+    spark.conf.set("spark.flowgraph.broadcastRows", "12")
+    try:
+        got = _attended(spark, ten_isolated, x, lost)
+    finally:
+        spark.conf.unset("spark.flowgraph.broadcastRows")
+    assert got.keys() == want.keys() and len(got) == 11 * (x.shape[1] - H)
+    assert np.allclose(np.array([got[k] for k in got], float), np.array([want[k] for k in got], float), equal_nan=True)
+
