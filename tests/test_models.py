@@ -333,3 +333,28 @@ def test_dealt_attention_meets_a_block_as_one_group(spark, ten_isolated, reading
     assert got.keys() == want.keys() and len(got) == 11 * (x.shape[1] - H)
     assert np.allclose(np.array([got[k] for k in got], float), np.array([want[k] for k in got], float), equal_nan=True)
 
+
+@pytest.mark.parametrize("cells", [16_000_000, 400])
+def test_attention_weights_stay_packed(spark, ten_isolated, readings, monkeypatch, cells):
+    """A row per receiver and block from the scores to the totals, not a row per pair and step; weights sum up to one."""
+    monkeypatch.setattr(L, "GROUP_SCORES", cells)
+
+    def totals():
+        blocks, op, heads = _first_attention(spark, ten_isolated, readings)
+        shares = L.attention_weights(L.attention_pairs(blocks, op, heads), heads)
+        full = blocks.where(F.exists("steps", lambda t: (t >= F.col("blk") * heads.block) & (t >= H)))
+        assert shares.count() == full.count()
+        return {(r.i, r.j): r for r in L.pair_totals(shares, ["alpha_1", "alpha_2"]).collect()}
+
+    want = totals()
+    spark.conf.set("spark.flowgraph.broadcastRows", "12")
+    try:
+        got = totals()
+    finally:
+        spark.conf.unset("spark.flowgraph.broadcastRows")
+    assert got.keys() == want.keys()
+    for pair, r in got.items():
+        assert r.live_alpha_1 == want[pair].live_alpha_1
+        assert [r.alpha_1, r.alpha_2] == [v if v is None else pytest.approx(v) for v in (want[pair].alpha_1, want[pair].alpha_2)]
+    live = [r for (i, _), r in got.items() if i == 0 and r.alpha_1 is not None]
+    assert sum(r.alpha_1 for r in live) == pytest.approx(readings.shape[1] - H)
