@@ -257,6 +257,28 @@ def test_collocations_in_small_runs(spark, monkeypatch):
     assert sorted(map(tuple, collocations.collocations(table(spark, rows), 15).collect())) == phrases(rows, 15, 5, 2000)
 
 
+def test_collocation_ranges_follow_the_words(spark, monkeypatch):
+    """What meets in one range does not grow with the input: ranges are added with the words, and the phrases stay the same."""
+    rows = phrase_rows()
+    monkeypatch.setattr(collocations, "RANGE_WORDS", 64)
+    known, _, ranges = collocations.frequent(table(spark, rows), 5, 15)
+    assert ranges == -(-known.where("word is null").agg({"n": "sum"}).first()[0] // 64) > 64
+    assert sorted(map(tuple, collocations.collocations(table(spark, rows), 15).collect())) == phrases(rows, 15, 5, 2000)
+
+
+def test_union_holds_few_transducers(monkeypatch):
+    """Transducers are taken one after the other, and equal paths are summed before all have come."""
+    rng = np.random.default_rng(5)
+    paths, weights = collocations.summed(rng.integers(0, 9, (300, 3)).astype(np.uint64), np.ones(300, np.int64))
+    monkeypatch.setattr(collocations, "MOST", len(paths))
+    sizes, joined = [], collocations._joined
+    monkeypatch.setattr(collocations, "_joined", lambda held: sizes.append(sum(len(p) for p, _ in held)) or joined(held))
+    part = collocations.Transducer.of(paths, weights)
+    p, w = collocations.union(part for _ in range(40))
+    assert dict(zip(map(tuple, p), w)) == {tuple(x): 40 * n for x, n in zip(paths, weights)}
+    assert max(sizes) <= 3 * len(paths)
+
+
 def test_collocations_of_nothing(spark):
     assert collocations.collocations(table(spark, [])).count() == 0
     assert collocations.collocations(table(spark, [(1, None, None), (2, "one two", "en")])).count() == 0
