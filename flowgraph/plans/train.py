@@ -15,13 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowgraph.functions.scalars import linear, relu, total
+from flowgraph.operators import inblock
 from flowgraph.operators.graph import Operator
-from flowgraph.operators.layers import ChebParams, GcnParams, names
+from flowgraph.operators.layers import ChebParams, GcnParams, SeriesNetwork, names
 from flowgraph.operators.metrics import LOSS_SCALE
 from flowgraph.operators.panel import BATCH_STEPS, batch_shuffled, lag_names, packed_series, packed_windows, windows, within
 from flowgraph.operators.propagate import chebyshev_basis, chebyshev_sum, propagate, tap_names
-from flowgraph.plans.forecast import block_for, fitted, layout_for, model_rows, operator_for
-from flowgraph.plans.sizing import by_block, cut
+from flowgraph.plans.forecast import block_for, fitted, layout_for, model_rows, network_block, operator_for
+from flowgraph.plans.sizing import broadcast_rows, by_block, cut
 from flowgraph.schemas import Graph
 
 FilterParams = GcnParams | ChebParams
@@ -57,7 +58,7 @@ def filtered_rows(
     panel: DataFrame, graph: Graph, op: Operator, params: FilterParams, h: int, span: tuple[int, int]
 ) -> tuple[DataFrame, int]:
     """(blk, t, node_id, y, a column per tap) with the halo of every block, and the block size."""
-    rows, block = model_rows(panel, graph, params, h, span)
+    rows, block = model_rows(panel, graph, params, h, span, block_for(graph, h))
     op = fitted(op, rows, layout_for(graph), block)
     if isinstance(params, GcnParams):
         return propagate(rows, op, ["y"], carry=["y"], out=["y_k0"]), block
@@ -69,13 +70,28 @@ def with_inputs(filtered: DataFrame, params: FilterParams, h: int, block: int, s
     return within(wide, span).select("blk", "t", "node_id", "y", *input_names(params, h))
 
 
+@dataclass(frozen=True)
+class Series:
+    """(blk, t, node_id, y) with the halo of every block, from which steps beyond the broadcast bound start, the block size and the span of target steps."""
+
+    df: DataFrame
+    block: int
+    span: tuple[int, int]
+
+
 def settled_rows(
     panel: DataFrame, graph: Graph, op: Operator, params: FilterParams, h: int, span: tuple[int, int], whole: bool = True
-) -> tuple[DataFrame, Operator]:
+) -> tuple[DataFrame | Series, Operator]:
     """`training_rows` that every step can start from, and the operator fitted to them. The series and its taps are written, packed
     by block and node, and the history is read from them anew in each step, which moves and stores h times less and sorts nothing; with
     whole=False, for steps that read a few of the rows each, the cut history is written."""
     layout = layout_for(graph)
+    if whole and layout == "step" and op.rows > broadcast_rows(graph.edges.sparkSession):
+        # Steps filter in the block, so the series alone is written.
+        block = network_block(graph, h, op.rows)
+        written = cut(packed_series(model_rows(panel, graph, params, h, span, block)[0], ["y"]))
+        cells = F.inline(F.arrays_zip(F.col("steps").alias("t"), "y"))
+        return Series(by_block(written, block).select("blk", "node_id", cells), block, span), fitted(op, written, layout, block)
     if not whole:
         rows = cut(training_rows(panel, graph, op, params, h, span))
         return rows, fitted(op, rows, layout, block_for(graph, h))
@@ -105,13 +121,15 @@ def _bias(params: FilterParams, layer: int) -> list[float]:
     return params.bias[layer] if params.bias[layer] is not None else [0.0] * width
 
 
-def filter_gradient(rows: DataFrame, op: Operator, params: FilterParams, h: int) -> DataFrame:
+def filter_gradient(rows: DataFrame | Series, op: Operator, params: FilterParams, h: int) -> DataFrame:
     """The sums a training step needs, in rows (part, g_1..g_m).
 
     Part p < inputs: sum of input p times the first-layer error of each hidden column. Then the same for its bias, one
     part per tap with hidden column times filtered error, and a last part with the sums of the output error, the
     squared error, and the number of cells. Cells without a target or input do not count.
     """
+    if isinstance(rows, Series):
+        return _gradient_in_block(rows, op, params, h)
     inputs = input_names(params, h)
     first, second = _first_layer(params), _second_layer(params)
     hidden = names("h", len(first[0]))
@@ -158,6 +176,75 @@ def filter_gradient(rows: DataFrame, op: Operator, params: FilterParams, h: int)
     return unfolded.groupBy("part").agg(*[F.sum(f"g_{n}").alias(f"g_{n}") for n in range(1, width + 1)])
 
 
+def _gradient_in_block(series: Series, op: Operator, params: FilterParams, h: int) -> DataFrame:
+    """`filter_gradient` with a dealt operator: the filters, both layers and the way back run in the block, and its sums leave it."""
+    net, (begin, end) = SeriesNetwork(params, h, series.block), series.span
+    first, second = _first_layer(params), _second_layer(params)
+    width = max(len(first[0]), 3)
+
+    def sum_of(*columns) -> float:
+        known = columns[0][1].copy()
+        for _, k in columns[1:]:
+            known &= k
+        product = columns[0][0][known]
+        for x, _ in columns[1:]:
+            product = product * x[known]
+        return float(product.sum())
+
+    def back_taps(edges, error, rows):
+        if isinstance(params, GcnParams):
+            taps, reached = edges.spread([error], rows, flipped=True)
+            return taps, reached
+        levels, reached = inblock.chebyshev(edges, [error], rows, params.order)
+        return [level[0] for level in levels], reached
+
+    def kernel(edges, steps, blk):
+        total_of = np.zeros((len(first) + 2 + len(second), width))
+        seen = False
+        for t, rows, target, inputs, hidden in net.hidden(edges, steps, blk):
+            if not begin <= t < end:
+                continue
+            rows = rows & target[1]
+            for _, known in inputs:
+                rows &= known
+            if not rows.any():
+                continue
+            target, hidden = inblock.only(target, rows), [inblock.only(x, rows) for x in hidden]
+            out, reached = net.output(edges, rows, hidden)
+            level, known = out[0] + _bias(params, 1)[0], out[1]
+            gap = np.maximum(level, 0.0) - target[0]
+            both = known & target[1]
+            high = known & (level > 0)
+            squared = np.where(both, gap * gap, 0.0), both
+            # without a target the error of a cut output is zero, that of another unknown
+            error = np.where(high & both, 2.0 * gap, 0.0), reached & (both | ~high)
+            taps, back = back_taps(edges, error, reached)
+            kept = rows & back
+            error, squared = inblock.only(error, kept), inblock.only(squared, kept)
+            taps, hidden = [inblock.only(v, kept) for v in taps], [inblock.only(x, kept) for x in hidden]
+            inner = []
+            for n, (x, _) in enumerate(hidden):
+                through = inblock.linear(taps, [[tap[n]] for tap in second])[0]
+                active = x > 0
+                inner.append((np.where(active, through[0], 0.0), kept & (through[1] | ~active)))
+            number = 0
+            for x in inputs:
+                total_of[number, : len(inner)] += [sum_of(x, e) for e in inner]
+                number += 1
+            total_of[number, : len(inner)] += [sum_of(e) for e in inner]
+            for v in taps:
+                number += 1
+                total_of[number, : len(hidden)] += [sum_of(x, v) for x in hidden]
+            total_of[number + 1, :3] += [sum_of(error), sum_of(squared), float(kept.sum())]
+            seen = True
+        if seen:
+            yield [np.arange(len(total_of)), *total_of.T]
+
+    names_of = [f"g_{n}" for n in range(1, width + 1)]
+    sums = inblock.in_blocks(series.df, op, ["y"], kernel, "part int, " + ", ".join(f"{n} double" for n in names_of))
+    return sums.groupBy("part").agg(*[F.sum(n).alias(n) for n in names_of])
+
+
 def gradient_of(sums: DataFrame, params: FilterParams, h: int) -> tuple[float, int, dict[str, np.ndarray]]:
     """Mean squared error, number of cells, and the gradient by tensor. The table has some dozen rows."""
     n_inputs, n_taps = len(input_names(params, h)), len(_second_layer(params))
@@ -218,7 +305,9 @@ class Trained:
     losses: list[float]
 
 
-def batches(rows: DataFrame, span: tuple[int, int], batch_steps: int | None, seed: int, epoch: int) -> Iterator[DataFrame]:
+def batches(
+    rows: DataFrame | Series, span: tuple[int, int], batch_steps: int | None, seed: int, epoch: int
+) -> Iterator[DataFrame | Series]:
     """The rows of each shuffled batch of steps; with batch_steps=None all rows at once."""
     if batch_steps is None:
         yield rows
